@@ -53,9 +53,13 @@ def first_truthy(record: Column | str, keys: tuple[str, ...], variant: Column |
     return out
 
 
+# Characters Python's str.strip() removes (str.isspace), as a Java class.
+_PY_SPACE = r"[\t\n\x0b\x0c\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
 def clean_text(value: Column) -> Column:
-    """`str(v).strip() or None`: trim, blank becomes NULL."""
-    trimmed = F.trim(value)
+    """`str(v).strip() or None`: strip whitespace, blank becomes NULL."""
+    trimmed = F.regexp_replace(value, f"^{_PY_SPACE}+|{_PY_SPACE}+$", "")
     return F.when(trimmed != "", trimmed)
 
 

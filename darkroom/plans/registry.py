@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from darkroom.plans import stack_queries
+from darkroom.plans import backup_queries, catalogue_queries, ingest_queries, stack_queries
 
-_MODULES = (stack_queries,)
+_MODULES = (stack_queries, catalogue_queries, backup_queries, ingest_queries)
 
 
 def all_queries():

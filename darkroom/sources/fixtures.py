@@ -172,3 +172,22 @@ class Fixtures:
         if name.startswith("fx_"):
             return self.view(name)
         raise AttributeError(name)
+
+
+def exif_records(fx_exif: DataFrame) -> DataFrame:
+    """EXIF JSON records (file_path, metadata_json) built from fx_exif's typed
+    columns; absent values are left out of the object (explicit option, not
+    the session default)."""
+    from pyspark.sql import functions as F
+
+    obj = F.struct(
+        F.col("date_time_original").alias("DateTimeOriginal"),
+        F.col("create_date").alias("CreateDate"),
+        F.col("make").alias("Make"),
+        F.col("iso").alias("ISO"),
+        F.col("iso_value").alias("ISOValue"),
+    )
+    return fx_exif.select(
+        "event_id", "ts", "event_type", "file_path",
+        F.to_json(obj, {"ignoreNullFields": "true"}).alias("metadata_json"),
+    )
