@@ -53,14 +53,21 @@ def first_truthy(record: Column | str, keys: tuple[str, ...], variant: Column |
     return out
 
 
-# Characters Python's str.strip() removes (str.isspace), as a Java class.
-_PY_SPACE = r"[\t\n\x0b\x0c\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# Characters Python's str.strip() removes (str.isspace).
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def strip_text(value: Column) -> Column:
+    """`str(v).strip()`."""
+    return F.btrim(value, F.lit(PY_WHITESPACE))
 
 
 def clean_text(value: Column) -> Column:
     """`str(v).strip() or None`: strip whitespace, blank becomes NULL."""
-    trimmed = F.regexp_replace(value, f"^{_PY_SPACE}+|{_PY_SPACE}+$", "")
-    return F.when(trimmed != "", trimmed)
+    return F.nullif(strip_text(value), F.lit(""))
 
 
 # strptime('%Y:%m:%d %H:%M:%S') accepts exactly this text: a four-digit year,
@@ -73,18 +80,28 @@ EXIF_DATE_PATTERN = (
 )
 
 
-def parse_exif_date(text: Column | str) -> Column:
-    """Strict EXIF date parse to TIMESTAMP_NTZ; anything else is NULL."""
+def exif_date_ok(text: Column | str) -> Column:
+    """The text has strptime's accepted shape (see EXIF_DATE_PATTERN)."""
     t = _col(text)
     # '$' in Java also matches before a final line break; strptime does not.
-    ok = t.rlike(EXIF_DATE_PATTERN) & ~t.rlike(r"[\r\n]$")
+    return t.rlike(EXIF_DATE_PATTERN) & ~t.rlike(r"[\r\n]$")
+
 
-    def part(i: int) -> Column:
-        return F.trim(F.regexp_extract(t, EXIF_DATE_PATTERN, i)).cast("int")
+def exif_date_from_parts(ok: Column, parts: Column) -> Column:
+    """Timestamp from the six numeric parts of a text that passed `exif_date_ok`
+    (`parts` = split on ':' and blanks); impossible dates and year 0 are NULL."""
+    p = [F.element_at(parts, i).cast("int") for i in range(1, 7)]
+    ts = F.try_make_timestamp_ntz(p[0], p[1], p[2], p[3], p[4], p[5].cast("decimal(16,6)"))
+    return F.when(ok & (p[0] >= 1), ts)
 
-    year = part(1)
-    ts = F.try_make_timestamp_ntz(year, part(2), part(3), part(4), part(5), part(6).cast("decimal(16,6)"))
-    return F.when(ok & (year >= 1), ts)
+
+def exif_date_parts(text: Column | str) -> Column:
+    return F.split(_col(text), r"[:\s]+")
+
+
+def parse_exif_date(text: Column | str) -> Column:
+    """Strict EXIF date parse to TIMESTAMP_NTZ; anything else is NULL."""
+    return exif_date_from_parts(exif_date_ok(text), exif_date_parts(text))
 
 
 def first_present(record: Column | str, keys: tuple[str, ...], default: str) -> Column:

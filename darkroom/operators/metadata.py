@@ -2,14 +2,16 @@
 search, batching and sampling.
 
 EXIF records are one JSON object per file (column `metadata_json`, text).
-Each record is parsed twice per row at most: once by `json_tuple` for all
-values and once into a VARIANT for the truthiness of chain candidates.
+Each record is parsed twice per row at most: once by `from_json` into a
+struct of the chain members (values as text) and once into a VARIANT for the
+truthiness of chain candidates.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from darkroom.constants import (
     APERTURE_CHAIN,
@@ -20,7 +22,15 @@ from darkroom.constants import (
     REPORT_MISSING,
     SHUTTER_CHAIN,
 )
-from darkroom.functions.exif import clean_text, first_present, json_token, parse_exif_date, truthy_token
+from darkroom.functions.exif import (
+    exif_date_from_parts,
+    exif_date_ok,
+    exif_date_parts,
+    first_present,
+    json_token,
+    strip_text,
+    truthy_token,
+)
 from darkroom.operators.ordinal import with_ordinal
 
 CATALOGUE_COLUMNS = (
@@ -41,41 +51,69 @@ _CHAIN_KEYS = tuple(
 )
 
 
-def _chain(values: dict[str, Column], variant: Column, keys: tuple[str, ...]) -> Column:
-    """`r.get(k1) or ... or r.get(kn)` over pre-extracted values."""
+def _chain(values: dict[str, Column], truthy: dict[str, Column], keys: tuple[str, ...]) -> Column:
+    """`r.get(k1) or ... or r.get(kn)` over pre-extracted values and flags."""
     *heads, last = keys
     out = values[last]
     for key in reversed(heads):
-        out = F.when(truthy_token(json_token(variant, key)), values[key]).otherwise(out)
+        out = F.when(truthy[key], values[key]).otherwise(out)
     return out
 
 
+_CHAINS = {
+    "date_text": DATE_CHAIN,
+    "lens": LENS_CHAIN,
+    "shutter_speed": SHUTTER_CHAIN,
+    "iso": ISO_CHAIN,
+    "aperture": APERTURE_CHAIN,
+}
+_HEADS = tuple(dict.fromkeys(k for chain in _CHAINS.values() for k in chain[:-1]))
+
+
 def exif_fields(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Catalogue columns projected from EXIF records (file_path, metadata_json):
     falsy-or chains, trim-to-NULL, strict date parse of the chosen date text
     (a bad DateTimeOriginal hides a good CreateDate, as in the scripts).
-    `keep` names extra input columns carried through unchanged."""
-    slots = [f"_k{i}" for i in range(len(_CHAIN_KEYS))]
+    `keep` names extra input columns carried through unchanged.
+
+    Written as stages so each shared intermediate (parsed record, member
+    tokens, chosen texts, date parts) is computed once per row; Catalyst
+    keeps a stage separate when its result is used more than once."""
+    slots = {k: f"_k{i}" for i, k in enumerate(_CHAIN_KEYS)}
+    toks = {k: f"_t{i}" for i, k in enumerate(_HEADS)}
+    members = T.StructType([T.StructField(k, T.StringType()) for k in _CHAIN_KEYS])
     parsed = records.select(
         *keep,
         "file_path",
         "metadata_json",
         F.try_parse_json("metadata_json").alias("_v"),
-        F.json_tuple("metadata_json", *_CHAIN_KEYS).alias(*slots),
+        # Typed parse of the chain members as text (source spelling, e.g. '4.0').
+        F.from_json("metadata_json", members).alias("_s"),
+    ).select(*keep, "file_path", "metadata_json", "_v", *[F.col("_s")[k].alias(c) for k, c in slots.items()])
+    tokens = parsed.select(
+        *keep, "file_path", "metadata_json", *slots.values(),
+        *[json_token(F.col("_v"), k).alias(t) for k, t in toks.items()],
+    )
+    values = {k: F.col(c) for k, c in slots.items()}
+    truthy = {k: truthy_token(F.col(t)) for k, t in toks.items()}
+    chosen = tokens.select(
+        *keep, "file_path", "metadata_json",
+        *[_chain(values, truthy, chain).alias(name) for name, chain in _CHAINS.items()],
+        values["Make"].alias("camera_make"),
+        values["Model"].alias("camera_model"),
+        values["FocalLength"].alias("focal_length"),
+    )
+    staged = chosen.select(
+        *keep, "file_path", "metadata_json",
+        exif_date_ok("date_text").alias("_date_ok"),
+        exif_date_parts("date_text").alias("_date_parts"),
+        *[strip_text(F.col(c)).alias(c) for c in ("camera_make", "camera_model", "lens", "shutter_speed", "iso", "aperture", "focal_length")],
     )
-    values = {k: F.col(s) for k, s in zip(_CHAIN_KEYS, slots)}
-    v = F.col("_v")
-    return parsed.select(
+    return staged.select(
         *keep,
         "file_path",
-        parse_exif_date(_chain(values, v, DATE_CHAIN)).alias("date_taken"),
-        clean_text(values["Make"]).alias("camera_make"),
-        clean_text(values["Model"]).alias("camera_model"),
-        clean_text(_chain(values, v, LENS_CHAIN)).alias("lens"),
-        clean_text(_chain(values, v, SHUTTER_CHAIN)).alias("shutter_speed"),
-        clean_text(_chain(values, v, ISO_CHAIN)).alias("iso"),
-        clean_text(_chain(values, v, APERTURE_CHAIN)).alias("aperture"),
-        clean_text(values["FocalLength"]).alias("focal_length"),
+        exif_date_from_parts(F.col("_date_ok"), F.col("_date_parts")).alias("date_taken"),
+        *[F.nullif(F.col(c), F.lit("")).alias(c) for c in CATALOGUE_COLUMNS[2:9]],
         "metadata_json",
     )
 
