@@ -3,12 +3,15 @@
 `row_number() over (partition by g order by o)` sends a whole group to one
 task; with one key holding a third of the rows that task is the job. Here the
 rows are range-partitioned on (g, o) instead, so a hot group is cut into
-contiguous slices across tasks. Each slice numbers its rows locally; a table
-with one row per (slice, group) -- at most `slices` rows per group -- turns the
-slice sizes into offsets, which are joined back.
+contiguous slices across tasks, and each row keeps its slice number.
+The sliced rows are written once to the shared checkpoint folder: slice
+numbers come from one sampled range exchange and are fixed on disk, so the
+per-slice row numbers and the per-slice sizes (one row per slice and group,
+at most `slices` rows per group) always agree, and a lost executor re-reads
+files instead of re-sampling. Offsets from the sizes are joined back.
 
-Cost: one sampled range exchange, one window exchange on (slice, g) that is
-balanced by construction, and a join against the small offsets table.
+Cost: one range exchange + write, one window exchange on (slice, g) that is
+balanced by construction, one small aggregate and a join.
 The order must be total (end it with a unique column) for repeatable numbers.
 """
 
@@ -19,9 +22,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from darkroom.session import materialize
+
 _SLICE = "_ord_slice"
 _LOCAL = "_ord_local"
-_SIZE = "_ord_size"
 _OFFSET = "_ord_offset"
 
 
@@ -42,23 +46,22 @@ def with_ordinal(
     slices: int | None = None,
 ) -> DataFrame:
     """Add `name`: 1-based position of each row in `order_by` order within its
-    `partition_by` group (whole table when empty)."""
+    `partition_by` group (whole table when empty). Runs one write job when
+    called (the sliced rows); the returned DataFrame reads that table."""
     keys = list(partition_by)
     order = [_as_col(c) for c in order_by]
     n = slices or _slices(df)
 
     ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn(_SLICE, F.spark_partition_id())
-    local_w = Window.partitionBy(_SLICE, *keys).orderBy(*order)
-    whole_w = local_w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = ranged.withColumn(_LOCAL, F.row_number().over(local_w)).withColumn(_SIZE, F.count(F.lit(1)).over(whole_w))
+    stored = materialize(ranged, "ordinal")
 
-    # One row per (slice, group): its size; offset = rows of the same group in earlier slices.
-    sizes = local.where(F.col(_LOCAL) == 1).select(_SLICE, *keys, _SIZE)
+    local = stored.withColumn(_LOCAL, F.row_number().over(Window.partitionBy(_SLICE, *keys).orderBy(*order)))
+    sizes = stored.groupBy(_SLICE, *keys).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         F.col(_SLICE).alias("_o_slice"),
         *[F.col(k).alias("_o_" + k) for k in keys],
-        F.coalesce(F.sum(_SIZE).over(before), F.lit(0)).alias(_OFFSET),
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias(_OFFSET),
     )
     if not keys:
         # Exactly one row per slice: bounded by `n`, safe to broadcast.
@@ -68,5 +71,5 @@ def with_ordinal(
         cond = cond & F.col(k).eqNullSafe(F.col("_o_" + k))
     joined = local.join(offsets, cond, "inner")
     return joined.withColumn(name, (F.col(_OFFSET) + F.col(_LOCAL)).cast("bigint")).drop(
-        _SLICE, _LOCAL, _SIZE, _OFFSET, "_o_slice", *["_o_" + k for k in keys]
+        _SLICE, _LOCAL, _OFFSET, "_o_slice", *["_o_" + k for k in keys]
     )

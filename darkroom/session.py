@@ -7,6 +7,7 @@ bench set that option themselves, and only when it is unset.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,10 +35,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, checkpoin
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables; must be configured by the cluster."""
+    """Shared folder for intermediate tables, read from `spark.checkpoint.dir`.
+
+    A cluster must name it. Only a local-mode session (tests, the bench, a
+    single machine) without the setting gets a private temporary folder."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        raise RuntimeError("spark.checkpoint.dir is not set: configure a shared folder for intermediate tables")
+        master = spark.sparkContext.master
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: configure a shared folder for intermediate tables")
+        path = tempfile.mkdtemp(prefix="darkroom-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
