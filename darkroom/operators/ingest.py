@@ -28,19 +28,19 @@ def card_files(listing: DataFrame, card_col: str | None = None) -> DataFrame:
     whole card; suffix compared case-insensitively; nothing excluded.
     'First' is the smallest DCIM path (the shell takes whichever `find` lists
     first, which is unspecified)."""
-    key = card_col or "_card"
     dcim = F.regexp_extract("file_path", DCIM_DIR, 1)
     with_dcim = listing.withColumn("_dcim", F.when(dcim != "", dcim))
-    if not card_col:
-        with_dcim = with_dcim.withColumn("_card", F.lit(""))
-    # One row per card (partial aggregate), equi-joined back on the card key.
-    chosen = with_dcim.groupBy(key).agg(F.min("_dcim").alias("_chosen"))
-    if not card_col:
-        chosen = F.broadcast(chosen)  # exactly one row
-    joined = with_dcim.join(chosen, key, "left")
-    inside = F.col("_chosen").isNull() | F.col("file_path").startswith(F.concat(F.col("_chosen"), F.lit("/")))
-    out = joined.where(inside & is_image_any_case(base_name("file_path"))).drop("_dcim", "_chosen")
-    return out if card_col else out.drop("_card")
+    if card_col:
+        # One row per card (partial aggregate), equi-joined back on the card.
+        chosen = with_dcim.groupBy(card_col).agg(F.min("_dcim").alias("_chosen"))
+        joined = with_dcim.join(chosen, card_col, "left")
+        first_dcim = F.col("_chosen")
+    else:
+        # One card: an uncorrelated scalar subquery, evaluated once, no join.
+        joined = with_dcim
+        first_dcim = with_dcim.agg(F.min("_dcim")).scalar()
+    inside = first_dcim.isNull() | F.col("file_path").startswith(F.concat(first_dcim, F.lit("/")))
+    return joined.where(inside & is_image_any_case(base_name("file_path"))).drop("_dcim", "_chosen")
 
 
 def copy_plan(card: DataFrame, destination: DataFrame, dest_base: str, run_date: str) -> DataFrame:

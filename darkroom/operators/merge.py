@@ -50,12 +50,15 @@ def _prefixed(df: DataFrame, prefix: str, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in cols])
 
 
-def _assign_ids(merged: DataFrame, is_new: Column, id_start: int) -> DataFrame:
-    """Existing ids stay; new rows get id_start + position in path order."""
-    old = merged.where(~is_new)
-    new = with_ordinal(merged.where(is_new).drop("id"), [F.col("file_path")], name="_pos")
-    new = new.withColumn("id", (F.lit(id_start) + F.col("_pos")).cast("bigint")).drop("_pos")
-    return old.unionByName(new)
+def _new_ids(existing: DataFrame, incoming: DataFrame) -> DataFrame:
+    """(file_path, _new_id) for incoming paths absent from `existing`: max
+    existing id + position in path order (SERIAL-like, dense, repeatable).
+    Only paths are read, so the projection of the incoming rows is not
+    computed for the numbering."""
+    fresh = incoming.select("file_path").join(existing.select("file_path"), "file_path", "left_anti")
+    start = _max_id(existing)
+    numbered = with_ordinal(fresh, ["file_path"], name="_pos")
+    return numbered.select("file_path", (F.lit(start) + F.col("_pos")).cast("bigint").alias("_new_id"))
 
 
 def _max_id(df: DataFrame) -> int:
@@ -71,7 +74,11 @@ def merge_catalogue(catalogue: DataFrame, incoming: DataFrame, run_ts: str, assi
     `incoming` must have unique paths (run `check_keys` first)."""
     cols = ("id",) + CATALOGUE_COLUMNS + ("created_at",)
     o = _prefixed(catalogue, "o_", cols)
-    n = _prefixed(incoming, "n_", CATALOGUE_COLUMNS)
+    if assign_ids:
+        incoming = incoming.join(_new_ids(catalogue, incoming), "file_path", "left")
+    else:
+        incoming = incoming.withColumn("_new_id", F.lit(None).cast("bigint"))
+    n = _prefixed(incoming, "n_", CATALOGUE_COLUMNS + ("_new_id",))
     j = o.join(n, F.col("o_file_path") == F.col("n_file_path"), "full_outer")
     has_old = F.col("o_file_path").isNotNull()
     has_new = F.col("n_file_path").isNotNull()
@@ -83,15 +90,12 @@ def merge_catalogue(catalogue: DataFrame, incoming: DataFrame, run_ts: str, assi
         .alias(c)
         for c in CATALOGUE_VALUES
     ]
-    merged = j.select(
-        F.col("o_id").alias("id"),
+    return j.select(
+        F.coalesce("o_id", "n__new_id").alias("id"),
         F.coalesce("o_file_path", "n_file_path").alias("file_path"),
         *values,
         F.when(has_old, F.col("o_created_at")).otherwise(F.lit(run_ts).cast("timestamp_ntz")).alias("created_at"),
     )
-    if not assign_ids:
-        return merged
-    return _assign_ids(merged, F.col("id").isNull(), _max_id(catalogue)).select(*cols)
 
 
 def merge_ledger(ledger: DataFrame, results: DataFrame, run_ts: str, assign_ids: bool = True) -> DataFrame:
@@ -102,7 +106,11 @@ def merge_ledger(ledger: DataFrame, results: DataFrame, run_ts: str, assign_ids:
     - 'error': a new path is inserted with status 'error' (size and md5 NULL,
       uploaded_at defaulted to run_ts); an existing row changes status only."""
     o = _prefixed(ledger, "o_", LEDGER_COLUMNS)
-    n = _prefixed(results, "n_", ("file_path", "s3_key", "source_type", "file_size", "md5_checksum", "status"))
+    if assign_ids:
+        results = results.join(_new_ids(ledger, results), "file_path", "left")
+    else:
+        results = results.withColumn("_new_id", F.lit(None).cast("bigint"))
+    n = _prefixed(results, "n_", ("file_path", "s3_key", "source_type", "file_size", "md5_checksum", "status", "_new_id"))
     j = o.join(n, F.col("o_file_path") == F.col("n_file_path"), "full_outer")
     has_old = F.col("o_file_path").isNotNull()
     has_new = F.col("n_file_path").isNotNull()
@@ -112,8 +120,8 @@ def merge_ledger(ledger: DataFrame, results: DataFrame, run_ts: str, assign_ids:
     def replaced_on_success(c: str) -> Column:
         return F.when(has_new & ok, F.col("n_" + c)).when(has_new & ~has_old, F.lit(None)).otherwise(F.col("o_" + c))
 
-    merged = j.select(
-        F.col("o_id").alias("id"),
+    return j.select(
+        F.coalesce("o_id", "n__new_id").alias("id"),
         F.coalesce("o_file_path", "n_file_path").alias("file_path"),
         F.when(has_new & (ok | ~has_old), F.col("n_s3_key")).otherwise(F.col("o_s3_key")).alias("s3_key"),
         F.when(has_old, F.col("o_source_type")).otherwise(F.col("n_source_type")).alias("source_type"),
@@ -125,9 +133,6 @@ def merge_ledger(ledger: DataFrame, results: DataFrame, run_ts: str, assign_ids:
             "status"
         ),
     )
-    if not assign_ids:
-        return merged
-    return _assign_ids(merged, F.col("id").isNull(), _max_id(ledger)).select(*LEDGER_COLUMNS)
 
 
 def error_results(failed: DataFrame) -> DataFrame:

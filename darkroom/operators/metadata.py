@@ -169,7 +169,7 @@ def work_list(listing: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 def with_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, order_col: str = "file_path") -> DataFrame:
     """Batch number `ceil(position / batch_size)` in path order, and `position`."""
-    ranked = with_ordinal(df, [F.col(order_col)], name="position")
+    ranked = with_ordinal(df, [order_col], name="position")
     return ranked.withColumn("batch_no", F.ceil(F.col("position") / F.lit(batch_size)).cast("bigint"))
 
 

@@ -1,18 +1,20 @@
 """Row numbers within groups that stay balanced when one group is huge.
 
 `row_number() over (partition by g order by o)` sends a whole group to one
-task; with one key holding a third of the rows that task is the job. Here the
-rows are range-partitioned on (g, o) instead, so a hot group is cut into
-contiguous slices across tasks, and each row keeps its slice number.
-The sliced rows are written once to the shared checkpoint folder: slice
-numbers come from one sampled range exchange and are fixed on disk, so the
-per-slice row numbers and the per-slice sizes (one row per slice and group,
-at most `slices` rows per group) always agree, and a lost executor re-reads
-files instead of re-sampling. Offsets from the sizes are joined back.
-
-Cost: one range exchange + write, one window exchange on (slice, g) that is
-balanced by construction, one small aggregate and a join.
-The order must be total (end it with a unique column) for repeatable numbers.
+task; with one key holding a third of the rows that task is the job.
+
+Here every row gets a *slice*: the number of sampled boundaries of the
+composite key (g, o) that are <= its own key. Boundaries come from one
+bounded random sample (top-k by `rand`, evaluated in the JVM, like Spark's own
+range-partition sampling) and enter the plan as literals, so the slice is a
+pure function of the row's values: every branch of the plan, and every
+re-execution after a lost executor, assigns the same slice. A hot group is
+cut into contiguous slices; numbering within (slice, g) is a balanced window;
+the sizes of (slice, g) -- at most `slices` rows per group -- give offsets
+that are joined back.
+
+Order columns are ascending (NULLs first) and must make a total order (end
+with a unique column) for repeatable numbers.
 """
 
 from __future__ import annotations
@@ -22,15 +24,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from darkroom.session import materialize
-
 _SLICE = "_ord_slice"
 _LOCAL = "_ord_local"
 _OFFSET = "_ord_offset"
-
-
-def _as_col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+_SAMPLES_PER_SLICE = 20
+_SEED = 20240201
 
 
 def _slices(df: DataFrame) -> int:
@@ -38,25 +36,61 @@ def _slices(df: DataFrame) -> int:
     return int(conf.get("spark.sql.shuffle.partitions") or "200")
 
 
+def _sort_key(row: tuple) -> tuple:
+    # Spark's ascending order: NULL first; strings compare as UTF-8 bytes,
+    # which is code-point order, as in Python.
+    return tuple((v is not None, v) for v in row)
+
+
+def _boundaries(df: DataFrame, cols: list[str], slices: int) -> list[tuple]:
+    """Up to `slices - 1` ascending key boundaries from a bounded sample."""
+    if slices <= 1:
+        return []
+    k = _SAMPLES_PER_SLICE * slices
+    sample = df.select(*cols, F.rand(_SEED).alias("_u")).orderBy("_u").limit(k).select(*cols).collect()
+    keys = sorted((tuple(r) for r in sample), key=_sort_key)
+    if len(keys) < 2:
+        return []
+    step = len(keys) / slices
+    picks = sorted({min(len(keys) - 1, int(step * i)) for i in range(1, slices)})
+    return [keys[i] for i in picks]
+
+
+def _slice_expr(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
+    """Number of boundaries <= the row's key, by binary search (log2 steps)."""
+    if not bounds:
+        return F.lit(0)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    key = F.struct(*[F.col(c) for c in cols])
+    lits = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b)]) for b in bounds]
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key >= lits[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, len(bounds))
+
+
 def with_ordinal(
     df: DataFrame,
-    order_by: Sequence[Column | str],
+    order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     name: str = "ordinal",
     slices: int | None = None,
 ) -> DataFrame:
-    """Add `name`: 1-based position of each row in `order_by` order within its
-    `partition_by` group (whole table when empty). Runs one write job when
-    called (the sliced rows); the returned DataFrame reads that table."""
+    """Add `name`: 1-based position of each row in `order_by` order (column
+    names, ascending) within its `partition_by` group (whole table when
+    empty). Runs one bounded sampling job when called."""
     keys = list(partition_by)
-    order = [_as_col(c) for c in order_by]
+    order = list(order_by)
     n = slices or _slices(df)
+    bounds = _boundaries(df, keys + order, n)
+    sliced = df.withColumn(_SLICE, _slice_expr(df, keys + order, bounds))
 
-    ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn(_SLICE, F.spark_partition_id())
-    stored = materialize(ranged, "ordinal")
-
-    local = stored.withColumn(_LOCAL, F.row_number().over(Window.partitionBy(_SLICE, *keys).orderBy(*order)))
-    sizes = stored.groupBy(_SLICE, *keys).agg(F.count(F.lit(1)).alias("_size"))
+    local = sliced.withColumn(_LOCAL, F.row_number().over(Window.partitionBy(_SLICE, *keys).orderBy(*order)))
+    sizes = sliced.groupBy(_SLICE, *keys).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         F.col(_SLICE).alias("_o_slice"),

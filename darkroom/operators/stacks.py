@@ -58,7 +58,7 @@ def stack_groups(assets: DataFrame) -> DataFrame:
             F.col("_parent.original_file_name").alias("parent_name"),
         )
     )
-    return with_ordinal(groups, [F.col(k) for k in KEY], name="group_no")
+    return with_ordinal(groups, list(KEY), name="group_no")
 
 
 def stack_members(assets: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def stack_members(assets: DataFrame) -> DataFrame:
     # Group table has one row per key; AQE splits a hot key on the member side.
     members = cand.join(sizes, list(KEY), "left_semi")
     ranked = with_ordinal(
-        members, [F.col("jpeg_rank"), F.col("original_file_name"), F.col("asset_id")], partition_by=KEY, name="member_rank"
+        members, ["jpeg_rank", "original_file_name", "asset_id"], partition_by=KEY, name="member_rank"
     )
     return ranked.select(
         *KEY,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from darkroom.constants import METADATA_EXCLUDE_DIRS
+from darkroom.functions.exif import clean_text, parse_exif_date
 from darkroom.operators import merge, metadata
 from darkroom.operators.listing import metadata_listing
 from darkroom.sources.fixtures import (
@@ -28,25 +29,38 @@ def _records(spark, sf_dir) -> DataFrame:
     return exif_records(Fixtures(spark, sf_dir).fx_exif)
 
 
-def previous_catalogue(records: DataFrame) -> DataFrame:
-    """Catalogue left by an earlier run that saw files up to the cutoff: its
-    camera_model came from a manual tag (the event type) and it kept no JSON
-    for 'error' events, so those rows are incomplete and will be retried."""
-    old = metadata.exif_fields(records.where(F.col("ts") < F.lit(PREVIOUS_RUN_CUTOFF).cast("timestamp_ntz")),
-                               keep=("event_id", "event_type"))
+def previous_catalogue(fx_exif: DataFrame) -> DataFrame:
+    """Catalogue left by an earlier run that saw files up to the cutoff. It is
+    input state, derived with plain column rules from the typed fixture
+    columns: its camera_model came from a manual tag (the event type) and it
+    kept no JSON for 'error' events, so those rows are incomplete and will be
+    retried."""
+    old = exif_records(
+        fx_exif.where(F.col("ts") < F.lit(PREVIOUS_RUN_CUTOFF).cast("timestamp_ntz")),
+        keep=("date_time_original", "create_date", "make", "iso", "iso_value"),
+    )
+    date_text = F.when(F.col("date_time_original") != "", F.col("date_time_original")).otherwise(F.col("create_date"))
+    none = F.lit(None).cast("string")
     return old.select(
         F.col("event_id").alias("id"),
-        "file_path", "date_taken", "camera_make",
+        "file_path",
+        parse_exif_date(date_text).alias("date_taken"),
+        clean_text(F.col("make")).alias("camera_make"),
         F.upper("event_type").alias("camera_model"),
-        "lens", "shutter_speed", "iso", "aperture", "focal_length",
+        none.alias("lens"),
+        none.alias("shutter_speed"),
+        F.when(F.col("iso") != 0, F.col("iso").cast("string")).otherwise(F.col("iso_value").cast("string")).alias("iso"),
+        none.alias("aperture"),
+        none.alias("focal_length"),
         F.when(F.col("event_type") != "error", F.col("metadata_json")).alias("metadata_json"),
         F.lit(CATALOGUE_CREATED_AT).cast("timestamp_ntz").alias("created_at"),
     )
 
 
 def _work(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    recs = _records(spark, sf_dir)
-    old = previous_catalogue(recs)
+    fx = Fixtures(spark, sf_dir)
+    recs = exif_records(fx.fx_exif)
+    old = previous_catalogue(fx.fx_exif)
     todo = metadata.work_list(recs.select("file_path", "metadata_json"), old)
     return old, todo
 

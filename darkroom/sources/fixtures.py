@@ -174,7 +174,7 @@ class Fixtures:
         raise AttributeError(name)
 
 
-def exif_records(fx_exif: DataFrame) -> DataFrame:
+def exif_records(fx_exif: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """EXIF JSON records (file_path, metadata_json) built from fx_exif's typed
     columns; absent values are left out of the object (explicit option, not
     the session default)."""
@@ -188,6 +188,6 @@ def exif_records(fx_exif: DataFrame) -> DataFrame:
         F.col("iso_value").alias("ISOValue"),
     )
     return fx_exif.select(
-        "event_id", "ts", "event_type", "file_path",
+        "event_id", "ts", "event_type", "file_path", *keep,
         F.to_json(obj, {"ignoreNullFields": "true"}).alias("metadata_json"),
     )

@@ -20,7 +20,7 @@ def test_grouped_ordinal(spark):
 
 
 def test_global_ordinal_desc(spark):
-    df = spark.range(0, 2000).withColumn("v", (F.col("id") * 7919) % 1000)
-    got = [r.id for r in with_ordinal(df, [F.col("v").desc(), F.col("id")], name="n").orderBy("n").collect()]
+    df = spark.range(0, 2000).withColumn("neg_v", -((F.col("id") * 7919) % 1000))
+    got = [r.id for r in with_ordinal(df, ["neg_v", "id"], name="n").orderBy("n").collect()]
     expected = [i for _, i in sorted(((-(i * 7919 % 1000), i) for i in range(2000)))]
     assert got == expected
