@@ -200,10 +200,15 @@ def find_photos(
     Predicates are plain comparisons, so they reach the Parquet scan and prune
     month partitions of a catalogue written by `write_catalogue`."""
     cond = F.lit(True)
+    month = "taken_month" in catalogue.columns
     if date_from is not None:
         cond = cond & (F.col("date_taken") >= F.lit(date_from).cast("timestamp_ntz"))
+        if month:  # implied partition predicate, lets a stored catalogue prune months
+            cond = cond & (F.col("taken_month") >= date_from[:7])
     if date_to is not None:
         cond = cond & (F.col("date_taken") <= F.lit(date_to).cast("timestamp_ntz"))
+        if month:
+            cond = cond & (F.col("taken_month") <= date_to[:7])
     if make is not None:
         cond = cond & (F.col("camera_make") == make)
     if model is not None:
@@ -213,6 +218,14 @@ def find_photos(
     return catalogue.where(cond)
 
 
+def with_taken_month(catalogue: DataFrame) -> DataFrame:
+    """Partition column for stored catalogues: 'YYYY-MM' of date_taken
+    ('none' when undated)."""
+    return catalogue.withColumn(
+        "taken_month", F.coalesce(F.date_format("date_taken", "yyyy-MM"), F.lit("none"))
+    )
+
+
 def sample_rows(catalogue: DataFrame, n: int = 5) -> DataFrame:
     """The sample query `SELECT file_path, date_taken, camera_make, camera_model
     ... LIMIT 5`, ordered by path for repeatability (distributed top-k)."""

@@ -42,7 +42,7 @@ def run_catalogue(
     incoming = metadata.exif_fields(records.join(todo, "file_path", "left_semi"))
     accepted, duplicates = merge.check_keys(incoming)
     merged = merge.merge_catalogue(current, accepted, run_ts)
-    write_version(merged, catalogue_base, version)
+    write_version(metadata.with_taken_month(merged), catalogue_base, version, partition_by=("taken_month",))
     return {"processed": accepted.count(), "duplicates": duplicates.count(), "unreadable": rejects.count()}
 
 

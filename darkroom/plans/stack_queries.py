@@ -22,6 +22,12 @@ def q_stack_requests(spark, sf_dir):
     return stacks.stack_requests(Fixtures(spark, sf_dir).fx_assets)
 
 
+def q_stacked_assets(spark, sf_dir):
+    from darkroom.plans.jobs import stacked_assets
+
+    return stacked_assets(Fixtures(spark, sf_dir).fx_assets)
+
+
 _CAND = r"""
 cand AS (
   SELECT asset_id, coalesce(original_file_name, '') AS original_file_name,
@@ -64,6 +70,10 @@ SELECT base_name, local_date_time, CAST(1 AS BIGINT) AS chunk,
        string_agg(CAST(asset_id AS VARCHAR), ',' ORDER BY member_rank) AS asset_ids,
        '{"assetIds":[' || string_agg(CAST(asset_id AS VARCHAR), ',' ORDER BY member_rank) || ']}' AS body
 FROM ranked WHERE n_members > 1 GROUP BY base_name, local_date_time""",
+    "stacked_assets": duckdb_ctes("fx_assets") + "," + _CAND + """
+SELECT a.asset_id, a.original_file_name, a.local_date_time,
+       CAST(coalesce(r.n_members, a.stack_count) AS INTEGER) AS stack_count
+FROM fx_assets a LEFT JOIN (SELECT asset_id, n_members FROM ranked WHERE n_members > 1) r ON r.asset_id = a.asset_id""",
 }
 
 QUERIES = {
@@ -71,4 +81,5 @@ QUERIES = {
     "stack_members": q_stack_members,
     "stack_summary": q_stack_summary,
     "stack_requests": q_stack_requests,
+    "stacked_assets": q_stacked_assets,
 }
