@@ -72,6 +72,14 @@ def backup_summary(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
     )
 
 
+def upload_outcomes(results: DataFrame) -> DataFrame:
+    """Per source: files uploaded and upload errors of a run's results."""
+    return results.groupBy("source_type").agg(
+        F.count(F.when(F.col("status") == STATUS_UPLOADED, 1)).alias("uploaded"),
+        F.count(F.when(F.col("status") != STATUS_UPLOADED, 1)).alias("errors"),
+    )
+
+
 def flag_deletions(
     ledger: DataFrame,
     on_disk: DataFrame,

@@ -51,7 +51,15 @@ def copy_plan(card: DataFrame, destination: DataFrame, dest_base: str, run_date:
     destination (only base names are used, compared exactly)."""
     files = card.select("file_path", base_name("file_path").alias("file_name"))
     firsts = files.groupBy("file_name").agg(F.min("file_path").alias("_first_path"))
-    existing = destination.select(base_name("file_path").alias("file_name")).distinct().withColumn("_exists", F.lit(True))
+    # The library can be far larger than a card: keep only names the card
+    # has (semi-join, the card side is the small one) before de-duplicating.
+    card_names = files.select("file_name").distinct()
+    existing = (
+        destination.select(base_name("file_path").alias("file_name"))
+        .join(card_names, "file_name", "left_semi")
+        .distinct()
+        .withColumn("_exists", F.lit(True))
+    )
     j = files.join(firsts, "file_name", "inner").join(existing, "file_name", "left")
     exists = F.coalesce(F.col("_exists"), F.lit(False))
     first = F.col("file_path") == F.col("_first_path")

@@ -51,6 +51,10 @@ def q_merge_ledger(spark, sf_dir):
     return merge.merge_ledger(fx.fx_ledger, upload_results(_plan(fx)), RUN_TS).drop("id")
 
 
+def q_upload_outcomes(spark, sf_dir):
+    return backup.upload_outcomes(upload_results(_plan(Fixtures(spark, sf_dir))))
+
+
 def _flagged(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return backup.flag_deletions(fx.fx_ledger, fx.fx_files, ROOTS)
@@ -135,6 +139,10 @@ SELECT coalesce(o.file_path, n.file_path) AS file_path,
        {_on_success('md5_checksum')},
        CASE WHEN n.file_path IS NOT NULL THEN n.status ELSE o.status END AS status
 FROM fx_ledger o FULL OUTER JOIN res n ON o.file_path = n.file_path""",
+    "upload_outcomes": _BASE + """
+SELECT source_type, count(*) FILTER (WHERE status = 'uploaded') AS uploaded,
+       count(*) FILTER (WHERE status <> 'uploaded') AS errors
+FROM res GROUP BY source_type""",
     "deletion_audit": _BASE + f"""
 SELECT file_path, s3_key, 's3://{BUCKET}/' || s3_key AS s3_full_path, source_type, file_size, uploaded_at,
        md5_checksum, status AS original_status, TIMESTAMP '{RUN_TS}' AS deleted_at
@@ -150,6 +158,7 @@ QUERIES = {
     "upload_plan": q_upload_plan,
     "backup_summary": q_backup_summary,
     "merge_ledger": q_merge_ledger,
+    "upload_outcomes": q_upload_outcomes,
     "deletion_audit": q_deletion_audit,
     "ledger_after_deletion": q_ledger_after_deletion,
     "deletion_summary": q_deletion_summary,
