@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from darkroom import schemas
@@ -38,12 +38,19 @@ def run_catalogue(
     current = read_version(spark, catalogue_base, latest_version(spark, catalogue_base, before=version), schemas.CATALOGUE)
     listing = metadata_listing(list_media(spark, [image_root])).select("file_path")
     todo = metadata.take_batchwise(metadata.work_list(listing, current), limit, batch_size).select("file_path")
-    records, rejects = read_exif_json(spark, exif_dir)
+    records, unreadable = read_exif_json(spark, exif_dir)
     incoming = metadata.exif_fields(records.join(todo, "file_path", "left_semi"))
     accepted, duplicates = merge.check_keys(incoming)
+    # Counted while the merge is written (no second pass over the inputs).
+    seen = Observation("catalogue_run")
+    accepted = accepted.observe(seen, F.count(F.lit(1)).alias("processed"))
     merged = merge.merge_catalogue(current, accepted, run_ts)
     write_version(metadata.with_taken_month(merged), catalogue_base, version, partition_by=("taken_month",))
-    return {"processed": accepted.count(), "duplicates": duplicates.count(), "unreadable": rejects.count()}
+    rejects = duplicates.select("file_path", "reason").unionByName(
+        unreadable.select(F.col("landed_path").alias("file_path"), F.lit("unreadable").alias("reason"))
+    )
+    write_version(rejects, catalogue_base.rstrip("/") + "_rejects", version)
+    return {"processed": int(seen.get.get("processed", 0))}
 
 
 def plan_backup(spark: SparkSession, roots: Mapping[str, str], ledger_base: str, bucket: str, run_ts: str) -> DataFrame:
@@ -77,7 +84,9 @@ def sync_deletions(
     on_disk = list_media(spark, dict(roots))  # every file: no suffix or folder filter
     flagged = materialize(backup.flag_deletions(ledger, on_disk, roots, available), "flagged-ledger")
     audit = merge.add_missing_columns(backup.deletion_audit(flagged, bucket, run_ts), schemas.AUDIT)
-    audit.write.mode("append").parquet(audit_dir)
+    # Audit rows of a run land in that run's version: a retried run rewrites
+    # them instead of appending twice. Readers see all runs via partition discovery.
+    write_version(audit, audit_dir, version)
     write_version(backup.ledger_after_deletion(flagged), ledger_base, version)
     return audit.select("file_path", "s3_key", "s3_full_path", "source_type")
 

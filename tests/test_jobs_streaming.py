@@ -32,8 +32,11 @@ def test_catalogue_job_twice(spark):
     for i, (name, rec) in enumerate(recs.items()):
         rec = dict(rec, SourceFile=f"{images}/{name}")
         _write(f"{exif}/r{i}.json", json.dumps([rec]).encode())
+    _write(f"{exif}/bad.json", b"[]")
     first = jobs.run_catalogue(spark, images, exif, cat, 1, "2024-02-01 00:00:00")
     assert first["processed"] == 3
+    rej = spark.read.parquet(f"{cat}_rejects/v={1:012d}").collect()
+    assert [(os.path.basename(r.file_path), r.reason) for r in rej] == [("bad.json", "unreadable")]
     second = jobs.run_catalogue(spark, images, exif, cat, 2, "2024-02-02 00:00:00")
     assert second["processed"] == 1  # only the undated row is extracted again
     v2 = read_version(spark, cat, 2, schemas.CATALOGUE).orderBy("file_path").collect()
@@ -63,6 +66,8 @@ def test_backup_jobs(spark):
     v2 = read_version(spark, ledger, 2, schemas.LEDGER)
     assert sorted(r.s3_key for r in v2.collect()) == ["external/c.png", "internal/_b.NEF"]
     assert spark.read.parquet(audit).count() == 1
+    jobs.sync_deletions(spark, roots, ledger, audit, 2, "bkt", "2024-02-03 00:00:00")  # retried run
+    assert spark.read.parquet(audit).count() == 1
 
 
 def test_card_import_plan(spark):
