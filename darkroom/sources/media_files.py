@@ -5,10 +5,10 @@ Why not `binaryFile`: Spark's file sources skip names starting with '_' or
 see those files as deleted. This source lists every regular file.
 
 Layout of the work:
-- the driver only lists each root's first level (bounded by its fan-out) and
-  makes one partition per sub-directory, plus one for files directly in the
-  root (`split_depth=2` cuts one level deeper for card folders with many
-  files in one directory);
+- the driver only lists each root's first level (bounded by its fan-out):
+  one unit per sub-directory plus one for files directly in the root
+  (`split_depth=2` cuts one level deeper for card folders with many files in
+  one directory); units are dealt into at most `max_partitions` tasks;
 - each executor walks its own sub-tree, skips excluded directory names before
   descending, and optionally computes the MD5 of the content in fixed-size
   chunks (constant memory);
@@ -17,7 +17,8 @@ The roots must be on storage every executor sees (a shared mount).
 
 Options: `paths` (roots joined by the path separator `os.pathsep`),
 `exclude` (comma-separated directory names to prune), `checksum` ('true'
-to fill `md5`), `split_depth` ('1' or '2').
+to fill `md5`), `split_depth` ('1' or '2'), `max_partitions` (directories
+are dealt round-robin into at most this many tasks; default 1000).
 """
 
 from __future__ import annotations
@@ -35,14 +36,21 @@ SCHEMA = "root string, path string, modified timestamp_ntz, length bigint, md5 s
 _CHUNK = 1 << 20
 
 
-class _Part(InputPartition):
+class _Dir:
     def __init__(self, root: str, start: str, recursive: bool):
-        super().__init__((root, start, recursive))
         self.root = root
         self.start = start
         self.recursive = recursive
 
 
+class _Part(InputPartition):
+    """A group of directories walked by one task."""
+
+    def __init__(self, dirs: list[_Dir]):
+        super().__init__(len(dirs))
+        self.dirs = dirs
+
+
 def _md5(path: str) -> str | None:
     digest = hashlib.md5()
     try:
@@ -60,9 +68,10 @@ class MediaFilesReader(DataSourceReader):
         self.exclude = {e for e in options.get("exclude", "").split(",") if e}
         self.checksum = options.get("checksum", "false").lower() == "true"
         self.depth = int(options.get("split_depth", "1"))
+        self.max_partitions = int(options.get("max_partitions", "1000"))
 
-    def _dirs(self, root: str, top: str, depth: int) -> list[_Part]:
-        parts = [_Part(root, top, False)]  # files directly in `top`
+    def _dirs(self, root: str, top: str, depth: int) -> list[_Dir]:
+        parts = [_Dir(root, top, False)]  # files directly in `top`
         try:
             entries = sorted(os.scandir(top), key=lambda e: e.name)
         except OSError:
@@ -72,17 +81,22 @@ class MediaFilesReader(DataSourceReader):
                 if depth > 1:
                     parts.extend(self._dirs(root, e.path, depth - 1))
                 else:
-                    parts.append(_Part(root, e.path, True))
+                    parts.append(_Dir(root, e.path, True))
         return parts
 
     def partitions(self):
-        parts: list[_Part] = []
+        dirs: list[_Dir] = []
         for root in self.roots:
             if not os.path.isdir(root):
                 print(f"media_files: root does not exist, skipped: {root}", file=sys.stderr)
                 continue
-            parts.extend(self._dirs(root.rstrip("/") or "/", root.rstrip("/") or "/", self.depth))
-        return parts or [_Part("", "", False)]
+            top = root.rstrip("/") or "/"
+            dirs.extend(self._dirs(top, top, self.depth))
+        if not dirs:
+            return [_Part([])]
+        # At most `max_partitions` tasks: directories are dealt round-robin.
+        n = max(1, min(self.max_partitions, len(dirs)))
+        return [_Part(dirs[i::n]) for i in range(n)]
 
     def _row(self, root: str, path: str):
         try:
@@ -93,25 +107,27 @@ class MediaFilesReader(DataSourceReader):
         return (root, path, modified, st.st_size, _md5(path) if self.checksum else None)
 
     def read(self, partition: _Part):
-        if not partition.start:
-            return
-        if not partition.recursive:
+        for d in partition.dirs:
+            yield from self._read_dir(d)
+
+    def _read_dir(self, d: _Dir):
+        if not d.recursive:
             try:
-                entries = sorted(os.scandir(partition.start), key=lambda e: e.name)
+                entries = sorted(os.scandir(d.start), key=lambda e: e.name)
             except OSError:
                 return
             for e in entries:
                 if e.is_file(follow_symlinks=False):
-                    row = self._row(partition.root, e.path)
+                    row = self._row(d.root, e.path)
                     if row:
                         yield row
             return
-        for top, dirs, files in os.walk(partition.start):
-            dirs[:] = sorted(d for d in dirs if d not in self.exclude)
+        for top, subdirs, files in os.walk(d.start):
+            subdirs[:] = sorted(x for x in subdirs if x not in self.exclude)
             for name in sorted(files):
                 path = os.path.join(top, name)
                 if os.path.isfile(path) and not os.path.islink(path):
-                    row = self._row(partition.root, path)
+                    row = self._row(d.root, path)
                     if row:
                         yield row
 
