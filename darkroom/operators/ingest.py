@@ -76,6 +76,57 @@ def copy_plan(card: DataFrame, destination: DataFrame, dest_base: str, run_date:
     )
 
 
+_SUFFIXED = r"^(.*)_([1-9][0-9]*)\.([^.]*)$"
+
+
+def resolve_names(plan: DataFrame, occupied: DataFrame) -> DataFrame:
+    """Conflict suffixes of the card script: a planned copy whose destination
+    path is already taken (`occupied`: every entry at the destination, files
+    as well as links and folders, column `path`) goes to `stem_k.ext` with
+    the smallest k >= 1 that is free. Stem and extension split at the last
+    dot as the shell does (`${f%.*}`, `${f##*.}`; a name without a dot uses
+    itself for both). Destinations of the plan's other copies count as taken.
+
+    Exact and unbounded: the candidates for k are 1 and every taken k + 1;
+    the smallest candidate that is not taken is the answer (anti-join + min),
+    so no list of suffixes is ever gathered."""
+    copies = plan.where(F.col("action") == "copy")
+    taken_paths = occupied.select(F.col("path").alias("dest_path")).unionByName(copies.select("dest_path"))
+    # Copies whose target is taken by something other than themselves.
+    others = occupied.select(F.col("path").alias("dest_path"))
+    name = F.col("file_name")
+    hit = copies.join(others, "dest_path", "left_semi").select(
+        "file_path",
+        F.col("dest_dir").alias("_dir"),
+        F.regexp_replace(name, r"\.[^.]*$", "").alias("_stem"),
+        F.when(name.contains("."), F.regexp_extract(name, r"\.([^.]*)$", 1)).otherwise(name).alias("_ext"),
+    )
+    keys = ["_dir", "_stem", "_ext"]
+    entry = F.regexp_extract("dest_path", r"[^/]*$", 0)
+    taken = taken_paths.select(
+        F.regexp_extract("dest_path", r"^(.*)/[^/]*$", 1).alias("_dir"),
+        F.regexp_extract(entry, _SUFFIXED, 1).alias("_stem"),
+        F.regexp_extract(entry, _SUFFIXED, 3).alias("_ext"),
+        F.regexp_extract(entry, _SUFFIXED, 2).cast("bigint").alias("_k"),
+    ).where(entry.rlike(_SUFFIXED))
+    wanted = hit.select(*keys).distinct()
+    taken = taken.join(wanted, keys, "left_semi")
+    cands = wanted.withColumn("_k", F.lit(1).cast("bigint")).unionByName(taken.withColumn("_k", F.col("_k") + 1))
+    free = cands.join(taken, keys + ["_k"], "left_anti").groupBy(*keys).agg(F.min("_k").alias("_k"))
+    renamed = hit.join(free, keys, "inner").select(
+        "file_path",
+        F.concat(F.col("_dir"), F.lit("/"), F.col("_stem"), F.lit("_"), F.col("_k").cast("string"), F.lit("."), F.col("_ext")).alias(
+            "_new_path"
+        ),
+    )
+    out = plan.join(renamed, "file_path", "left")
+    return out.select(
+        *[c for c in plan.columns if c != "dest_path"],
+        F.coalesce("_new_path", "dest_path").alias("dest_path"),
+        F.col("_new_path").isNotNull().alias("renamed"),
+    )
+
+
 def copy_summary(plan: DataFrame) -> DataFrame:
     """Copied and skipped counters of a plan (one row)."""
     return plan.agg(

@@ -98,3 +98,22 @@ def test_route_volume(spark):
     assert route([("internal", "/srv/images", True, "50"), ("external", "/mnt/ext/images", True, "900")]) == ("internal", "/srv/images")
     assert route([("internal", "/srv/images", True, "n/a"), ("external", "/mnt/ext/images", True, "1")]) == ext
     assert route([("internal", "/srv/images", False, "0"), ("external", "/mnt/ext/images", True, "1")]) == ("internal", "/srv/images")
+
+
+def test_resolve_names(spark):
+    from darkroom.operators.ingest import resolve_names
+
+    card = spark.createDataFrame([("/card/DCIM/A.jpg",), ("/card/DCIM/B.jpg",), ("/card/DCIM/C.nef",), ("/card/DCIM/D_1.jpg",)],
+                                 "file_path string")
+    plan = copy_plan(card_files(card), spark.createDataFrame([], "file_path string"), "/lib", "2024/02/01")
+    d = "/lib/2024/02/01"
+    # Taken entries that the name check does not see (links, folders), and suffixes already used.
+    occupied = spark.createDataFrame(
+        [(f"{d}/A.jpg",), (f"{d}/A_1.jpg",), (f"{d}/A_3.jpg",), (f"{d}/C.nef",), (f"{d}/C_01.nef",), (f"{d}/D.jpg",)],
+        "path string",
+    )
+    out = {r.file_path.rsplit("/", 1)[1]: r for r in resolve_names(plan, occupied).collect()}
+    assert (out["A.jpg"].dest_path, out["A.jpg"].renamed) == (f"{d}/A_2.jpg", True)
+    assert (out["B.jpg"].dest_path, out["B.jpg"].renamed) == (f"{d}/B.jpg", False)
+    assert out["C.nef"].dest_path == f"{d}/C_1.nef"  # '_01' is not the suffix 1
+    assert out["D_1.jpg"].dest_path == f"{d}/D_1.jpg"
