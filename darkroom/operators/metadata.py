@@ -221,9 +221,10 @@ def find_photos(
 def with_taken_month(catalogue: DataFrame) -> DataFrame:
     """Partition column for stored catalogues: 'YYYY-MM' of date_taken
     ('none' when undated)."""
-    return catalogue.withColumn(
-        "taken_month", F.coalesce(F.date_format("date_taken", "yyyy-MM"), F.lit("none"))
-    )
+    # From wall-clock parts (date_format would go through the session time zone).
+    d = F.col("date_taken")
+    month = F.concat(F.lpad(F.year(d).cast("string"), 4, "0"), F.lit("-"), F.lpad(F.month(d).cast("string"), 2, "0"))
+    return catalogue.withColumn("taken_month", F.coalesce(month, F.lit("none")))
 
 
 def sample_rows(catalogue: DataFrame, n: int = 5) -> DataFrame:

@@ -30,10 +30,12 @@ _DIALECT = {
     "spark": {
         "string": "STRING",
         "ts_lit": "TIMESTAMP_NTZ",
-        "hour": "date_format({0}, 'yyyy-MM-dd') || 'T' || date_format({0}, 'HH') || ':00:00'",
+        # Built from wall-clock parts: date_format on TIMESTAMP_NTZ goes through
+        # the session time zone and moves times inside a DST gap.
+        "hour": "{Y} || '-' || {M} || '-' || {D} || 'T' || {h} || ':00:00'",
         "bytes": "octet_length({0})",
-        "ymd": "date_format({0}, 'yyyy/MM/dd')",
-        "exifts": "date_format({0}, 'yyyy:MM:dd HH:mm:ss')",
+        "ymd": "{Y} || '/' || {M} || '/' || {D}",
+        "exifts": "{Y} || ':' || {M} || ':' || {D} || ' ' || {h} || ':' || {m} || ':' || {s}",
         "rlike": "regexp_like({0}, {1})",
     },
     "duckdb": {
@@ -49,7 +51,15 @@ _DIALECT = {
 
 
 def _f(dialect: str, name: str, *args: str) -> str:
-    return _DIALECT[dialect][name].format(*args)
+    parts = {}
+    if dialect == "spark" and args:
+        t = args[0]
+        pad = "lpad(CAST({fn}({t}) AS STRING), {w}, '0')"
+        parts = {
+            k: pad.format(fn=fn, t=t, w=w)
+            for k, fn, w in (("Y", "year", 4), ("M", "month", 2), ("D", "day", 2), ("h", "hour", 2), ("m", "minute", 2), ("s", "second", 2))
+        }
+    return _DIALECT[dialect][name].format(*args, **parts)
 
 
 def _root_case(col: str) -> str:

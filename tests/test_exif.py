@@ -115,3 +115,16 @@ def test_exif_report_key_presence(spark):
 def test_clean_text(spark, value, expected):
     df = spark.createDataFrame([(value,)], "v string")
     assert df.select(clean_text(F.col("v")).alias("c")).first().c == expected
+
+
+def test_fixture_text_ignores_session_time_zone(spark):
+    from darkroom.sources.fixtures import _f
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        q = f"SELECT {_f('spark', 'exifts', 'ts')} AS e, {_f('spark', 'hour', 'ts')} AS h FROM (SELECT timestamp_ntz'2024-03-10 02:30:05' AS ts)"
+        r = spark.sql(q).first()
+        assert (r.e, r.h) == ("2024:03:10 02:30:05", "2024-03-10T02:00:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
