@@ -117,3 +117,26 @@ def test_resolve_names(spark):
     assert (out["B.jpg"].dest_path, out["B.jpg"].renamed) == (f"{d}/B.jpg", False)
     assert out["C.nef"].dest_path == f"{d}/C_1.nef"  # '_01' is not the suffix 1
     assert out["D_1.jpg"].dest_path == f"{d}/D_1.jpg"
+
+
+def test_hot_name_on_card_and_hot_duplicate_key(spark):
+    from pyspark.sql import functions as F
+
+    from darkroom.operators.merge import check_keys
+
+    # A third of the card shares one name.
+    paths = [(f"/card/DCIM/{i:05d}/HOT.JPG",) for i in range(3000)] + [(f"/card/DCIM/x/N{i}.JPG",) for i in range(6000)]
+    card = spark.createDataFrame(paths, "file_path string")
+    dest = spark.createDataFrame([("/lib/2020/01/01/N7.JPG",)], "file_path string")
+    plan = copy_plan(card_files(card), dest, "/lib", "2024/02/01")
+    rows = plan.select((F.col("file_name") == "HOT.JPG").alias("hot"), "action", "reason").collect()
+    counts = {}
+    for r in rows:
+        counts[(r.hot, r.action, r.reason)] = counts.get((r.hot, r.action, r.reason), 0) + 1
+    assert counts[(True, "copy", None)] == 1
+    assert counts[(True, "skip", "duplicate_on_card")] == 2999
+    assert counts[(False, "skip", "exists_at_destination")] == 1
+    first = plan.where("action = 'copy' AND file_name = 'HOT.JPG'").first()
+    assert first.file_path == "/card/DCIM/00000/HOT.JPG"
+    acc, rej = check_keys(card.withColumn("file_name", F.regexp_extract("file_path", "[^/]*$", 0)), key="file_name")
+    assert rej.count() == 3000 and acc.count() == 6000
