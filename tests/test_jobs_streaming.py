@@ -118,3 +118,18 @@ def test_stream_stacks_late_partner(spark):
     assert [(r.base_name, r.parent_id, r.asset_ids) for r in req] == [("A", "j1", "j1,r1")]
     st = {r.asset_id: r.stack_count for r in read_version(spark, state, latest_version(spark, state), schemas.ASSETS).collect()}
     assert st == {"j1": 2, "r1": 2, "r9": None}
+
+
+def test_cli_stack_and_libraries(spark, capsys):
+    from darkroom import cli
+
+    base = tempfile.mkdtemp(prefix="darkroom-cli-")
+    _write(f"{base}/pages/p.json", json.dumps({"assets": {"items": [
+        {"id": "a", "originalFileName": "X.JPG", "localDateTime": "t"},
+        {"id": "b", "originalFileName": "X.RAF", "localDateTime": "t"}], "nextPage": None}}).encode())
+    assert cli.main(["stack", "--pages", f"{base}/pages", "--plan-out", f"{base}/plan"]) == 0
+    assert [r.asset_ids for r in spark.read.parquet(f"{base}/plan").collect()] == ["a,b"]
+    _write(f"{base}/libs/l.json", json.dumps([{"id": "1", "type": "EXTERNAL"}, {"id": "2"}]).encode())
+    assert cli.main(["libraries", "--libraries", f"{base}/libs", "--external-only"]) == 0
+    out = capsys.readouterr().out
+    assert "EXTERNAL" in out and "UPLOAD" not in out
