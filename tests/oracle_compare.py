@@ -37,7 +37,17 @@ def _rows(cols, rows):
     return sorted(out, key=repr)
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+          "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE"}
+
+
 def compare(spark_df, con, sql):
+    s_types = dict(spark_df.dtypes)
+    rel = con.sql(sql)
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    wrong = {c: (t, d_types.get(c)) for c, t in s_types.items() if _TYPES.get(t, t) != d_types.get(c)}
+    if wrong:
+        return [f"types differ: {wrong}"]
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
     res = con.execute(sql)
