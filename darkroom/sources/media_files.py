@@ -12,7 +12,9 @@ Layout of the work:
 - each executor walks its own sub-tree, skips excluded directory names before
   descending, and optionally computes the MD5 of the content in fixed-size
   chunks (constant memory);
-- a missing root yields no partition (it is reported, not an error).
+- a missing root yields no partition (it is reported, not an error);
+- a symbolic link to a file is listed like the file (as `Path.is_file()`
+  does); linked directories are not descended into.
 The roots must be on storage every executor sees (a shared mount).
 
 Options: `paths` (roots joined by the path separator `os.pathsep`),
@@ -90,7 +92,7 @@ class MediaFilesReader(DataSourceReader):
             if not os.path.isdir(root):
                 print(f"media_files: root does not exist, skipped: {root}", file=sys.stderr)
                 continue
-            top = root.rstrip("/") or "/"
+            top = os.path.abspath(root)  # paths come out absolute, as the jobs key them
             dirs.extend(self._dirs(top, top, self.depth))
         if not dirs:
             return [_Part([])]
@@ -100,7 +102,7 @@ class MediaFilesReader(DataSourceReader):
 
     def _row(self, root: str, path: str):
         try:
-            st = os.stat(path, follow_symlinks=False)
+            st = os.stat(path)  # a link to a file counts as that file (size of the target)
         except OSError:
             return None
         modified = _dt.datetime.fromtimestamp(st.st_mtime, _dt.timezone.utc).replace(tzinfo=None)
@@ -117,7 +119,7 @@ class MediaFilesReader(DataSourceReader):
             except OSError:
                 return
             for e in entries:
-                if e.is_file(follow_symlinks=False):
+                if e.is_file():
                     row = self._row(d.root, e.path)
                     if row:
                         yield row
@@ -126,7 +128,7 @@ class MediaFilesReader(DataSourceReader):
             subdirs[:] = sorted(x for x in subdirs if x not in self.exclude)
             for name in sorted(files):
                 path = os.path.join(top, name)
-                if os.path.isfile(path) and not os.path.islink(path):
+                if os.path.isfile(path):
                     row = self._row(d.root, path)
                     if row:
                         yield row
@@ -172,7 +174,7 @@ def list_media(
     if isinstance(roots, dict):
         tag = None
         for source_type, root in roots.items():
-            cond = F.col("root") == root.rstrip("/")
+            cond = F.col("root") == os.path.abspath(root)
             tag = F.when(cond, F.lit(source_type)) if tag is None else tag.when(cond, F.lit(source_type))
         df = df.withColumn("source_type", tag)
     return df

@@ -97,3 +97,12 @@ def test_libraries(spark):
     assert (libs["3"].name, libs["3"].type) == (None, None)
     ext = sorted(r.id for r in libraries_to_scan(read_libraries(spark, d), external_only=True).collect())
     assert ext == ["1", "3"]
+
+
+def test_links_to_files_are_listed(spark):
+    root = _tree(["a.jpg", "sub/b.jpg"])
+    os.symlink(os.path.join(root, "a.jpg"), os.path.join(root, "link.jpg"))
+    os.symlink(os.path.join(root, "sub"), os.path.join(root, "linkdir"))
+    got = {os.path.relpath(r.file_path, root): r.file_size for r in list_media(spark, [root + "/"]).collect()}
+    assert set(got) == {"a.jpg", "sub/b.jpg", "link.jpg"}
+    assert got["link.jpg"] == got["a.jpg"]
