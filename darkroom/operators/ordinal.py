@@ -14,7 +14,9 @@ the sizes of (slice, g) -- at most `slices` rows per group -- give offsets
 that are joined back.
 
 Order columns are ascending (NULLs first) and must make a total order (end
-with a unique column) for repeatable numbers.
+with a unique column) for repeatable numbers. Like a range repartition, the
+input is evaluated twice (sample, then numbering); write an expensive input
+to the checkpoint folder first (`darkroom.session.materialize`).
 """
 
 from __future__ import annotations
