@@ -91,8 +91,12 @@ def with_ordinal(
     bounds = _boundaries(df, keys + order, n)
     sliced = df.withColumn(_SLICE, _slice_expr(df, keys + order, bounds))
 
-    local = sliced.withColumn(_LOCAL, F.row_number().over(Window.partitionBy(_SLICE, *keys).orderBy(*order)))
-    sizes = sliced.groupBy(_SLICE, *keys).agg(F.count(F.lit(1)).alias("_size"))
+    w = Window.partitionBy(_SLICE, *keys).orderBy(*order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # Row numbers and slice sizes in one window pass; the sizes table is a
+    # filter of that same output (one row per slice and group).
+    local = sliced.withColumn(_LOCAL, F.row_number().over(w)).withColumn("_size", F.count(F.lit(1)).over(whole))
+    sizes = local.where(F.col(_LOCAL) == 1).select(_SLICE, *keys, "_size")
     before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         F.col(_SLICE).alias("_o_slice"),
@@ -107,5 +111,5 @@ def with_ordinal(
         cond = cond & F.col(k).eqNullSafe(F.col("_o_" + k))
     joined = local.join(offsets, cond, "inner")
     return joined.withColumn(name, (F.col(_OFFSET) + F.col(_LOCAL)).cast("bigint")).drop(
-        _SLICE, _LOCAL, _OFFSET, "_o_slice", *["_o_" + k for k in keys]
+        _SLICE, _LOCAL, "_size", _OFFSET, "_o_slice", *["_o_" + k for k in keys]
     )
