@@ -3,7 +3,8 @@ written out as a new snapshot (see `darkroom.plans.snapshots`).
 
 Plain Parquet has no MERGE/DELETE, so each merge reads the current snapshot
 and the incoming rows, joins them once (a shuffle on `file_path`, a unique key,
-so no skew), and returns the whole next snapshot.
+so no skew), and returns the whole next snapshot. With ids, that result is
+stored once and only the inserted rows are numbered.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from darkroom.constants import STATUS_ERROR, STATUS_UPLOADED
 from darkroom.operators.metadata import CATALOGUE_COLUMNS
 from darkroom.operators.ordinal import with_ordinal
+from darkroom.session import materialize
 
 CATALOGUE_VALUES = CATALOGUE_COLUMNS[1:]  # the nine columns COALESCE(new, old) may fill
 LEDGER_COLUMNS = (
@@ -50,21 +52,19 @@ def _prefixed(df: DataFrame, prefix: str, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in cols])
 
 
-def _new_ids(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """(file_path, _new_id) for incoming paths absent from `existing`: max
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Ids for the inserted rows of a merge result (`id` NULL on them): max
     existing id + position in path order (SERIAL-like, dense, repeatable).
-    Only paths are read, so the projection of the incoming rows is not
-    computed for the numbering."""
-    fresh = incoming.select("file_path").join(existing.select("file_path"), "file_path", "left_anti")
-    start = _max_id(existing)
-    numbered = with_ordinal(fresh, ["file_path"], name="_pos")
-    return numbered.select("file_path", (F.lit(start) + F.col("_pos")).cast("bigint").alias("_new_id"))
 
-
-def _max_id(df: DataFrame) -> int:
-    # One bounded scalar through the driver (like SERIAL's sequence value).
-    row = df.agg(F.max("id")).first()
-    return int(row[0]) if row and row[0] is not None else 0
+    The merge result is written once to the checkpoint folder. The maximum is
+    a scalar subquery over its stored `id` column, and only inserted rows go
+    through the numbering windows; kept rows are read as they are. So the
+    join runs once, and nothing is joined back by path."""
+    stored = materialize(rows, "merge")
+    start = F.coalesce(stored.agg(F.max("id")).scalar(), F.lit(0).cast("bigint"))
+    fresh = with_ordinal(stored.where(F.col("id").isNull()), ["file_path"], name="_pos")
+    numbered = fresh.withColumn("id", (start + F.col("_pos")).cast("bigint")).drop("_pos")
+    return stored.where(F.col("id").isNotNull()).unionByName(numbered)
 
 
 def merge_catalogue(catalogue: DataFrame, incoming: DataFrame, run_ts: str, assign_ids: bool = True) -> DataFrame:
@@ -74,11 +74,7 @@ def merge_catalogue(catalogue: DataFrame, incoming: DataFrame, run_ts: str, assi
     `incoming` must have unique paths (run `check_keys` first)."""
     cols = ("id",) + CATALOGUE_COLUMNS + ("created_at",)
     o = _prefixed(catalogue, "o_", cols)
-    if assign_ids:
-        incoming = incoming.join(_new_ids(catalogue, incoming), "file_path", "left")
-    else:
-        incoming = incoming.withColumn("_new_id", F.lit(None).cast("bigint"))
-    n = _prefixed(incoming, "n_", CATALOGUE_COLUMNS + ("_new_id",))
+    n = _prefixed(incoming, "n_", CATALOGUE_COLUMNS)
     j = o.join(n, F.col("o_file_path") == F.col("n_file_path"), "full_outer")
     has_old = F.col("o_file_path").isNotNull()
     has_new = F.col("n_file_path").isNotNull()
@@ -90,12 +86,13 @@ def merge_catalogue(catalogue: DataFrame, incoming: DataFrame, run_ts: str, assi
         .alias(c)
         for c in CATALOGUE_VALUES
     ]
-    return j.select(
-        F.coalesce("o_id", "n__new_id").alias("id"),
+    out = j.select(
+        F.col("o_id").alias("id"),
         F.coalesce("o_file_path", "n_file_path").alias("file_path"),
         *values,
         F.when(has_old, F.col("o_created_at")).otherwise(F.lit(run_ts).cast("timestamp_ntz")).alias("created_at"),
     )
+    return _numbered(out) if assign_ids else out
 
 
 def merge_ledger(ledger: DataFrame, results: DataFrame, run_ts: str, assign_ids: bool = True) -> DataFrame:
@@ -106,11 +103,7 @@ def merge_ledger(ledger: DataFrame, results: DataFrame, run_ts: str, assign_ids:
     - 'error': a new path is inserted with status 'error' (size and md5 NULL,
       uploaded_at defaulted to run_ts); an existing row changes status only."""
     o = _prefixed(ledger, "o_", LEDGER_COLUMNS)
-    if assign_ids:
-        results = results.join(_new_ids(ledger, results), "file_path", "left")
-    else:
-        results = results.withColumn("_new_id", F.lit(None).cast("bigint"))
-    n = _prefixed(results, "n_", ("file_path", "s3_key", "source_type", "file_size", "md5_checksum", "status", "_new_id"))
+    n = _prefixed(results, "n_", ("file_path", "s3_key", "source_type", "file_size", "md5_checksum", "status"))
     j = o.join(n, F.col("o_file_path") == F.col("n_file_path"), "full_outer")
     has_old = F.col("o_file_path").isNotNull()
     has_new = F.col("n_file_path").isNotNull()
@@ -120,8 +113,8 @@ def merge_ledger(ledger: DataFrame, results: DataFrame, run_ts: str, assign_ids:
     def replaced_on_success(c: str) -> Column:
         return F.when(has_new & ok, F.col("n_" + c)).when(has_new & ~has_old, F.lit(None)).otherwise(F.col("o_" + c))
 
-    return j.select(
-        F.coalesce("o_id", "n__new_id").alias("id"),
+    out = j.select(
+        F.col("o_id").alias("id"),
         F.coalesce("o_file_path", "n_file_path").alias("file_path"),
         F.when(has_new & (ok | ~has_old), F.col("n_s3_key")).otherwise(F.col("o_s3_key")).alias("s3_key"),
         F.when(has_old, F.col("o_source_type")).otherwise(F.col("n_source_type")).alias("source_type"),
@@ -133,6 +126,7 @@ def merge_ledger(ledger: DataFrame, results: DataFrame, run_ts: str, assign_ids:
             "status"
         ),
     )
+    return _numbered(out) if assign_ids else out
 
 
 def error_results(failed: DataFrame) -> DataFrame:

@@ -168,8 +168,9 @@ def work_list(listing: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def with_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, order_col: str = "file_path") -> DataFrame:
-    """Batch number `ceil(position / batch_size)` in path order, and `position`."""
-    ranked = with_ordinal(df, [order_col], name="position")
+    """Batch number `ceil(position / batch_size)` in path order, and `position`.
+    The work list (a join result) is stored once before it is numbered."""
+    ranked = with_ordinal(df, [order_col], name="position", stored=True)
     return ranked.withColumn("batch_no", F.ceil(F.col("position") / F.lit(batch_size)).cast("bigint"))
 
 

@@ -15,8 +15,9 @@ that are joined back.
 
 Order columns are ascending (NULLs first) and must make a total order (end
 with a unique column) for repeatable numbers. Like a range repartition, the
-input is evaluated twice (sample, then numbering); write an expensive input
-to the checkpoint folder first (`darkroom.session.materialize`).
+input is read twice (sample, then numbering). `stored=True` writes it once to
+the checkpoint folder first, so an input that comes out of a shuffle (an
+aggregate, a join) is not computed twice.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from darkroom.session import materialize
+
 _SLICE = "_ord_slice"
 _LOCAL = "_ord_local"
 _OFFSET = "_ord_offset"
@@ -81,12 +84,16 @@ def with_ordinal(
     partition_by: Sequence[str] = (),
     name: str = "ordinal",
     slices: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Add `name`: 1-based position of each row in `order_by` order (column
     names, ascending) within its `partition_by` group (whole table when
-    empty). Runs one bounded sampling job when called."""
+    empty). Runs one bounded sampling job when called (after one write of
+    the input when `stored`)."""
     keys = list(partition_by)
     order = list(order_by)
+    if stored:
+        df = materialize(df, "ordinal-input")
     n = slices or _slices(df)
     bounds = _boundaries(df, keys + order, n)
     sliced = df.withColumn(_SLICE, _slice_expr(df, keys + order, bounds))

@@ -58,7 +58,8 @@ def stack_groups(assets: DataFrame) -> DataFrame:
             F.col("_parent.original_file_name").alias("parent_name"),
         )
     )
-    return with_ordinal(groups, list(KEY), name="group_no")
+    # The groups come out of a shuffle: stored once, read by sample and numbering.
+    return with_ordinal(groups, list(KEY), name="group_no", stored=True)
 
 
 def stack_members(assets: DataFrame) -> DataFrame:
@@ -69,7 +70,7 @@ def stack_members(assets: DataFrame) -> DataFrame:
     # Group table has one row per key; AQE splits a hot key on the member side.
     members = cand.join(sizes, list(KEY), "left_semi")
     ranked = with_ordinal(
-        members, ["jpeg_rank", "original_file_name", "asset_id"], partition_by=KEY, name="member_rank"
+        members, ["jpeg_rank", "original_file_name", "asset_id"], partition_by=KEY, name="member_rank", stored=True
     )
     return ranked.select(
         *KEY,

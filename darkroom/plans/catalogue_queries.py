@@ -10,6 +10,7 @@ from darkroom.constants import METADATA_EXCLUDE_DIRS
 from darkroom.functions.exif import clean_text, parse_exif_date
 from darkroom.operators import merge, metadata
 from darkroom.operators.listing import metadata_listing
+from darkroom.session import materialize
 from darkroom.sources.fixtures import (
     CATALOGUE_CREATED_AT,
     PREVIOUS_RUN_CUTOFF,
@@ -57,10 +58,17 @@ def previous_catalogue(fx_exif: DataFrame) -> DataFrame:
     )
 
 
+def stored_previous_catalogue(fx_exif: DataFrame) -> DataFrame:
+    """The previous catalogue as a run finds it: a stored table. Filters on it
+    (complete rows, the merge's key) then reach its Parquet scan, instead of
+    being pushed through the derivation and re-evaluating the date parse."""
+    return materialize(previous_catalogue(fx_exif), "previous-catalogue")
+
+
 def _work(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     fx = Fixtures(spark, sf_dir)
     recs = exif_records(fx.fx_exif)
-    old = previous_catalogue(fx.fx_exif)
+    old = stored_previous_catalogue(fx.fx_exif)
     todo = metadata.work_list(recs.select("file_path", "metadata_json"), old)
     return old, todo
 

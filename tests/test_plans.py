@@ -27,7 +27,13 @@ def test_no_cross_join_or_python(spark, name):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    plan = _plan(entry.queries()["catalogue_work_list"](spark, SF))
+    from darkroom.plans.catalogue_queries import previous_catalogue
+    from darkroom.sources.fixtures import Fixtures
+
+    plan = _plan(previous_catalogue(Fixtures(spark, SF).fx_exif))
     assert "PushedFilters: [IsNotNull(ts), LessThan(ts," in plan
+    # The work list reads the stored previous catalogue: complete-row filter at its scan.
+    plan = _plan(entry.queries()["catalogue_work_list"](spark, SF))
+    assert "PushedFilters: [IsNotNull(date_taken), IsNotNull(metadata_json)" in plan
     plan = _plan(entry.queries()["stack_summary"](spark, SF))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
