@@ -22,10 +22,12 @@ aggregate, a join) is not computed twice.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from darkroom.session import materialize
 
@@ -33,12 +35,16 @@ _SLICE = "_ord_slice"
 _LOCAL = "_ord_local"
 _OFFSET = "_ord_offset"
 _SAMPLES_PER_SLICE = 20
+_MAX_SLICES = 8192  # bounds the sample the driver sorts: at most 20 * 8192 keys
 _SEED = 20240201
+_CASE_LIMIT = 127  # boundaries searched by a generated CASE; more use the array search
+# Key types whose values JSON carries exactly (boundary literal as JSON text).
+_JSON_EXACT = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.BooleanType)
 
 
 def _slices(df: DataFrame) -> int:
     conf = df.sparkSession.conf
-    return int(conf.get("spark.sql.shuffle.partitions") or "200")
+    return min(int(conf.get("spark.sql.shuffle.partitions") or "200"), _MAX_SLICES)
 
 
 def _sort_key(row: tuple) -> tuple:
@@ -62,19 +68,49 @@ def _boundaries(df: DataFrame, cols: list[str], slices: int) -> list[tuple]:
 
 
 def _slice_expr(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
-    """Number of boundaries <= the row's key, by binary search (log2 steps)."""
+    """Number of boundaries <= the row's key, by binary search (log2 steps).
+
+    Up to `_CASE_LIMIT` boundaries the search is a nested CASE (compiled by
+    whole-stage codegen). Beyond that a CASE would grow with the cluster's
+    partition count, so the boundaries become one array literal and the same
+    search runs as a fixed number of `aggregate` steps: constant plan size
+    for any number of slices."""
     if not bounds:
         return F.lit(0)
     types = {f.name: f.dataType for f in df.schema.fields}
     key = F.struct(*[F.col(c) for c in cols])
-    lits = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b)]) for b in bounds]
+
+    def lits() -> list[Column]:
+        return [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b)]) for b in bounds]
+
+    if len(bounds) > _CASE_LIMIT:
+        n = len(bounds)
+        if all(isinstance(types[c], _JSON_EXACT) for c in cols):
+            # One JSON text literal, folded into one array literal by the optimizer.
+            row_type = T.ArrayType(T.StructType([T.StructField(c, types[c]) for c in cols]))
+            text = json.dumps([dict(zip(cols, b)) for b in bounds], ensure_ascii=False)
+            arr = F.from_json(F.lit(text), row_type)
+        else:
+            arr = F.array(*lits())
+
+        def step(acc: Column, _i: Column) -> Column:
+            lo, hi = acc["lo"], acc["hi"]
+            mid = ((lo + hi) / 2).cast("int")
+            right = F.struct((mid + 1).alias("lo"), hi.alias("hi"))
+            left = F.struct(lo.alias("lo"), mid.alias("hi"))
+            # element_at is 1-based: bounds[mid] of the 0-based search.
+            return F.when(lo < hi, F.when(key >= F.element_at(arr, mid + 1), right).otherwise(left)).otherwise(acc)
+
+        start = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length())), start, step)["lo"]
 
     def search(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(key >= lits[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
+        return F.when(key >= case_lits[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
 
+    case_lits = lits()
     return search(0, len(bounds))
 
 
@@ -94,7 +130,7 @@ def with_ordinal(
     order = list(order_by)
     if stored:
         df = materialize(df, "ordinal-input")
-    n = slices or _slices(df)
+    n = min(slices, _MAX_SLICES) if slices else _slices(df)
     bounds = _boundaries(df, keys + order, n)
     sliced = df.withColumn(_SLICE, _slice_expr(df, keys + order, bounds))
 

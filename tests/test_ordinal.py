@@ -24,3 +24,20 @@ def test_global_ordinal_desc(spark):
     got = [r.id for r in with_ordinal(df, ["neg_v", "id"], name="n").orderBy("n").collect()]
     expected = [i for _, i in sorted(((-(i * 7919 % 1000), i) for i in range(2000)))]
     assert got == expected
+
+
+def test_many_slices_use_the_array_search(spark):
+    # More boundaries than the CASE limit (a cluster with many shuffle
+    # partitions): the array-literal search must give the same exact positions.
+    rnd = random.Random(2)
+    rows = [("hot" if i % 3 == 0 else rnd.choice(["a", "b", None]), rnd.randint(0, 50), i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "g string, v int, id long")
+    got = {r.id: r.n for r in with_ordinal(df, ["v", "id"], partition_by=["g"], name="n", slices=400).collect()}
+    expected = {}
+    for g in {r[0] for r in rows}:
+        members = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1], r[2]))
+        expected.update({r[2]: i + 1 for i, r in enumerate(members)})
+    assert got == expected
+    plan = with_ordinal(df, ["v", "id"], name="n", slices=400)._jdf.queryExecution().optimizedPlan().toString()
+    # Constant plan size: the search step's own CASE only, not one per boundary.
+    assert "aggregate" in plan.lower() and plan.count("CASE WHEN") < 10
