@@ -30,6 +30,14 @@ def json_token(variant: Column, key: str) -> Column:
     return F.to_json(F.try_variant_get(variant, _path(key), "variant"))
 
 
+def json_tokens(variant: Column, keys: tuple[str, ...]) -> Column:
+    """Struct of the members `keys` as VARIANT values, read in one pass over
+    the object (NULL members when absent or when the record is no object).
+    `to_json` of a field is its canonical token, as `json_token` gives it."""
+    fields = ", ".join("`" + k.replace("`", "``") + "`: variant" for k in keys)
+    return F.try_variant_get(variant, "$", f"struct<{fields}>")
+
+
 def truthy_token(token: Column) -> Column:
     """Python truthiness of a JSON value given by its canonical token."""
     numeric_zero = F.coalesce(token.try_cast("double") == 0, F.lit(False))

@@ -27,7 +27,7 @@ from darkroom.functions.exif import (
     exif_date_ok,
     exif_date_parts,
     first_present,
-    json_token,
+    json_tokens,
     strip_text,
     truthy_token,
 )
@@ -86,13 +86,14 @@ def exif_fields(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         *keep,
         "file_path",
         "metadata_json",
-        F.try_parse_json("metadata_json").alias("_v"),
+        # Chain heads as VARIANT members, one pass over the parsed object.
+        json_tokens(F.try_parse_json("metadata_json"), _HEADS).alias("_v"),
         # Typed parse of the chain members as text (source spelling, e.g. '4.0').
         F.from_json("metadata_json", members).alias("_s"),
     ).select(*keep, "file_path", "metadata_json", "_v", *[F.col("_s")[k].alias(c) for k, c in slots.items()])
     tokens = parsed.select(
         *keep, "file_path", "metadata_json", *slots.values(),
-        *[json_token(F.col("_v"), k).alias(t) for k, t in toks.items()],
+        *[F.to_json(F.col("_v")[k]).alias(t) for k, t in toks.items()],
     )
     values = {k: F.col(c) for k, c in slots.items()}
     truthy = {k: truthy_token(F.col(t)) for k, t in toks.items()}

@@ -95,6 +95,23 @@ def test_exif_fields_chains(spark):
     assert a.metadata_json == json.dumps(recs[0])
 
 
+def test_exif_fields_token_edges(spark):
+    # Python `or` on the member values: key case matters, a JSON null and the
+    # number 0 are falsy, the string "0" and a non-empty list are truthy.
+    recs = [
+        {"lens": "lower", "Lens": None, "LensModel": "M1"},
+        {"ISO": "0", "ISOValue": 64},
+        {"ISO": 0.0, "ISOValue": 64, "FNumber": [1], "ApertureValue": 2},
+        {"ShutterSpeed": {}, "ExposureTime": False, "ShutterSpeedValue": 0},
+    ]
+    out = {r.file_path: r for r in exif_fields(_records(spark, recs)).collect()}
+    a, b, c, d = (out[f"/p/{i}.JPG"] for i in range(4))
+    assert a.lens == "M1"
+    assert b.iso == "0" and c.iso == "64"
+    assert c.aperture == "[1]"
+    assert d.shutter_speed == "0"
+
+
 def test_exif_keys_sorted(spark):
     recs = [{"b": 1, "a": "x", "C": None}]
     rows = exif_keys(_records(spark, recs)).orderBy("key_no").collect()
