@@ -23,6 +23,7 @@ from darkroom import schemas
 from darkroom.operators import merge, metadata, stacks
 from darkroom.plans.jobs import stacked_assets
 from darkroom.plans.snapshots import latest_version, read_version, write_version
+from darkroom.session import materialize
 from darkroom.sources.json_records import ASSET_PAGE_SCHEMA
 
 
@@ -72,7 +73,8 @@ def stream_stacks(spark: SparkSession, landing_dir: str, state_base: str, plans_
         merged = state.join(new.select("asset_id"), "asset_id", "left_anti").unionByName(new)
         keys = stacks.stack_candidates(new).select(*stacks.KEY).distinct()
         touched = stacks.stack_candidates(merged).join(keys, list(stacks.KEY), "left_semi").select("asset_id")
-        scope = merged.join(touched, "asset_id", "left_semi")
+        # Both outputs read the scope; stored once so the state is scanned once.
+        scope = materialize(merged.join(touched, "asset_id", "left_semi"), "stack-scope")
         write_version(stacks.stack_requests(scope), plans_base, version)
         updated = stacked_assets(scope)
         rest = merged.join(touched, "asset_id", "left_anti")
