@@ -64,11 +64,16 @@ def tag_text(tags: Column | str) -> Column:
 DATE_IN_NAME = r"([0-9]{4})([0-9]{2})([0-9]{2})"
 
 
-def date_dir(name: Column | str, run_date: str) -> Column:
-    """`YYYY/MM/DD` from the leftmost eight digits of a file name (not checked
-    to be a date); otherwise the run date given as 'YYYY/MM/DD'."""
+def date_dir(name: Column | str, run_date: str, validate: bool = False) -> Column:
+    """`YYYY/MM/DD` from the leftmost eight digits of a file name; otherwise
+    the run date given as 'YYYY/MM/DD'. As in the card script the digits are
+    not checked to be a date (`DSC_12345678` -> 1234/56/78); `validate=True`
+    sends digits that are no calendar date to the run date instead."""
     n = _col(name)
-    found = F.concat_ws(
-        "/", F.regexp_extract(n, DATE_IN_NAME, 1), F.regexp_extract(n, DATE_IN_NAME, 2), F.regexp_extract(n, DATE_IN_NAME, 3)
-    )
-    return F.when(n.rlike(DATE_IN_NAME), found).otherwise(F.lit(run_date))
+    parts = [F.regexp_extract(n, DATE_IN_NAME, i) for i in (1, 2, 3)]
+    found = F.concat_ws("/", *parts)
+    use = n.rlike(DATE_IN_NAME)
+    if validate:
+        real = F.try_make_timestamp_ntz(*[p.try_cast("int") for p in parts], F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)"))
+        use = use & real.isNotNull() & (parts[0].try_cast("int") >= 1)
+    return F.when(use, found).otherwise(F.lit(run_date))

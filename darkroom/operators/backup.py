@@ -40,14 +40,21 @@ def uploaded_paths(ledger: DataFrame) -> DataFrame:
 
 
 def upload_plan(
-    inventory: DataFrame, ledger: DataFrame, roots: Mapping[str, str], bucket: str, run_ts_iso: str
+    inventory: DataFrame,
+    ledger: DataFrame,
+    roots: Mapping[str, str],
+    bucket: str,
+    run_ts_iso: str,
+    storage_class: str | None = None,
 ) -> DataFrame:
     """Inventory minus paths already uploaded (error rows are retried), with
-    storage key, full URI and the tag text sent with the object."""
+    storage key, full URI and the tag text sent with the object.
+    `storage_class` (e.g. 'DEEP_ARCHIVE') adds a column naming the class to
+    request; the scripts send none, so by default there is no such column."""
     todo = inventory.join(uploaded_paths(ledger), "file_path", "left_anti")
     key = storage_key("file_path", "source_type", root_of("source_type", roots))
     planned = todo.select("file_path", "source_type", "file_size", "md5_checksum", key.alias("s3_key"))
-    return planned.select(
+    out = planned.select(
         "file_path",
         "source_type",
         "s3_key",
@@ -56,6 +63,7 @@ def upload_plan(
         "md5_checksum",
         tag_text(object_tags("source_type", run_ts_iso, "file_size", "file_path")).alias("tagging"),
     )
+    return out if storage_class is None else out.withColumn("storage_class", F.lit(storage_class))
 
 
 def backup_summary(inventory: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -43,12 +43,15 @@ def card_files(listing: DataFrame, card_col: str | None = None) -> DataFrame:
     return joined.where(inside & is_image_any_case(base_name("file_path"))).drop("_dcim", "_chosen")
 
 
-def copy_plan(card: DataFrame, destination: DataFrame, dest_base: str, run_date: str) -> DataFrame:
+def copy_plan(
+    card: DataFrame, destination: DataFrame, dest_base: str, run_date: str, validate_dates: bool = False
+) -> DataFrame:
     """One row per card file: action 'copy' or 'skip', the reason of a skip,
     and the destination path of a copy.
 
     card: file_path; destination: file_path of every file under the
-    destination (only base names are used, compared exactly)."""
+    destination (only base names are used, compared exactly).
+    `validate_dates`: see `date_dir` (off by default, as in the script)."""
     files = card.select("file_path", base_name("file_path").alias("file_name"))
     firsts = files.groupBy("file_name").agg(F.min("file_path").alias("_first_path"))
     # The library can be far larger than a card: keep only names the card
@@ -63,7 +66,7 @@ def copy_plan(card: DataFrame, destination: DataFrame, dest_base: str, run_date:
     j = files.join(firsts, "file_name", "inner").join(existing, "file_name", "left")
     exists = F.coalesce(F.col("_exists"), F.lit(False))
     first = F.col("file_path") == F.col("_first_path")
-    ddir = F.concat(F.lit(dest_base.rstrip("/") + "/"), date_dir("file_name", run_date))
+    ddir = F.concat(F.lit(dest_base.rstrip("/") + "/"), date_dir("file_name", run_date, validate_dates))
     action = F.when(exists | ~first, F.lit("skip")).otherwise(F.lit("copy"))
     reason = F.when(exists, F.lit("exists_at_destination")).when(~first, F.lit("duplicate_on_card"))
     return j.select(

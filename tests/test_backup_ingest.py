@@ -57,6 +57,9 @@ def test_upload_plan_retries_errors(spark):
     )
     plan = upload_plan(inv, _ledger(spark), ROOTS, "bkt", "2024-02-01T00:00:00").collect()
     assert sorted(r.s3_key for r in plan) == ["internal/err.jpg", "internal/new.jpg"]
+    assert "storage_class" not in plan[0].asDict()
+    deep = upload_plan(inv, _ledger(spark), ROOTS, "bkt", "2024-02-01T00:00:00", storage_class="DEEP_ARCHIVE")
+    assert {r.storage_class for r in deep.collect()} == {"DEEP_ARCHIVE"}
 
 
 def test_copy_plan_rules(spark):

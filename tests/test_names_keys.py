@@ -85,6 +85,14 @@ def test_date_dir(spark):
         assert r.d == cases[r.n]
 
 
+def test_date_dir_validated(spark):
+    cases = {"IMG_20240229_1.jpg": "2024/02/29", "IMG_20230229_1.jpg": "2024/02/01", "DSC_12345678.jpg": "2024/02/01",
+             "X_00000101.jpg": "2024/02/01", "DSCF0001.RAF": "2024/02/01"}
+    df = spark.createDataFrame([(n,) for n in cases], "n string")
+    for r in df.select("n", date_dir("n", "2024/02/01", validate=True).alias("d")).collect():
+        assert r.d == cases[r.n], r.n
+
+
 def test_tag_text(spark):
     df = spark.createDataFrame([("internal", 12, "/srv/images/a b&c.jpg")], "s string, size long, p string")
     t = df.select(tag_text(object_tags("s", "2024-02-01T00:00:00", "size", "p")).alias("t")).first().t
