@@ -26,9 +26,21 @@ def _md5(path: str):
     return digest.hexdigest()
 
 
-def with_checksum(df: DataFrame, path_col: str = "file_path", out_col: str = "md5_checksum") -> DataFrame:
-    """Add (or replace) `out_col` with the MD5 of the file at `path_col`."""
+def with_checksum(
+    df: DataFrame, path_col: str = "file_path", out_col: str = "md5_checksum", spread: bool = True
+) -> DataFrame:
+    """Add (or replace) `out_col` with the MD5 of the file at `path_col`.
+
+    Rows arrive partitioned as the listing made them (one folder per task),
+    so a folder holding a third of the files would be read by one task. With
+    `spread`, rows are first hash-partitioned by path into
+    `spark.sql.shuffle.partitions` parts. That shuffle moves small rows while
+    the hashing reads whole files. An explicit count is kept as it is by AQE,
+    which would otherwise merge the small rows into a few tasks."""
     base = df.drop(out_col) if out_col in df.columns else df
+    if spread:
+        parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions") or "200")
+        base = base.repartition(parts, path_col)
     schema = T.StructType(list(base.schema.fields) + [T.StructField(out_col, T.StringType())])
 
     def run(batches):

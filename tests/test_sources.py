@@ -106,3 +106,20 @@ def test_links_to_files_are_listed(spark):
     got = {os.path.relpath(r.file_path, root): r.file_size for r in list_media(spark, [root + "/"]).collect()}
     assert set(got) == {"a.jpg", "sub/b.jpg", "link.jpg"}
     assert got["link.jpg"] == got["a.jpg"]
+
+
+def test_with_checksum_spreads_a_hot_folder(spark):
+    from darkroom.functions.checksum import with_checksum
+
+    files = [f"hot/{i:03d}.JPG" for i in range(40)]
+    root = _tree(files)
+    paths = [(os.path.join(root, f),) for f in files] + [(os.path.join(root, "gone.JPG"),)]
+    df = spark.createDataFrame(paths, "file_path string").coalesce(1)  # one folder, one task
+    out = with_checksum(df)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert out.rdd.getNumPartitions() == parts
+    got = {r.file_path: r.md5_checksum for r in out.collect()}
+    assert got.pop(os.path.join(root, "gone.JPG")) is None
+    for path, digest in got.items():
+        with open(path, "rb") as fh:
+            assert digest == hashlib.md5(fh.read()).hexdigest()
