@@ -5,7 +5,7 @@ task; with one key holding a third of the rows that task is the job.
 
 Here every row gets a *slice*: the number of sampled boundaries of the
 composite key (g, o) that are <= its own key. Boundaries come from one
-bounded random sample (top-k by `rand`, evaluated in the JVM, like Spark's own
+bounded random sample (a Bernoulli sample in the JVM, like Spark's own
 range-partition sampling) and enter the plan as literals, so the slice is a
 pure function of the row's values: every branch of the plan, and every
 re-execution after a lost executor, assigns the same slice. A hot group is
@@ -54,11 +54,19 @@ def _sort_key(row: tuple) -> tuple:
 
 
 def _boundaries(df: DataFrame, cols: list[str], slices: int) -> list[tuple]:
-    """Up to `slices - 1` ascending key boundaries from a bounded sample."""
+    """Up to `slices - 1` ascending key boundaries from a bounded sample.
+
+    A Bernoulli sample of expected size 20 * slices (fraction from one count),
+    taken where the rows are: no task ever gathers more than its own share.
+    A top-k by `rand` would instead send every partition's k rows to one task."""
     if slices <= 1:
         return []
     k = _SAMPLES_PER_SLICE * slices
-    sample = df.select(*cols, F.rand(_SEED).alias("_u")).orderBy("_u").limit(k).select(*cols).collect()
+    total = df.count()
+    if total < 2:
+        return []
+    fraction = min(1.0, k / total)
+    sample = df.select(*cols).sample(fraction=fraction, seed=_SEED).collect()
     keys = sorted((tuple(r) for r in sample), key=_sort_key)
     if len(keys) < 2:
         return []
