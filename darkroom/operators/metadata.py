@@ -185,9 +185,22 @@ def take_batchwise(df: DataFrame, limit: int, batch_size: int = DEFAULT_BATCH_SI
     return batched.where(F.col("batch_no") <= last_batch)
 
 
+# Largest limit taken as a plain top-k: each input partition sends at most
+# this many rows to the one task that merges them.
+TOP_K_LIMIT = 1000
+
+
 def take_exact(df: DataFrame, limit: int, order_col: str = "file_path") -> DataFrame:
-    """Exact limit in path order (the alternative to the batch rounding)."""
-    return df.orderBy(order_col).limit(limit) if limit > 0 else df
+    """Exact limit in path order (the alternative to the batch rounding).
+    A small limit is a top-k. A larger one keeps positions <= limit from the
+    balanced ordinal, so no task gathers `limit` rows from every partition.
+    `order_col` must be unique for a repeatable cut."""
+    if limit <= 0:
+        return df
+    if limit <= TOP_K_LIMIT:
+        return df.orderBy(order_col).limit(limit)
+    ranked = with_ordinal(df, [order_col], name="_position", stored=True)
+    return ranked.where(F.col("_position") <= limit).drop("_position")
 
 
 def find_photos(

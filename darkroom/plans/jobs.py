@@ -37,7 +37,10 @@ def run_catalogue(
     catalogue row, project their EXIF records, merge, write version `version`."""
     current = read_version(spark, catalogue_base, latest_version(spark, catalogue_base, before=version), schemas.CATALOGUE)
     listing = metadata_listing(list_media(spark, [image_root])).select("file_path")
-    todo = metadata.take_batchwise(metadata.work_list(listing, current), limit, batch_size).select("file_path")
+    todo = metadata.work_list(listing, current)
+    if limit > 0:  # positions are needed only to cut at a whole batch
+        todo = metadata.take_batchwise(todo, limit, batch_size)
+    todo = todo.select("file_path")
     records, unreadable = read_exif_json(spark, exif_dir)
     incoming = metadata.exif_fields(records.join(todo, "file_path", "left_semi"))
     accepted, duplicates = merge.check_keys(incoming)

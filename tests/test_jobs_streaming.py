@@ -45,6 +45,19 @@ def test_catalogue_job_twice(spark):
     assert latest_version(spark, cat) == 2
 
 
+def test_catalogue_job_limit_rounds_up_to_a_batch(spark):
+    base = tempfile.mkdtemp(prefix="darkroom-job-limit-")
+    images, exif, cat = f"{base}/images", f"{base}/exif", f"{base}/catalogue"
+    names = ["a.JPG", "b.JPG", "_c.JPG"]
+    for i, name in enumerate(names):
+        _write(f"{images}/{name}", b"x")
+        _write(f"{exif}/r{i}.json", json.dumps([{"SourceFile": f"{images}/{name}", "CreateDate": "2024:01:02 03:04:05"}]).encode())
+    out = jobs.run_catalogue(spark, images, exif, cat, 1, "2024-02-01 00:00:00", limit=1, batch_size=2)
+    assert out["processed"] == 2  # the limit is checked after a whole batch
+    rows = read_version(spark, cat, 1, schemas.CATALOGUE).collect()
+    assert sorted(os.path.basename(r.file_path) for r in rows) == ["_c.JPG", "a.JPG"]  # path order
+
+
 def test_backup_jobs(spark):
     base = tempfile.mkdtemp(prefix="darkroom-bk-")
     roots = {"internal": f"{base}/int", "external": f"{base}/ext"}

@@ -41,3 +41,16 @@ def test_many_slices_use_the_array_search(spark):
     plan = with_ordinal(df, ["v", "id"], name="n", slices=400)._jdf.queryExecution().optimizedPlan().toString()
     # Constant plan size: the search step's own CASE only, not one per boundary.
     assert "aggregate" in plan.lower() and plan.count("CASE WHEN") < 10
+
+
+def test_take_exact_both_paths(spark, monkeypatch):
+    from darkroom.operators import metadata
+
+    rnd = random.Random(3)
+    paths = [f"/p/{rnd.randrange(10**9):09d}-{i}.JPG" for i in range(3000)]
+    df = spark.createDataFrame([(p,) for p in paths], "file_path string")
+    expected = sorted(paths)[:1234]
+    monkeypatch.setattr(metadata, "TOP_K_LIMIT", 5000)  # top-k path
+    assert [r.file_path for r in metadata.take_exact(df, 1234).collect()] == expected
+    monkeypatch.setattr(metadata, "TOP_K_LIMIT", 10)  # ordinal path
+    assert sorted(r.file_path for r in metadata.take_exact(df, 1234).collect()) == expected
