@@ -3,6 +3,8 @@ oracles. The oracle restates each rule in SQL on the typed fixture columns."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from darkroom.constants import METADATA_EXCLUDE_DIRS
 from darkroom.functions.exif import clean_text, parse_exif_date
 from darkroom.operators import merge, metadata
 from darkroom.operators.listing import metadata_listing
-from darkroom.session import materialize
+from darkroom.plans.snapshots import write_version
+from darkroom.session import checkpoint_dir, materialize
 from darkroom.sources.fixtures import (
     CATALOGUE_CREATED_AT,
     PREVIOUS_RUN_CUTOFF,
@@ -100,20 +103,29 @@ def q_merge_catalogue(spark, sf_dir):
     return m.select(*OUT, F.col("metadata_json").isNotNull().alias("has_metadata_json"), "created_at")
 
 
+def stored_catalogue(spark, sf_dir) -> DataFrame:
+    """The merged catalogue as a run leaves it: a snapshot version partitioned
+    by `taken_month`. Searches read it as users would, so a date range
+    prunes month partitions and its bounds reach the Parquet scan."""
+    base = f"{checkpoint_dir(spark)}/catalogue-{uuid.uuid4().hex}"
+    path = write_version(metadata.with_taken_month(_merged(spark, sf_dir, False)), base, 1, partition_by=("taken_month",))
+    return spark.read.parquet(path)
+
+
 def q_photos_by_date(spark, sf_dir):
-    return metadata.find_photos(_merged(spark, sf_dir, False), date_from=DATE_FROM, date_to=DATE_TO).select(*SEARCH_OUT)
+    return metadata.find_photos(stored_catalogue(spark, sf_dir), date_from=DATE_FROM, date_to=DATE_TO).select(*SEARCH_OUT)
 
 
 def q_photos_by_camera(spark, sf_dir):
-    return metadata.find_photos(_merged(spark, sf_dir, False), make="Canon", model="CLICK").select(*SEARCH_OUT)
+    return metadata.find_photos(stored_catalogue(spark, sf_dir), make="Canon", model="CLICK").select(*SEARCH_OUT)
 
 
 def q_photos_by_json(spark, sf_dir):
-    return metadata.find_photos(_merged(spark, sf_dir, False), json_equals={"Make": "FUJIFILM"}).select(*SEARCH_OUT)
+    return metadata.find_photos(stored_catalogue(spark, sf_dir), json_equals={"Make": "FUJIFILM"}).select(*SEARCH_OUT)
 
 
 def q_catalogue_sample(spark, sf_dir):
-    return metadata.sample_rows(_merged(spark, sf_dir, False))
+    return metadata.sample_rows(stored_catalogue(spark, sf_dir))
 
 
 def q_work_batches(spark, sf_dir):

@@ -37,3 +37,9 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(date_taken), IsNotNull(metadata_json)" in plan
     plan = _plan(entry.queries()["stack_summary"](spark, SF))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
+
+
+def test_date_search_prunes_months_and_pushes_bounds(spark):
+    plan = _plan(entry.queries()["photos_by_date"](spark, SF))
+    assert "PartitionFilters: [isnotnull(taken_month" in plan and "(taken_month" in plan
+    assert "PushedFilters: [IsNotNull(date_taken), GreaterThanOrEqual(date_taken," in plan
