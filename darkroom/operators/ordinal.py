@@ -132,8 +132,8 @@ def with_ordinal(
 ) -> DataFrame:
     """Add `name`: 1-based position of each row in `order_by` order (column
     names, ascending) within its `partition_by` group (whole table when
-    empty). Runs one bounded sampling job when called (after one write of
-    the input when `stored`)."""
+    empty). Runs a count and one bounded sampling job when called (after one
+    write of the input when `stored`)."""
     keys = list(partition_by)
     order = list(order_by)
     if stored:
