@@ -64,6 +64,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--bucket", required=True)
     b.add_argument("--plan-out")
     b.add_argument("--dry-run", action="store_true")
+    b.add_argument("--storage-class", help="storage class to request (the scripts send none)")
 
     d = sub.add_parser("deletions")
     d.add_argument("--root", action="append", required=True)
@@ -81,6 +82,7 @@ def main(argv: list[str] | None = None) -> int:
     k.add_argument("--internal-missing", action="store_true")
     k.add_argument("--plan-out")
     k.add_argument("--dry-run", action="store_true")
+    k.add_argument("--validate-dates", action="store_true", help="digits that are no date go to the run date")
 
     s = sub.add_parser("stack")
     s.add_argument("--pages", required=True)
@@ -100,7 +102,8 @@ def main(argv: list[str] | None = None) -> int:
                                     args.limit, args.batch_size)
         print(f"processed {counts['processed']} images")
     elif args.cmd == "backup":
-        _emit(jobs.plan_backup(spark, _roots(args.root), args.ledger, args.bucket, run_ts), args.plan_out, args.dry_run)
+        plan = jobs.plan_backup(spark, _roots(args.root), args.ledger, args.bucket, run_ts, args.storage_class)
+        _emit(plan, args.plan_out, args.dry_run)
     elif args.cmd == "deletions":
         plan = jobs.sync_deletions(spark, _roots(args.root), args.ledger, args.audit, args.version, args.bucket,
                                    run_ts, args.available)
@@ -111,7 +114,8 @@ def main(argv: list[str] | None = None) -> int:
             "volume string, path string, exists boolean, free_gb string",
         )
         run_date = _dt.date.today().strftime("%Y/%m/%d")
-        _emit(jobs.plan_card_import(spark, args.source, volumes, run_date), args.plan_out, args.dry_run)
+        plan = jobs.plan_card_import(spark, args.source, volumes, run_date, args.validate_dates)
+        _emit(plan, args.plan_out, args.dry_run)
     elif args.cmd == "stack":
         groups, requests = jobs.plan_stacks(spark, args.pages)
         _emit(requests, args.plan_out, args.dry_run)

@@ -56,11 +56,20 @@ def run_catalogue(
     return {"processed": int(seen.get.get("processed", 0))}
 
 
-def plan_backup(spark: SparkSession, roots: Mapping[str, str], ledger_base: str, bucket: str, run_ts: str) -> DataFrame:
+def plan_backup(
+    spark: SparkSession,
+    roots: Mapping[str, str],
+    ledger_base: str,
+    bucket: str,
+    run_ts: str,
+    storage_class: str | None = None,
+) -> DataFrame:
     """Upload plan of one backup run; MD5 is computed for planned files only."""
     ledger = read_version(spark, ledger_base, latest_version(spark, ledger_base), schemas.LEDGER)
     inventory = backup.backup_inventory(list_media(spark, dict(roots)))
-    plan = backup.upload_plan(inventory, ledger, roots, bucket, _dt.datetime.fromisoformat(run_ts).isoformat())
+    plan = backup.upload_plan(
+        inventory, ledger, roots, bucket, _dt.datetime.fromisoformat(run_ts).isoformat(), storage_class
+    )
     return with_checksum(plan)
 
 
@@ -94,14 +103,16 @@ def sync_deletions(
     return audit.select("file_path", "s3_key", "s3_full_path", "source_type")
 
 
-def plan_card_import(spark: SparkSession, card_root: str, volumes: DataFrame, run_date: str) -> DataFrame:
+def plan_card_import(
+    spark: SparkSession, card_root: str, volumes: DataFrame, run_date: str, validate_dates: bool = False
+) -> DataFrame:
     """Copy plan for one inserted card: pick the volume, list card and
     destination, de-duplicate by name, place by date from the name."""
     route = ingest.route_volume(volumes).first()  # one row, one value
     dest_base = route["dest_base"]
     card = ingest.card_files(list_media(spark, [card_root]).select("file_path"))
     destination = list_media(spark, [dest_base]).select("file_path")
-    return ingest.copy_plan(card, destination, dest_base, run_date)
+    return ingest.copy_plan(card, destination, dest_base, run_date, validate_dates)
 
 
 def plan_stacks(spark: SparkSession, pages_dir: str) -> tuple[DataFrame, DataFrame]:
