@@ -119,6 +119,15 @@ def exif_fields(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def project_for_merge(accepted: DataFrame) -> DataFrame:
+    """`exif_fields` of records whose paths are already unique (after
+    `merge.check_keys`), hash-partitioned by path first. The raw records
+    (path and JSON text) are shuffled once, the projection runs after that
+    exchange, and the catalogue merge joins on the same partitioning without
+    another shuffle. Unique keys make the partitioning free of hot keys."""
+    return exif_fields(accepted.repartition("file_path"))
+
+
 def exif_keys(records: DataFrame) -> DataFrame:
     """Every key and value of each record in key order (key_no from 1).
     Row-local: sorts each record's own entries, no shuffle."""

@@ -78,8 +78,8 @@ def _work(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 def _merged(spark, sf_dir, assign_ids: bool = True) -> DataFrame:
     old, todo = _work(spark, sf_dir)
-    incoming, _rejects = merge.check_keys(metadata.exif_fields(todo))
-    return merge.merge_catalogue(old, incoming, RUN_TS, assign_ids=assign_ids)
+    accepted, _rejects = merge.check_keys(todo)
+    return merge.merge_catalogue(old, metadata.project_for_merge(accepted), RUN_TS, assign_ids=assign_ids)
 
 
 def q_exif_fields(spark, sf_dir):

@@ -42,12 +42,12 @@ def run_catalogue(
         todo = metadata.take_batchwise(todo, limit, batch_size)
     todo = todo.select("file_path")
     records, unreadable = read_exif_json(spark, exif_dir)
-    incoming = metadata.exif_fields(records.join(todo, "file_path", "left_semi"))
-    accepted, duplicates = merge.check_keys(incoming)
+    accepted, duplicates = merge.check_keys(records.join(todo, "file_path", "left_semi"))
+    incoming = metadata.project_for_merge(accepted)
     # Counted while the merge is written (no second pass over the inputs).
     seen = Observation("catalogue_run")
-    accepted = accepted.observe(seen, F.count(F.lit(1)).alias("processed"))
-    merged = merge.merge_catalogue(current, accepted, run_ts)
+    incoming = incoming.observe(seen, F.count(F.lit(1)).alias("processed"))
+    merged = merge.merge_catalogue(current, incoming, run_ts)
     write_version(metadata.with_taken_month(merged), catalogue_base, version, partition_by=("taken_month",))
     rejects = duplicates.select("file_path", "reason").unionByName(
         unreadable.select(F.col("landed_path").alias("file_path"), F.lit("unreadable").alias("reason"))

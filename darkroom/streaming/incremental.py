@@ -44,8 +44,8 @@ def stream_catalogue(spark: SparkSession, landing_dir: str, catalogue_base: str,
             rec.alias("metadata_json"),
         ).where(F.col("metadata_json").isNotNull() & (F.regexp_replace("metadata_json", r"\s", "") != "{}"))
         current = read_version(spark, catalogue_base, latest_version(spark, catalogue_base, before=version), schemas.CATALOGUE)
-        accepted, _dups = merge.check_keys(metadata.exif_fields(records))
-        write_version(merge.merge_catalogue(current, accepted, run_ts), catalogue_base, version)
+        accepted, _dups = merge.check_keys(records)
+        write_version(merge.merge_catalogue(current, metadata.project_for_merge(accepted), run_ts), catalogue_base, version)
 
     query = (
         _landed_text(spark, landing_dir).writeStream.foreachBatch(batch)

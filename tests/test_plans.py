@@ -43,3 +43,13 @@ def test_date_search_prunes_months_and_pushes_bounds(spark):
     plan = _plan(entry.queries()["photos_by_date"](spark, SF))
     assert "PartitionFilters: [isnotnull(taken_month" in plan and "(taken_month" in plan
     assert "PushedFilters: [IsNotNull(date_taken), GreaterThanOrEqual(date_taken," in plan
+
+
+def test_merge_reuses_the_path_partitioning(spark):
+    from darkroom.plans.catalogue_queries import _merged
+
+    plan = _plan(_merged(spark, SF, assign_ids=False))
+    # Accepted raw records are partitioned by path once; the full outer join
+    # needs no second exchange on the incoming side.
+    assert "REPARTITION_BY_COL" in plan
+    assert "hashpartitioning(n_file_path" not in plan
