@@ -48,7 +48,7 @@ def q_backup_summary(spark, sf_dir):
 
 def q_merge_ledger(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return merge.merge_ledger(fx.fx_ledger, upload_results(_plan(fx)), RUN_TS).drop("id")
+    return merge.merge_ledger(fx.fx_ledger, upload_results(_plan(fx)), RUN_TS)
 
 
 def q_upload_outcomes(spark, sf_dir):
@@ -106,6 +106,13 @@ del AS (
     AND EXISTS (SELECT 1 FROM fx_files f2 WHERE f2.source_type = l.source_type))"""
 
 _NEW_OR_INSERT = "n.file_path IS NOT NULL AND (n.status = 'uploaded' OR o.file_path IS NULL)"
+# Surrogate ids: an existing row keeps its id; inserted rows get the old
+# maximum + their position in path order.
+_NEW_ID = (
+    "CASE WHEN o.file_path IS NOT NULL THEN o.id "
+    "ELSE coalesce((SELECT max(id) FROM {old}), 0) "
+    "+ row_number() OVER (PARTITION BY o.file_path IS NULL ORDER BY n.file_path) END AS id"
+)
 
 
 def _on_success(c: str) -> str:
@@ -130,7 +137,8 @@ SELECT i.source_type, count(*) AS listed,
 FROM inv i LEFT JOIN fx_ledger l ON l.file_path = i.file_path
 GROUP BY i.source_type""",
     "merge_ledger": _BASE + f"""
-SELECT coalesce(o.file_path, n.file_path) AS file_path,
+SELECT {_NEW_ID.format(old="fx_ledger")},
+       coalesce(o.file_path, n.file_path) AS file_path,
        CASE WHEN {_NEW_OR_INSERT} THEN n.s3_key ELSE o.s3_key END AS s3_key,
        CASE WHEN o.file_path IS NOT NULL THEN o.source_type ELSE n.source_type END AS source_type,
        {_on_success('file_size')},

@@ -100,7 +100,7 @@ def q_catalogue_work_list(spark, sf_dir):
 
 def q_merge_catalogue(spark, sf_dir):
     m = _merged(spark, sf_dir)
-    return m.select(*OUT, F.col("metadata_json").isNotNull().alias("has_metadata_json"), "created_at")
+    return m.select("id", *OUT, F.col("metadata_json").isNotNull().alias("has_metadata_json"), "created_at")
 
 
 def stored_catalogue(spark, sf_dir) -> DataFrame:
@@ -154,14 +154,17 @@ proj AS (
          make AS raw_make
   FROM fx_exif),
 old AS (
-  SELECT file_path, date_taken, camera_make, upper(event_type) AS camera_model, lens, shutter_speed, iso, aperture,
+  SELECT event_id AS id, file_path, date_taken, camera_make, upper(event_type) AS camera_model, lens, shutter_speed, iso, aperture,
          focal_length, event_type <> 'error' AS has_json, raw_make, TIMESTAMP '""" + CATALOGUE_CREATED_AT + """' AS created_at
   FROM proj WHERE ts < TIMESTAMP '""" + PREVIOUS_RUN_CUTOFF + """'),
 todo AS (
   SELECT p.* FROM proj p
   WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.file_path = p.file_path AND o.date_taken IS NOT NULL AND o.has_json)),
 merged AS (
-  SELECT coalesce(o.file_path, n.file_path) AS file_path,
+  SELECT CASE WHEN o.file_path IS NOT NULL THEN o.id
+              ELSE coalesce((SELECT max(id) FROM old), 0)
+                   + row_number() OVER (PARTITION BY o.file_path IS NULL ORDER BY n.file_path) END AS id,
+         coalesce(o.file_path, n.file_path) AS file_path,
 """ + ",\n".join(
     f"""         CASE WHEN o.file_path IS NULL THEN n.{c}
               WHEN n.file_path IS NOT NULL AND (o.date_taken IS NULL OR NOT o.has_json) THEN coalesce(n.{c}, o.{c})
@@ -201,7 +204,7 @@ SELECT file_path,
        'N/A' AS aperture, 'N/A' AS focal_length, 'N/A x N/A' AS dimensions
 FROM fx_exif""",
     "catalogue_work_list": _BASE + "\nSELECT file_path FROM todo",
-    "merge_catalogue": _BASE + f"\nSELECT {_COLS}, has_metadata_json, created_at FROM merged",
+    "merge_catalogue": _BASE + f"\nSELECT id, {_COLS}, has_metadata_json, created_at FROM merged",
     "photos_by_date": _BASE + f"""
 SELECT {_SEARCH} FROM merged
 WHERE date_taken >= TIMESTAMP '{DATE_FROM}' AND date_taken <= TIMESTAMP '{DATE_TO}'""",
