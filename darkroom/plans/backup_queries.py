@@ -65,7 +65,7 @@ def q_deletion_audit(spark, sf_dir):
 
 
 def q_ledger_after_deletion(spark, sf_dir):
-    return backup.ledger_after_deletion(_flagged(spark, sf_dir)).drop("id")
+    return backup.ledger_after_deletion(_flagged(spark, sf_dir))
 
 
 def q_deletion_summary(spark, sf_dir):
@@ -156,7 +156,7 @@ SELECT file_path, s3_key, 's3://{BUCKET}/' || s3_key AS s3_full_path, source_typ
        md5_checksum, status AS original_status, TIMESTAMP '{RUN_TS}' AS deleted_at
 FROM del""",
     "ledger_after_deletion": _BASE + """
-SELECT file_path, s3_key, source_type, file_size, uploaded_at, last_verified_at, md5_checksum, status
+SELECT id, file_path, s3_key, source_type, file_size, uploaded_at, last_verified_at, md5_checksum, status
 FROM fx_ledger l WHERE NOT EXISTS (SELECT 1 FROM del d WHERE d.file_path = l.file_path)""",
     "deletion_summary": _BASE + "\nSELECT source_type, count(*) AS deleted FROM del GROUP BY source_type",
 }
