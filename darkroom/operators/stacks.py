@@ -119,7 +119,14 @@ def stack_requests(assets: DataFrame, chunk_size: int = 1000) -> DataFrame:
     `{"ids": [...], "stackParentId": parent}` bodies adding more children.
     No group is ever gathered beyond `chunk_size` members."""
     m = stack_members(assets).withColumn("chunk", F.ceil(F.col("member_rank") / F.lit(chunk_size)).cast("bigint"))
-    parents = m.where("is_parent").select(*KEY, F.col("asset_id").alias("parent_id"))
+    # The parent (rank 1) from a partial aggregate: the same order as the
+    # ranking, without ranking the members a second time.
+    parents = (
+        stack_candidates(assets)
+        .groupBy(*KEY)
+        .agg(F.min(F.struct("jpeg_rank", "original_file_name", "asset_id")).alias("_p"))
+        .select(*KEY, F.col("_p.asset_id").alias("parent_id"))
+    )
     chunks = m.groupBy(*KEY, "chunk").agg(
         F.array_sort(F.collect_list(F.struct("member_rank", "asset_id"))).alias("_m"),
         F.count(F.lit(1)).alias("n_ids"),

@@ -123,10 +123,12 @@ def plan_stacks(spark: SparkSession, pages_dir: str) -> tuple[DataFrame, DataFra
 
 def stacked_assets(assets: DataFrame) -> DataFrame:
     """The asset listing after the planned stacks are applied (members get a
-    stack_count), for runs that track state themselves."""
-    members = stacks.stack_members(assets)
-    sizes = members.groupBy(*stacks.KEY).agg(F.count(F.lit(1)).cast("int").alias("n"))
-    marked = members.join(sizes, list(stacks.KEY)).select("asset_id", F.col("n").alias("_n"))
+    stack_count), for runs that track state themselves. Only group sizes are
+    needed: a partial count per key, joined back to the candidates (AQE
+    splits a hot key on the candidate side); members are not ranked."""
+    cand = stacks.stack_candidates(assets)
+    sizes = cand.groupBy(*stacks.KEY).agg(F.count(F.lit(1)).cast("int").alias("n")).where(F.col("n") > 1)
+    marked = cand.join(sizes, list(stacks.KEY)).select("asset_id", F.col("n").alias("_n"))
     return assets.join(marked, "asset_id", "left").select(
         "asset_id", "original_file_name", "local_date_time",
         F.coalesce("_n", "stack_count").cast("int").alias("stack_count"),
