@@ -9,7 +9,7 @@ truthiness of chain candidates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -187,10 +187,18 @@ def with_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, order_col:
 def take_batchwise(df: DataFrame, limit: int, batch_size: int = DEFAULT_BATCH_SIZE, order_col: str = "file_path") -> DataFrame:
     """Run limit checked after each whole batch, so it rounds up to a batch
     multiple (0 = no limit). Equal to the scripts when no file fails."""
-    batched = with_batches(df, batch_size, order_col)
     if limit <= 0:
-        return batched
+        return with_batches(df, batch_size, order_col)
     last_batch = -(-limit // batch_size)
+    cut = last_batch * batch_size
+    if cut <= TOP_K_LIMIT:
+        # A short run: a bounded top-k, numbered in one task (at most `cut`
+        # rows), instead of numbering the whole work list.
+        top = df.orderBy(order_col).limit(cut)
+        pos = F.row_number().over(Window.orderBy(order_col)).cast("bigint")
+        ranked = top.withColumn("position", pos)
+        return ranked.withColumn("batch_no", F.ceil(F.col("position") / F.lit(batch_size)).cast("bigint"))
+    batched = with_batches(df, batch_size, order_col)
     return batched.where(F.col("batch_no") <= last_batch)
 
 

@@ -54,3 +54,16 @@ def test_take_exact_both_paths(spark, monkeypatch):
     assert [r.file_path for r in metadata.take_exact(df, 1234).collect()] == expected
     monkeypatch.setattr(metadata, "TOP_K_LIMIT", 10)  # ordinal path
     assert sorted(r.file_path for r in metadata.take_exact(df, 1234).collect()) == expected
+
+
+def test_take_batchwise_both_paths(spark, monkeypatch):
+    from darkroom.operators import metadata
+
+    rnd = random.Random(4)
+    paths = [f"/p/{rnd.randrange(10**9):09d}-{i}.JPG" for i in range(900)]
+    df = spark.createDataFrame([(p,) for p in paths], "file_path string")
+    expected = [(p, i + 1, (i // 50) + 1) for i, p in enumerate(sorted(paths)[:150])]
+    for limit_k in (1000, 10):  # top-k path, then the ordinal path
+        monkeypatch.setattr(metadata, "TOP_K_LIMIT", limit_k)
+        got = sorted((r.file_path, r.position, r.batch_no) for r in metadata.take_batchwise(df, 120, 50).collect())
+        assert got == expected
