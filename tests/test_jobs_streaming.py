@@ -131,6 +131,9 @@ def test_stream_stacks_late_partner(spark):
     assert [(r.base_name, r.parent_id, r.asset_ids) for r in req] == [("A", "j1", "j1,r1")]
     st = {r.asset_id: r.stack_count for r in read_version(spark, state, latest_version(spark, state), schemas.ASSETS).collect()}
     assert st == {"j1": 2, "r1": 2, "r9": None}
+    # A run with nothing new lands no batch: no new plan or state version.
+    stream_stacks(spark, land, state, plans, ckpt)
+    assert latest_version(spark, plans) == v2 and latest_version(spark, state) == v2
 
 
 def test_cli_stack_and_libraries(spark, capsys):
