@@ -9,11 +9,14 @@ from darkroom.llm.best_fit_packing import pack_documents
 from darkroom.llm.bounded_ring import shard_rows
 from darkroom.llm.html_main_text import extract_pages
 from darkroom.llm.quality_rules import quality_rules
+from darkroom.llm.repeated_passages import remove_repeats
 from darkroom.llm.source_mix import mix_sources
+from darkroom.llm.store import ship_package
 from darkroom.llm.url_cascade import LISTED_NAMES, judge_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -37,6 +40,10 @@ def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
 def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
@@ -47,6 +54,7 @@ QUERIES = {
     "op4_html_main_text": op4_html_main_text,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_url_cascade": op7_url_cascade,
+    "op9_repeated_passages": op9_repeated_passages,
     "op10_bounded_ring": op10_bounded_ring,
 }
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from darkroom.session import checkpoint_dir
 
@@ -29,3 +32,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
         else:
             spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, as
+    `spark-submit --py-files` would, so that Python tasks can import it."""
+    context = spark.sparkContext
+    if getattr(context, "_darkroom_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="darkroom-py-"), "darkroom.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
+    context._darkroom_shipped = True
