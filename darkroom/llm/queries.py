@@ -3,11 +3,15 @@ where SQL can express one, its DuckDB text."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from darkroom.llm.best_fit_packing import pack_documents
 from darkroom.llm.bounded_ring import shard_rows
 from darkroom.llm.html_main_text import extract_pages
+from darkroom.llm.license_scan import scan_licences
+from darkroom.llm.lsh_forest import near_duplicates
+from darkroom.llm.posting_lists import nearest_neighbours
 from darkroom.llm.quality_rules import quality_rules
 from darkroom.llm.repeated_passages import remove_repeats
 from darkroom.llm.source_mix import mix_sources
@@ -28,6 +32,11 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op3_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per document: the class it belongs to and its number of links."""
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
@@ -36,10 +45,31 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def document_path() -> Column:
+    """`documents` as a tree of files: source/lang/hundred/name; the first of
+    each hundred ids is its directory's licence file, the first of each ten
+    thousand its language's."""
+    n = F.col("doc_id")
+    top = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")))
+    return (
+        F.when(n % 10_000 < 20, F.concat(top, F.lit("/LICENSE."), n.cast("string")))
+        .when(n % 100 < 20, F.concat_ws("/", top, F.floor(n / 100).cast("string"), F.concat(F.lit("LICENSE."), n.cast("string"))))
+        .otherwise(F.concat_ws("/", top, F.floor(n / 100).cast("string"), F.concat(n.cast("string"), F.lit(".txt"))))
+    )
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"), document_path(), ["doc_id"])
+
+
 def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op8_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
@@ -51,9 +81,12 @@ def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mix": op2_source_mix,
+    "op3_lsh_forest": op3_lsh_forest,
     "op4_html_main_text": op4_html_main_text,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_license_scan": op6_license_scan,
     "op7_url_cascade": op7_url_cascade,
+    "op8_posting_lists": op8_posting_lists,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_bounded_ring": op10_bounded_ring,
 }

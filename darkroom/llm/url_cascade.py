@@ -46,6 +46,8 @@ RULES = (
 LISTED_NAMES = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 LISTED_DOMAINS = tuple(f"{name}.example.{top}" for name in LISTED_NAMES for top in ("com", "net", "org"))
 MAX_BYTES = 64 << 20
+#: Levels halve, so this many are reached only if hashes of different keys agree.
+MAX_LEVELS = 100
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -68,6 +70,7 @@ def candidate_keys(host: str, path: str, path_lengths: list[int]) -> Column:
 
 @dataclass
 class Level:
+    number: int
     bits: int
     hashes: int
     words: np.ndarray
@@ -75,7 +78,7 @@ class Level:
     def has(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         out = np.ones(len(h1), dtype=bool)
         for i in range(self.hashes):
-            at = (h1 + np.uint64(i) * h2) % np.uint64(self.bits)
+            at = (h1 + np.uint64(i + 32 * self.number) * h2) % np.uint64(self.bits)
             out &= (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
         return out
 
@@ -99,24 +102,23 @@ class Cascade:
 
 
 def key_hashes(key: Column) -> tuple[Column, Column]:
-    return F.xxhash64(key, F.lit(11)), F.xxhash64(key, F.lit(13)).bitwiseOR(F.lit(1))
+    """Two non-negative hashes whose combinations h1 + i * h2 stay below 2**63."""
+    return F.xxhash64(key, F.lit(11)).bitwiseAND(F.lit((1 << 48) - 1)), F.xxhash64(key, F.lit(13)).bitwiseAND(F.lit((1 << 48) - 1)).bitwiseOR(F.lit(1))
 
 
-def filter_level(keys: DataFrame, n: int, rate: float, max_bytes: int) -> Level:
-    """A Bloom filter of rows (h1, h2): Spark sets the bits, 64 to a row."""
+def filter_level(keys: DataFrame, n: int, rate: float, max_bytes: int, number: int) -> Level:
+    """A Bloom filter of rows (h1, h2): Spark sets the bits, 64 to a row. Each
+    level has hash functions of its own, else keys would collide in all."""
     hashes = max(1, math.ceil(math.log2(1 / rate)))
-    bits = max(64, math.ceil(n * math.log2(1 / rate) / math.log(2)))
+    bits = max(64, math.ceil(n * math.log2(1 / rate) / math.log(2))) + 2 * number + 1
     if bits / 8 > max_bytes:
         raise ValueError(f"a filter of {bits // 8} bytes exceeds max_bytes={max_bytes}")
-    # unsigned 64-bit arithmetic in SQL: decimal(20,0) keeps it exact
-    unsigned = lambda c: F.when(F.col(c) < 0, F.col(c).cast("decimal(21,0)") + F.lit(1 << 64).cast("decimal(21,0)")).otherwise(F.col(c).cast("decimal(21,0)"))
-    wrapped = lambda i: F.pmod(F.pmod(unsigned("h1") + F.lit(i).cast("decimal(5,0)") * unsigned("h2"), F.lit(1 << 64).cast("decimal(21,0)")), F.lit(bits).cast("decimal(21,0)")).cast("long")
-    at = keys.select(F.explode(F.array(*[wrapped(i) for i in range(hashes)])).alias("at"))
-    rows = at.select(F.floor(F.col("at") / 64).alias("w"), F.shiftleft(F.lit(1).cast("long"), F.pmod("at", F.lit(64)).cast("int")).alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect()
+    at = keys.select(F.explode(F.array(*[F.pmod(F.col("h1") + (i + 32 * number) * F.col("h2"), F.lit(bits)) for i in range(hashes)])).alias("at"))
+    rows = at.select(F.floor(F.col("at") / 64).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("at", F.lit(64)).cast("int")).alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).collect()
     words = np.zeros(bits // 64 + 1, dtype=np.uint64)
     for r in rows:
         words[r["w"]] = np.uint64(r["b"] & 0xFFFFFFFFFFFFFFFF)
-    return Level(bits, hashes, words)
+    return Level(number, bits, hashes, words)
 
 
 def passing(keys: DataFrame, level: Level) -> DataFrame:
@@ -139,7 +141,9 @@ def build_cascade(universe: DataFrame, listed: DataFrame, max_bytes: int = MAX_B
     include, exclude, n = inside, outside, n_in
     while n:
         rate = 0.5 if levels else min(0.5, max(n_in / (1.4 * max(n_out, 1)), 1e-6))
-        levels.append(filter_level(include, n, rate, max_bytes))
+        if len(levels) == MAX_LEVELS:
+            raise ValueError("two keys of the universe have equal hashes")
+        levels.append(filter_level(include, n, rate, max_bytes, len(levels)))
         wrong = stored(passing(exclude, levels[-1]), "cascade-wrong")
         include, exclude, n = wrong, include, wrong.count()
     return Cascade(levels)
