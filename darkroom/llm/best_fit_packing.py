@@ -39,10 +39,10 @@ END_TOKEN = 1
 GROUP_SEQUENCES = 1500
 GROUP_PIECES = 50_000
 #: Entries of a worker's caches of words and of runs before they start anew.
-CACHE_WORDS = 600_000
-CACHE_RUNS = 600_000
+CACHE_WORDS = 200_000
+CACHE_RUNS = 300_000
 #: Bytes of text encoded together.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def default_tokenizer() -> str:
