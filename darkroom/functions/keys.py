@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -15,12 +16,13 @@ def _col(c: Column | str) -> Column:
 
 
 def root_of(source_type: Column | str, roots: Mapping[str, str]) -> Column:
-    """Root directory of a source tag, from the (small, fixed) root configuration.
+    """Root directory of a source tag, from the (small, fixed) root configuration,
+    made absolute as listed paths are.
     A CASE expression, so no join or broadcast is needed."""
     st = _col(source_type)
     out: Column | None = None
     for tag, root in roots.items():
-        out = F.when(st == tag, F.lit(root.rstrip("/"))) if out is None else out.when(st == tag, F.lit(root.rstrip("/")))
+        out = F.when(st == tag, F.lit(os.path.abspath(root))) if out is None else out.when(st == tag, F.lit(os.path.abspath(root)))
     return out if out is not None else F.lit(None).cast("string")
 
 

@@ -48,6 +48,28 @@ def check_keys(df: DataFrame, key: str = "file_path") -> tuple[DataFrame, DataFr
     return accepted, rejects
 
 
+def resolve_records(incoming: DataFrame, order: str) -> DataFrame:
+    """Several catalogue records of one path, applied in `order`, as one record.
+
+    Applied one by one, records fill a row until it has a date: so of the
+    records up to the first dated one, the last non-NULL value of each column
+    stays. Both aggregations combine before the shuffle."""
+    dated = incoming.where(F.col("date_taken").isNotNull()).groupBy(F.col("file_path").alias("_path")).agg(F.min(order).alias("_first"))
+    used = incoming.where(F.col("file_path").isNotNull()).join(dated, F.col("file_path") == F.col("_path"), "left")
+    used = used.where(F.col("_first").isNull() | (F.col(order) <= F.col("_first")))
+    return used.groupBy("file_path").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in CATALOGUE_VALUES])
+
+
+def resolve_results(results: DataFrame, order: str | None = None) -> DataFrame:
+    """Several upload results of one path as one: the last by `order`. Without
+    an order a success wins, so that no uploaded object becomes unknown."""
+    values = [c for c in results.columns if c not in ("file_path", order)]
+    by = [F.col(order)] if order else []
+    by += [F.col("status") == STATUS_UPLOADED, F.col("s3_key"), F.col("md5_checksum"), F.col("file_size")]
+    last = results.where(F.col("file_path").isNotNull()).groupBy("file_path").agg(F.max_by(F.struct(*values), F.struct(*by)).alias("_last"))
+    return last.select("file_path", "_last.*")
+
+
 def _prefixed(df: DataFrame, prefix: str, cols: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c).alias(prefix + c) for c in cols])
 

@@ -9,7 +9,7 @@ truthiness of chain candidates.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,8 +179,8 @@ def work_list(listing: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 def with_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, order_col: str = "file_path") -> DataFrame:
     """Batch number `ceil(position / batch_size)` in path order, and `position`.
-    The work list (a join result) is stored once before it is numbered."""
-    ranked = with_ordinal(df, [order_col], name="position", stored=True)
+    The ordinal stores the work list (a join result) once."""
+    ranked = with_ordinal(df, [order_col], name="position")
     return ranked.withColumn("batch_no", F.ceil(F.col("position") / F.lit(batch_size)).cast("bigint"))
 
 
@@ -190,34 +190,13 @@ def take_batchwise(df: DataFrame, limit: int, batch_size: int = DEFAULT_BATCH_SI
     if limit <= 0:
         return with_batches(df, batch_size, order_col)
     last_batch = -(-limit // batch_size)
-    cut = last_batch * batch_size
-    if cut <= TOP_K_LIMIT:
-        # A short run: a bounded top-k, numbered in one task (at most `cut`
-        # rows), instead of numbering the whole work list.
-        top = df.orderBy(order_col).limit(cut)
-        pos = F.row_number().over(Window.orderBy(order_col)).cast("bigint")
-        ranked = top.withColumn("position", pos)
-        return ranked.withColumn("batch_no", F.ceil(F.col("position") / F.lit(batch_size)).cast("bigint"))
-    batched = with_batches(df, batch_size, order_col)
-    return batched.where(F.col("batch_no") <= last_batch)
-
-
-# Largest limit taken as a plain top-k: each input partition sends at most
-# this many rows to the one task that merges them.
-TOP_K_LIMIT = 1000
+    return with_batches(df, batch_size, order_col).where(F.col("batch_no") <= last_batch)
 
 
 def take_exact(df: DataFrame, limit: int, order_col: str = "file_path") -> DataFrame:
     """Exact limit in path order (the alternative to the batch rounding).
-    A small limit is a top-k. A larger one keeps positions <= limit from the
-    balanced ordinal, so no task gathers `limit` rows from every partition.
     `order_col` must be unique for a repeatable cut."""
-    if limit <= 0:
-        return df
-    if limit <= TOP_K_LIMIT:
-        return df.orderBy(order_col).limit(limit)
-    ranked = with_ordinal(df, [order_col], name="_position", stored=True)
-    return ranked.where(F.col("_position") <= limit).drop("_position")
+    return df.orderBy(order_col).limit(limit) if limit > 0 else df
 
 
 def find_photos(
@@ -233,14 +212,15 @@ def find_photos(
     month partitions of a catalogue written by `write_catalogue`."""
     cond = F.lit(True)
     month = "taken_month" in catalogue.columns
+    low, high = (F.lit(d).cast("timestamp_ntz") for d in (date_from, date_to))
     if date_from is not None:
-        cond = cond & (F.col("date_taken") >= F.lit(date_from).cast("timestamp_ntz"))
+        cond = cond & (F.col("date_taken") >= low)
         if month:  # implied partition predicate, lets a stored catalogue prune months
-            cond = cond & (F.col("taken_month") >= date_from[:7])
+            cond = cond & (F.col("taken_month") >= month_text(low))
     if date_to is not None:
-        cond = cond & (F.col("date_taken") <= F.lit(date_to).cast("timestamp_ntz"))
+        cond = cond & (F.col("date_taken") <= high)
         if month:
-            cond = cond & (F.col("taken_month") <= date_to[:7])
+            cond = cond & (F.col("taken_month") <= month_text(high))
     if make is not None:
         cond = cond & (F.col("camera_make") == make)
     if model is not None:
@@ -250,13 +230,16 @@ def find_photos(
     return catalogue.where(cond)
 
 
+def month_text(d: Column) -> Column:
+    """'YYYY-MM' of a timestamp, from wall-clock parts (date_format would go
+    through the session time zone)."""
+    return F.concat(F.lpad(F.year(d).cast("string"), 4, "0"), F.lit("-"), F.lpad(F.month(d).cast("string"), 2, "0"))
+
+
 def with_taken_month(catalogue: DataFrame) -> DataFrame:
     """Partition column for stored catalogues: 'YYYY-MM' of date_taken
     ('none' when undated)."""
-    # From wall-clock parts (date_format would go through the session time zone).
-    d = F.col("date_taken")
-    month = F.concat(F.lpad(F.year(d).cast("string"), 4, "0"), F.lit("-"), F.lpad(F.month(d).cast("string"), 2, "0"))
-    return catalogue.withColumn("taken_month", F.coalesce(month, F.lit("none")))
+    return catalogue.withColumn("taken_month", F.coalesce(month_text(F.col("date_taken")), F.lit("none")))
 
 
 def sample_rows(catalogue: DataFrame, n: int = 5) -> DataFrame:

@@ -3,123 +3,30 @@
 `row_number() over (partition by g order by o)` sends a whole group to one
 task; with one key holding a third of the rows that task is the job.
 
-Here every row gets a *slice*: the number of sampled boundaries of the
-composite key (g, o) that are <= its own key. Boundaries come from one
-bounded random sample (a Bernoulli sample in the JVM, like Spark's own
-range-partition sampling) and enter the plan as literals, so the slice is a
-pure function of the row's values: every branch of the plan, and every
-re-execution after a lost executor, assigns the same slice. A hot group is
-cut into contiguous slices; numbering within (slice, g) is a balanced window;
-the sizes of (slice, g) -- at most `slices` rows per group -- give offsets
-that are joined back.
+Here rows are range-partitioned on the composite key (g, o) by
+`repartitionByRange` (Spark samples the boundaries), so a hot group is cut
+into contiguous slices. The result is written once with each row's partition
+number as its slice; everything after reads those files, so a lost executor
+cannot move a row to another slice. Rows are numbered inside (slice, g), and
+the sizes of (slice, g), one row per slice and group, give the offsets that
+are joined back.
 
 Order columns are ascending (NULLs first) and must make a total order (end
-with a unique column) for repeatable numbers. Like a range repartition, the
-input is read twice (sample, then numbering). `stored=True` writes it once to
-the checkpoint folder first, so an input that comes out of a shuffle (an
-aggregate, a join) is not computed twice.
+with a unique column) for repeatable numbers.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from darkroom.session import materialize
 
 _SLICE = "_ord_slice"
 _LOCAL = "_ord_local"
 _OFFSET = "_ord_offset"
-_SAMPLES_PER_SLICE = 20
-_MAX_SLICES = 8192  # bounds the sample the driver sorts: at most 20 * 8192 keys
-_SEED = 20240201
-_CASE_LIMIT = 127  # boundaries searched by a generated CASE; more use the array search
-# Key types whose values JSON carries exactly (boundary literal as JSON text).
-_JSON_EXACT = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.BooleanType)
-
-
-def _slices(df: DataFrame) -> int:
-    conf = df.sparkSession.conf
-    return min(int(conf.get("spark.sql.shuffle.partitions") or "200"), _MAX_SLICES)
-
-
-def _sort_key(row: tuple) -> tuple:
-    # Spark's ascending order: NULL first; strings compare as UTF-8 bytes,
-    # which is code-point order, as in Python.
-    return tuple((v is not None, v) for v in row)
-
-
-def _boundaries(df: DataFrame, cols: list[str], slices: int) -> list[tuple]:
-    """Up to `slices - 1` ascending key boundaries from a bounded sample.
-
-    A Bernoulli sample of expected size 20 * slices (fraction from one count),
-    taken where the rows are: no task ever gathers more than its own share.
-    A top-k by `rand` would instead send every partition's k rows to one task."""
-    if slices <= 1:
-        return []
-    k = _SAMPLES_PER_SLICE * slices
-    total = df.count()
-    if total < 2:
-        return []
-    fraction = min(1.0, k / total)
-    sample = df.select(*cols).sample(fraction=fraction, seed=_SEED).collect()
-    keys = sorted((tuple(r) for r in sample), key=_sort_key)
-    if len(keys) < 2:
-        return []
-    step = len(keys) / slices
-    picks = sorted({min(len(keys) - 1, int(step * i)) for i in range(1, slices)})
-    return [keys[i] for i in picks]
-
-
-def _slice_expr(df: DataFrame, cols: list[str], bounds: list[tuple]) -> Column:
-    """Number of boundaries <= the row's key, by binary search (log2 steps).
-
-    Up to `_CASE_LIMIT` boundaries the search is a nested CASE (compiled by
-    whole-stage codegen). Beyond that a CASE would grow with the cluster's
-    partition count, so the boundaries become one array literal and the same
-    search runs as a fixed number of `aggregate` steps: constant plan size
-    for any number of slices."""
-    if not bounds:
-        return F.lit(0)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    key = F.struct(*[F.col(c) for c in cols])
-
-    def lits() -> list[Column]:
-        return [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(cols, b)]) for b in bounds]
-
-    if len(bounds) > _CASE_LIMIT:
-        n = len(bounds)
-        if all(isinstance(types[c], _JSON_EXACT) for c in cols):
-            # One JSON text literal, folded into one array literal by the optimizer.
-            row_type = T.ArrayType(T.StructType([T.StructField(c, types[c]) for c in cols]))
-            text = json.dumps([dict(zip(cols, b)) for b in bounds], ensure_ascii=False)
-            arr = F.from_json(F.lit(text), row_type)
-        else:
-            arr = F.array(*lits())
-
-        def step(acc: Column, _i: Column) -> Column:
-            lo, hi = acc["lo"], acc["hi"]
-            mid = ((lo + hi) / 2).cast("int")
-            right = F.struct((mid + 1).alias("lo"), hi.alias("hi"))
-            left = F.struct(lo.alias("lo"), mid.alias("hi"))
-            # element_at is 1-based: bounds[mid] of the 0-based search.
-            return F.when(lo < hi, F.when(key >= F.element_at(arr, mid + 1), right).otherwise(left)).otherwise(acc)
-
-        start = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
-        return F.aggregate(F.sequence(F.lit(1), F.lit(n.bit_length())), start, step)["lo"]
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key >= case_lits[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
-
-    case_lits = lits()
-    return search(0, len(bounds))
 
 
 def with_ordinal(
@@ -128,26 +35,18 @@ def with_ordinal(
     partition_by: Sequence[str] = (),
     name: str = "ordinal",
     slices: int | None = None,
-    stored: bool = False,
 ) -> DataFrame:
     """Add `name`: 1-based position of each row in `order_by` order (column
     names, ascending) within its `partition_by` group (whole table when
-    empty). Runs a count and one bounded sampling job when called (after one
-    write of the input when `stored`)."""
+    empty). Writes the range-partitioned input once when called."""
     keys = list(partition_by)
     order = list(order_by)
-    if stored:
-        df = materialize(df, "ordinal-input")
-    n = min(slices, _MAX_SLICES) if slices else _slices(df)
-    bounds = _boundaries(df, keys + order, n)
-    sliced = df.withColumn(_SLICE, _slice_expr(df, keys + order, bounds))
+    ranged = df.repartitionByRange(slices, *keys, *order) if slices else df.repartitionByRange(*keys, *order)
+    sliced = materialize(ranged.withColumn(_SLICE, F.spark_partition_id()), "ordinal-input")
 
     w = Window.partitionBy(_SLICE, *keys).orderBy(*order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # Row numbers and slice sizes in one window pass; the sizes table is a
-    # filter of that same output (one row per slice and group).
-    local = sliced.withColumn(_LOCAL, F.row_number().over(w)).withColumn("_size", F.count(F.lit(1)).over(whole))
-    sizes = local.where(F.col(_LOCAL) == 1).select(_SLICE, *keys, "_size")
+    local = sliced.withColumn(_LOCAL, F.row_number().over(w))
+    sizes = sliced.groupBy(_SLICE, *keys).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         F.col(_SLICE).alias("_o_slice"),
@@ -155,12 +54,12 @@ def with_ordinal(
         F.coalesce(F.sum("_size").over(before), F.lit(0)).alias(_OFFSET),
     )
     if not keys:
-        # Exactly one row per slice: bounded by `n`, safe to broadcast.
+        # One row per range partition: bounded by spark.sql.shuffle.partitions.
         offsets = F.broadcast(offsets)
     cond = F.col(_SLICE) == F.col("_o_slice")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col("_o_" + k))
     joined = local.join(offsets, cond, "inner")
     return joined.withColumn(name, (F.col(_OFFSET) + F.col(_LOCAL)).cast("bigint")).drop(
-        _SLICE, _LOCAL, "_size", _OFFSET, "_o_slice", *["_o_" + k for k in keys]
+        _SLICE, _LOCAL, _OFFSET, "_o_slice", *["_o_" + k for k in keys]
     )

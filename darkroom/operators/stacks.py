@@ -58,8 +58,7 @@ def stack_groups(assets: DataFrame) -> DataFrame:
             F.col("_parent.original_file_name").alias("parent_name"),
         )
     )
-    # The groups come out of a shuffle: stored once, read by sample and numbering.
-    return with_ordinal(groups, list(KEY), name="group_no", stored=True)
+    return with_ordinal(groups, list(KEY), name="group_no")
 
 
 def stack_members(assets: DataFrame) -> DataFrame:
@@ -70,7 +69,7 @@ def stack_members(assets: DataFrame) -> DataFrame:
     # Group table has one row per key; AQE splits a hot key on the member side.
     members = cand.join(sizes, list(KEY), "left_semi")
     ranked = with_ordinal(
-        members, ["jpeg_rank", "original_file_name", "asset_id"], partition_by=KEY, name="member_rank", stored=True
+        members, ["jpeg_rank", "original_file_name", "asset_id"], partition_by=KEY, name="member_rank"
     )
     return ranked.select(
         *KEY,
@@ -114,10 +113,9 @@ def stack_summary(assets: DataFrame) -> DataFrame:
 
 
 def stack_requests(assets: DataFrame, chunk_size: int = 1000) -> DataFrame:
-    """Request bodies per stack, in bounded chunks: chunk 1 is the
-    `{"assetIds": [parent, children...]}` body; later chunks of a huge group are
-    `{"ids": [...], "stackParentId": parent}` bodies adding more children.
-    No group is ever gathered beyond `chunk_size` members."""
+    """Request bodies per stack, `{"assetIds": [parent, members...]}`, the same
+    kind for every group: a group of more than `chunk_size` members has several,
+    each with the parent first, so no body gathers a huge group."""
     m = stack_members(assets).withColumn("chunk", F.ceil(F.col("member_rank") / F.lit(chunk_size)).cast("bigint"))
     # The parent (rank 1) from a partial aggregate: the same order as the
     # ranking, without ranking the members a second time.
@@ -133,9 +131,8 @@ def stack_requests(assets: DataFrame, chunk_size: int = 1000) -> DataFrame:
     )
     ids = F.transform(F.col("_m"), lambda x: x["asset_id"])
     out = chunks.join(parents, list(KEY), "inner")
-    body = F.when(
-        F.col("chunk") == 1, F.to_json(F.struct(ids.alias("assetIds")))
-    ).otherwise(F.to_json(F.struct(ids.alias("ids"), F.col("parent_id").alias("stackParentId"))))
+    head = F.when(F.col("chunk") > 1, F.array("parent_id")).otherwise(F.slice(F.array("parent_id"), 1, 0))
+    body = F.to_json(F.struct(F.concat(head, ids).alias("assetIds")))
     return out.select(
         *KEY,
         "chunk",

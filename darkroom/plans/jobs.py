@@ -37,21 +37,20 @@ def run_catalogue(
     catalogue row, project their EXIF records, merge, write version `version`."""
     current = read_version(spark, catalogue_base, latest_version(spark, catalogue_base, before=version), schemas.CATALOGUE)
     listing = metadata_listing(list_media(spark, [image_root])).select("file_path")
-    todo = metadata.work_list(listing, current)
-    if limit > 0:  # positions are needed only to cut at a whole batch
-        todo = metadata.take_batchwise(todo, limit, batch_size)
-    todo = todo.select("file_path")
+    todo = metadata.work_list(listing, current).select("file_path")
     records, unreadable = read_exif_json(spark, exif_dir)
-    accepted, duplicates = merge.check_keys(records.join(todo, "file_path", "left_semi"))
-    incoming = metadata.project_for_merge(accepted)
+    # Stored once: the walk and the landed files are read at one moment.
+    landed = materialize(metadata.exif_fields(records.join(todo, "file_path", "left_semi"), keep=("landed_at",)), "landed-records")
+    incoming = merge.resolve_records(landed, "landed_at")
+    if limit > 0:  # the limit counts files that have a record, not listed files
+        done = metadata.take_batchwise(incoming.select("file_path"), limit, batch_size)
+        incoming = incoming.join(done.select("file_path"), "file_path", "left_semi")
     # Counted while the merge is written (no second pass over the inputs).
     seen = Observation("catalogue_run")
     incoming = incoming.observe(seen, F.count(F.lit(1)).alias("processed"))
     merged = merge.merge_catalogue(current, incoming, run_ts)
     write_version(metadata.with_taken_month(merged), catalogue_base, version, partition_by=("taken_month",))
-    rejects = duplicates.select("file_path", "reason").unionByName(
-        unreadable.select(F.col("landed_path").alias("file_path"), F.lit("unreadable").alias("reason"))
-    )
+    rejects = unreadable.select(F.col("landed_path").alias("file_path"), F.lit("unreadable").alias("reason"))
     write_version(rejects, catalogue_base.rstrip("/") + "_rejects", version)
     return {"processed": int(seen.get.get("processed", 0))}
 
@@ -74,10 +73,11 @@ def plan_backup(
 
 
 def record_uploads(spark: SparkSession, ledger_base: str, results: DataFrame, version: int, run_ts: str) -> str:
-    """Write the ledger version after uploads (results carry status per file)."""
+    """Write the ledger version after uploads (results carry status per file;
+    several for one file are resolved, in order of `seq` where they have it)."""
     ledger = read_version(spark, ledger_base, latest_version(spark, ledger_base, before=version), schemas.LEDGER)
-    accepted, _dups = merge.check_keys(results)
-    return write_version(merge.merge_ledger(ledger, accepted, run_ts), ledger_base, version)
+    resolved = merge.resolve_results(results, "seq" if "seq" in results.columns else None)
+    return write_version(merge.merge_ledger(ledger, resolved, run_ts), ledger_base, version)
 
 
 def sync_deletions(
@@ -97,7 +97,7 @@ def sync_deletions(
     flagged = materialize(backup.flag_deletions(ledger, on_disk, roots, available), "flagged-ledger")
     audit = merge.add_missing_columns(backup.deletion_audit(flagged, bucket, run_ts), schemas.AUDIT)
     # Audit rows of a run land in that run's version: a retried run rewrites
-    # them instead of appending twice. Readers see all runs via partition discovery.
+    # them instead of appending twice. `snapshots.read_all` reads all runs.
     write_version(audit, audit_dir, version)
     write_version(backup.ledger_after_deletion(flagged), ledger_base, version)
     return audit.select("file_path", "s3_key", "s3_full_path", "source_type")
@@ -110,8 +110,8 @@ def plan_card_import(
     destination, de-duplicate by name, place by date from the name."""
     route = ingest.route_volume(volumes).first()  # one row, one value
     dest_base = route["dest_base"]
-    card = ingest.card_files(list_media(spark, [card_root]).select("file_path"))
-    destination = list_media(spark, [dest_base]).select("file_path")
+    card = ingest.card_files(list_media(spark, [card_root], links=False).select("file_path"))
+    destination = list_media(spark, [dest_base], links=False).select("file_path")
     return ingest.copy_plan(card, destination, dest_base, run_date, validate_dates)
 
 

@@ -1,22 +1,25 @@
 """Versioned snapshot tables on plain Parquet.
 
 Plain Parquet has no MERGE or DELETE, so every run writes the next version of
-a table as a new directory `<base>/v=<version>` and never overwrites the
-version it reads. Writing one version again (a retried run or micro-batch)
-replaces only that directory, so retries are idempotent. A small log table
-next to the versions records each committed version (works on any Hadoop
-file system, also for empty versions).
+a table into a folder of its own and never touches one that exists: a write
+that dies half-way leaves a folder that no commit names. A version counts once
+its row is in the table's log: (v, folder, tag, at). Spark's commit protocol
+renames the row's file into place, so the row appears whole or not at all.
+Batch and streaming runs share one sequence of versions; `tag` names the
+micro-batch that wrote one, so that a replayed batch is recognised.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def version_path(base: str, version: int) -> str:
-    return f"{base.rstrip('/')}/v={version:012d}"
+LOG_SCHEMA = "v long, folder string, tag string, at long"
 
 
 def _log_path(base: str) -> str:
@@ -24,35 +27,74 @@ def _log_path(base: str) -> str:
     return f"{base.rstrip('/')}/_versions"
 
 
-def write_version(df: DataFrame, base: str, version: int, partition_by: tuple[str, ...] = ()) -> str:
-    """Write `df` as version `version` of the table at `base`, then commit it
-    by appending the version number to the table's log (a version without a
-    log row is an aborted write and is never read)."""
-    path = version_path(base, version)
-    writer = df.write.mode("overwrite")
+def commits(spark: SparkSession, base: str) -> DataFrame | None:
+    """The log of the table at `base`; None only if there is none yet. Any other
+    trouble with it is an error: taking it for "no table" would lose the table."""
+    try:
+        return spark.read.schema(LOG_SCHEMA).parquet(_log_path(base))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def write_version(
+    df: DataFrame, base: str, version: int, partition_by: tuple[str, ...] = (), tag: str | None = None
+) -> str:
+    """Write `df` as version `version` of the table at `base` and commit it.
+    A version written again is replaced by the later commit."""
+    path = f"{base.rstrip('/')}/v={version:012d}-{uuid.uuid4().hex}"
+    writer = df.write.mode("error")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = df.hint("rebalance", *partition_by).write.mode("error").partitionBy(*partition_by)
     writer.parquet(path)
-    spark = df.sparkSession
-    spark.createDataFrame([(version,)], "v long").write.mode("append").parquet(_log_path(base))
+    row = [(version, path.rsplit("/", 1)[1], tag, time.time_ns())]
+    df.sparkSession.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(_log_path(base))
     return path
 
 
 def latest_version(spark: SparkSession, base: str, before: int | None = None) -> int | None:
     """Highest committed version at `base` (below `before` when given); None
     if none. One scalar comes back to the driver."""
-    try:
-        versions = spark.read.schema("v long").parquet(_log_path(base))
-        if before is not None:
-            versions = versions.where(F.col("v") < before)
-        row = versions.agg(F.max("v")).first()
-    except Exception:  # no table yet
+    log = commits(spark, base)
+    if log is None:
         return None
-    return None if row is None or row[0] is None else int(row[0])
+    if before is not None:
+        log = log.where(F.col("v") < before)
+    found = log.agg(F.max("v")).first()[0]
+    return None if found is None else int(found)
+
+
+def next_version(spark: SparkSession, base: str) -> int:
+    return (latest_version(spark, base) or 0) + 1
+
+
+def has_tag(spark: SparkSession, base: str, tag: str) -> bool:
+    log = commits(spark, base)
+    return log is not None and not log.where(F.col("tag") == tag).isEmpty()
+
+
+def version_path(spark: SparkSession, base: str, version: int) -> str:
+    """Folder of a committed version (of its latest commit)."""
+    log = commits(spark, base)
+    folder = None if log is None else log.where(F.col("v") == version).agg(F.max_by("folder", "at")).first()[0]
+    if folder is None:
+        raise ValueError(f"no committed version {version} at {base}")
+    return f"{base.rstrip('/')}/{folder}"
 
 
 def read_version(spark: SparkSession, base: str, version: int | None, schema: T.StructType) -> DataFrame:
     """Version `version` of the table (an empty DataFrame of `schema` if None)."""
     if version is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(version_path(base, version))
+    return spark.read.schema(schema).parquet(version_path(spark, base, version))
+
+
+def read_all(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """All committed versions of an append-only table. One folder name per
+    version comes back to the driver, as a file listing would."""
+    log = commits(spark, base)
+    folders = [] if log is None else [r["folder"] for r in log.groupBy("v").agg(F.max_by("folder", "at").alias("folder")).collect()]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{base.rstrip('/')}/{f}" for f in folders])

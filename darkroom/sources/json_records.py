@@ -35,16 +35,18 @@ def read_exif_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     """(records, rejects) from landed extractor output. A record is the first
     element of the file's array; an empty object, an empty array or text that
     is not JSON is rejected (the scripts skip such files with a warning).
-    file_path is the record's SourceFile, else the landed file's path."""
+    file_path is the record's SourceFile, else the landed file's path;
+    landed_at orders records by landing time, then by name."""
     raw = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("landed_path"), F.col("value")
+        F.col("_metadata.file_path").alias("landed_path"), F.col("value"),
+        F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path")).alias("landed_at"),
     )
     rec = F.get_json_object("value", "$[0]")
-    parsed = raw.select("landed_path", rec.alias("metadata_json"))
+    parsed = raw.select("landed_path", "landed_at", rec.alias("metadata_json"))
     ok = F.col("metadata_json").isNotNull() & (F.regexp_replace("metadata_json", r"\s", "") != "{}")
     records = parsed.where(ok).select(
         F.coalesce(F.get_json_object("metadata_json", "$.SourceFile"), F.col("landed_path")).alias("file_path"),
-        "metadata_json",
+        "metadata_json", "landed_at",
     )
     rejects = parsed.where(~ok | F.col("metadata_json").isNull()).select("landed_path")
     return records, rejects

@@ -7,20 +7,22 @@ see those files as deleted. This source lists every regular file.
 Layout of the work:
 - the driver only lists each root's first level (bounded by its fan-out):
   one unit per sub-directory plus one for files directly in the root
-  (`split_depth=2` cuts one level deeper for card folders with many files in
-  one directory); units are dealt into at most `max_partitions` tasks;
+  (`split_depth` cuts so many levels deep: 3 gives a task per day folder of a
+  YYYY/MM/DD tree); `max_partitions` deals units into fewer tasks;
 - each executor walks its own sub-tree, skips excluded directory names before
   descending, and optionally computes the MD5 of the content in fixed-size
   chunks (constant memory);
 - a missing root yields no partition (it is reported, not an error);
+- a folder that cannot be read is an error, never an empty folder;
 - a symbolic link to a file is listed like the file (as `Path.is_file()`
-  does); linked directories are not descended into.
+  does) unless `links` is 'false'; linked directories are not descended into.
 The roots must be on storage every executor sees (a shared mount).
 
 Options: `paths` (roots joined by the path separator `os.pathsep`),
 `exclude` (comma-separated directory names to prune), `checksum` ('true'
-to fill `md5`), `split_depth` ('1' or '2'), `max_partitions` (directories
-are dealt round-robin into at most this many tasks; default 1000).
+to fill `md5`), `split_depth` (levels, default '1'), `max_partitions`
+(directories are dealt round-robin into this many tasks; default one each),
+`links` ('false' lists regular files only).
 """
 
 from __future__ import annotations
@@ -64,21 +66,24 @@ def _md5(path: str) -> str | None:
     return digest.hexdigest()
 
 
+def _fail(error: OSError) -> None:
+    """A folder that cannot be read fails its task: a listing without it would
+    make its files look deleted."""
+    raise error
+
+
 class MediaFilesReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.roots = [p for p in options.get("paths", "").split(os.pathsep) if p]
         self.exclude = {e for e in options.get("exclude", "").split(",") if e}
         self.checksum = options.get("checksum", "false").lower() == "true"
+        self.links = options.get("links", "true").lower() == "true"
         self.depth = int(options.get("split_depth", "1"))
-        self.max_partitions = int(options.get("max_partitions", "1000"))
+        self.max_partitions = int(options.get("max_partitions", "0"))
 
     def _dirs(self, root: str, top: str, depth: int) -> list[_Dir]:
         parts = [_Dir(root, top, False)]  # files directly in `top`
-        try:
-            entries = sorted(os.scandir(top), key=lambda e: e.name)
-        except OSError:
-            return parts
-        for e in entries:
+        for e in sorted(os.scandir(top), key=lambda e: e.name):
             if e.is_dir(follow_symlinks=False) and e.name not in self.exclude:
                 if depth > 1:
                     parts.extend(self._dirs(root, e.path, depth - 1))
@@ -96,39 +101,38 @@ class MediaFilesReader(DataSourceReader):
             dirs.extend(self._dirs(top, top, self.depth))
         if not dirs:
             return [_Part([])]
-        # At most `max_partitions` tasks: directories are dealt round-robin.
-        n = max(1, min(self.max_partitions, len(dirs)))
+        # One task per directory, or `max_partitions` tasks dealt round-robin.
+        n = min(self.max_partitions or len(dirs), len(dirs))
         return [_Part(dirs[i::n]) for i in range(n)]
 
     def _row(self, root: str, path: str):
         try:
             st = os.stat(path)  # a link to a file counts as that file (size of the target)
-        except OSError:
+        except FileNotFoundError:  # went while the folder was read (or a link to nothing)
             return None
         modified = _dt.datetime.fromtimestamp(st.st_mtime, _dt.timezone.utc).replace(tzinfo=None)
         return (root, path, modified, st.st_size, _md5(path) if self.checksum else None)
 
+    def _wanted(self, path: str) -> bool:
+        return os.path.isfile(path) and (self.links or not os.path.islink(path))
+
     def read(self, partition: _Part):
         for d in partition.dirs:
             yield from self._read_dir(d)
 
     def _read_dir(self, d: _Dir):
         if not d.recursive:
-            try:
-                entries = sorted(os.scandir(d.start), key=lambda e: e.name)
-            except OSError:
-                return
-            for e in entries:
-                if e.is_file():
+            for e in sorted(os.scandir(d.start), key=lambda e: e.name):
+                if self._wanted(e.path):
                     row = self._row(d.root, e.path)
                     if row:
                         yield row
             return
-        for top, subdirs, files in os.walk(d.start):
+        for top, subdirs, files in os.walk(d.start, onerror=_fail):
             subdirs[:] = sorted(x for x in subdirs if x not in self.exclude)
             for name in sorted(files):
                 path = os.path.join(top, name)
-                if os.path.isfile(path):
+                if self._wanted(path):
                     row = self._row(d.root, path)
                     if row:
                         yield row
@@ -155,7 +159,8 @@ def list_media(
     roots: dict[str, str] | list[str],
     checksum: bool = False,
     exclude: tuple[str, ...] = (),
-    split_depth: int = 1,
+    split_depth: int = 3,
+    links: bool = True,
 ) -> DataFrame:
     """File listing of the roots: root, file_path, modified, file_size, md5
     (and source_type when `roots` maps tags to directories)."""
@@ -167,6 +172,7 @@ def list_media(
         .option("exclude", ",".join(exclude))
         .option("checksum", str(checksum).lower())
         .option("split_depth", str(split_depth))
+        .option("links", str(links).lower())
         .load()
         .select("root", F.col("path").alias("file_path"), "modified", F.col("length").alias("file_size"),
                 F.col("md5").alias("md5_checksum"))

@@ -5,11 +5,14 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from darkroom import schemas
+from darkroom.operators import metadata
 from darkroom.plans import jobs
-from darkroom.plans.snapshots import latest_version, read_version
+from darkroom.plans.snapshots import commits, latest_version, read_all, read_version, version_path, write_version
+from darkroom.sources.media_files import MediaFilesReader
 from darkroom.streaming.incremental import stream_catalogue, stream_stacks
 
 
@@ -35,7 +38,7 @@ def test_catalogue_job_twice(spark):
     _write(f"{exif}/bad.json", b"[]")
     first = jobs.run_catalogue(spark, images, exif, cat, 1, "2024-02-01 00:00:00")
     assert first["processed"] == 3
-    rej = spark.read.parquet(f"{cat}_rejects/v={1:012d}").collect()
+    rej = spark.read.parquet(version_path(spark, f"{cat}_rejects", 1)).collect()
     assert [(os.path.basename(r.file_path), r.reason) for r in rej] == [("bad.json", "unreadable")]
     second = jobs.run_catalogue(spark, images, exif, cat, 2, "2024-02-02 00:00:00")
     assert second["processed"] == 1  # only the undated row is extracted again
@@ -78,9 +81,9 @@ def test_backup_jobs(spark):
     assert [r.s3_full_path for r in deleted] == ["s3://bkt/internal/a.jpg"]
     v2 = read_version(spark, ledger, 2, schemas.LEDGER)
     assert sorted(r.s3_key for r in v2.collect()) == ["external/c.png", "internal/_b.NEF"]
-    assert spark.read.parquet(audit).count() == 1
+    assert read_all(spark, audit, schemas.AUDIT).count() == 1
     jobs.sync_deletions(spark, roots, ledger, audit, 2, "bkt", "2024-02-03 00:00:00")  # retried run
-    assert spark.read.parquet(audit).count() == 1
+    assert read_all(spark, audit, schemas.AUDIT).count() == 1
 
 
 def test_card_import_plan(spark):
@@ -123,11 +126,11 @@ def test_stream_stacks_late_partner(spark):
                 {"id": "r9", "originalFileName": "Z.RAF", "localDateTime": "t"}])
     stream_stacks(spark, land, state, plans, ckpt)
     v1 = latest_version(spark, plans)
-    assert spark.read.parquet(f"{plans}/v={v1:012d}").count() == 0  # no pair yet
+    assert spark.read.parquet(version_path(spark, plans, v1)).count() == 0  # no pair yet
     page("p2", [{"id": "r1", "originalFileName": "A.RAF", "localDateTime": "t"}])  # late partner
     stream_stacks(spark, land, state, plans, ckpt)
     v2 = latest_version(spark, plans)
-    req = spark.read.parquet(f"{plans}/v={v2:012d}").collect()
+    req = spark.read.parquet(version_path(spark, plans, v2)).collect()
     assert [(r.base_name, r.parent_id, r.asset_ids) for r in req] == [("A", "j1", "j1,r1")]
     st = {r.asset_id: r.stack_count for r in read_version(spark, state, latest_version(spark, state), schemas.ASSETS).collect()}
     assert st == {"j1": 2, "r1": 2, "r9": None}
@@ -149,3 +152,99 @@ def test_cli_stack_and_libraries(spark, capsys):
     assert cli.main(["libraries", "--libraries", f"{base}/libs", "--external-only"]) == 0
     out = capsys.readouterr().out
     assert "EXTERNAL" in out and "UPLOAD" not in out
+
+
+def test_undated_photo_is_completed_by_a_later_record(spark):
+    base = tempfile.mkdtemp(prefix="darkroom-job-retry-")
+    images, exif, cat = f"{base}/images", f"{base}/exif", f"{base}/catalogue"
+    _write(f"{images}/a.JPG", b"x")
+    path = f"{images}/a.JPG"
+    _write(f"{exif}/r0.json", json.dumps([{"SourceFile": path, "Make": "Canon"}]).encode())
+    jobs.run_catalogue(spark, images, exif, cat, 1, "2024-02-01 00:00:00")
+    _write(f"{exif}/r1.json", json.dumps([{"SourceFile": path, "CreateDate": "2024:01:02 03:04:05"}]).encode())
+    assert jobs.run_catalogue(spark, images, exif, cat, 2, "2024-02-02 00:00:00")["processed"] == 1
+    row = read_version(spark, cat, 2, schemas.CATALOGUE).first()
+    assert row.date_taken is not None and row.camera_make == "Canon"
+
+
+def test_limit_counts_files_that_have_a_record(spark):
+    base = tempfile.mkdtemp(prefix="darkroom-job-late-")
+    images, exif, cat = f"{base}/images", f"{base}/exif", f"{base}/catalogue"
+    for name in "abcd":
+        _write(f"{images}/{name}.JPG", b"x")
+    for name in "cd":
+        _write(f"{exif}/{name}.json", json.dumps([{"SourceFile": f"{images}/{name}.JPG", "CreateDate": "2024:01:02 03:04:05"}]).encode())
+    assert jobs.run_catalogue(spark, images, exif, cat, 1, "2024-02-01 00:00:00", limit=2, batch_size=2)["processed"] == 2
+
+
+def test_unreadable_log_is_an_error_and_a_dead_write_changes_nothing(spark):
+    base = tempfile.mkdtemp(prefix="darkroom-snap-") + "/t"
+    one = spark.createDataFrame([(1,)], "a int")
+    write_version(one, base, 1)
+    with pytest.raises(Exception):
+        write_version(spark.createDataFrame([("x",)], "a string").select(F.col("a").cast("int")), base, 2)  # ANSI cast fails
+    assert latest_version(spark, base) == 1
+    assert read_version(spark, base, 1, one.schema).collect() == one.collect()
+    assert commits(spark, base + "-none") is None
+    log = next(f"{d}/{n}" for d, _, names in os.walk(f"{base}/_versions") for n in names if n.startswith("part-"))
+    with open(log, "wb") as fh:
+        fh.write(b"no parquet")
+    with pytest.raises(Exception):
+        latest_version(spark, base)
+
+
+def test_batch_and_stream_share_one_sequence(spark):
+    base = tempfile.mkdtemp(prefix="darkroom-mix-")
+    images, exif, land, cat = f"{base}/images", f"{base}/exif", f"{base}/land", f"{base}/cat"
+    _write(f"{images}/a.JPG", b"x")
+    _write(f"{exif}/a.json", json.dumps([{"SourceFile": f"{images}/a.JPG", "CreateDate": "2024:01:02 03:04:05"}]).encode())
+    jobs.run_catalogue(spark, images, exif, cat, 1, "2024-02-01 00:00:00")
+    jobs.run_catalogue(spark, images, exif, cat, 2, "2024-02-01 00:00:00")
+    _write(f"{land}/b.json", json.dumps([{"SourceFile": "/i/b.JPG", "CreateDate": "2024:01:02 03:04:05"}]).encode())
+    stream_catalogue(spark, land, cat, f"{base}/ckpt", "2024-02-02 00:00:00")
+    assert latest_version(spark, cat) == 3
+    rows = read_version(spark, cat, 3, schemas.CATALOGUE).collect()
+    assert sorted(os.path.basename(r.file_path) for r in rows) == ["a.JPG", "b.JPG"]
+
+
+def test_results_of_one_path_are_resolved(spark):
+    base = tempfile.mkdtemp(prefix="darkroom-results-")
+    kind = "file_path string, s3_key string, source_type string, file_size long, md5_checksum string, status string, seq int"
+    rows = [("/a", "k", "internal", 1, "m", "error", 1), ("/a", "k", "internal", 1, "m", "uploaded", 2),
+            ("/b", "k2", "internal", 1, "m", "uploaded", 1), ("/b", "k2", "internal", 1, "m", "error", 2)]
+    jobs.record_uploads(spark, f"{base}/l", spark.createDataFrame(rows, kind), 1, "2024-02-01 00:00:00")
+    got = {r.file_path: r.status for r in read_version(spark, f"{base}/l", 1, schemas.LEDGER).collect()}
+    assert got == {"/a": "uploaded", "/b": "error"}
+
+
+def test_stacks_survive_repeated_and_late_listings(spark):
+    base = tempfile.mkdtemp(prefix="darkroom-sdup-")
+    land, state, plans, ckpt = f"{base}/land", f"{base}/state", f"{base}/plans", f"{base}/ckpt"
+    items = [{"id": "j1", "originalFileName": "A.JPG", "localDateTime": "t"}, {"id": "r1", "originalFileName": "A.RAF", "localDateTime": "t"}]
+    for name in ("p1", "p2"):
+        _write(f"{land}/{name}.json", json.dumps({"assets": {"items": items, "nextPage": None}}).encode())
+    stream_stacks(spark, land, state, plans, ckpt)
+    kind = "base_name string, asset_ids string, body string"
+    assert [r.asset_ids for r in read_all(spark, plans, spark.createDataFrame([], kind).schema).collect()] == ["j1,r1"]
+    _write(f"{land}/p3.json", json.dumps({"assets": {"items": items, "nextPage": None}}).encode())
+    stream_stacks(spark, land, state, plans, ckpt)
+    assert read_all(spark, plans, spark.createDataFrame([], kind).schema).count() == 1  # not asked for again
+
+
+def test_search_by_a_one_digit_day_prunes_no_rows(spark):
+    rows = spark.sql("SELECT timestamp_ntz'2024-01-20 00:00:00' AS date_taken, '2024-01' AS taken_month")
+    assert metadata.find_photos(rows, date_from="2024-1-05").count() == 1
+
+
+def test_a_folder_that_fails_to_list_fails_the_listing(spark, monkeypatch):
+    base = tempfile.mkdtemp(prefix="darkroom-io-")
+    _write(f"{base}/2024/a.jpg", b"x")
+    reader = MediaFilesReader({"paths": base})
+
+    def broken(path):
+        raise PermissionError(path)
+
+    parts = reader.partitions()
+    monkeypatch.setattr(os, "scandir", broken)
+    with pytest.raises(PermissionError):
+        [row for p in parts for row in reader.read(p)]

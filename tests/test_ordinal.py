@@ -26,9 +26,7 @@ def test_global_ordinal_desc(spark):
     assert got == expected
 
 
-def test_many_slices_use_the_array_search(spark):
-    # More boundaries than the CASE limit (a cluster with many shuffle
-    # partitions): the array-literal search must give the same exact positions.
+def test_many_slices(spark):
     rnd = random.Random(2)
     rows = [("hot" if i % 3 == 0 else rnd.choice(["a", "b", None]), rnd.randint(0, 50), i) for i in range(5000)]
     df = spark.createDataFrame(rows, "g string, v int, id long")
@@ -43,27 +41,21 @@ def test_many_slices_use_the_array_search(spark):
     assert "aggregate" in plan.lower() and plan.count("CASE WHEN") < 10
 
 
-def test_take_exact_both_paths(spark, monkeypatch):
+def test_take_exact(spark):
     from darkroom.operators import metadata
 
     rnd = random.Random(3)
     paths = [f"/p/{rnd.randrange(10**9):09d}-{i}.JPG" for i in range(3000)]
     df = spark.createDataFrame([(p,) for p in paths], "file_path string")
-    expected = sorted(paths)[:1234]
-    monkeypatch.setattr(metadata, "TOP_K_LIMIT", 5000)  # top-k path
-    assert [r.file_path for r in metadata.take_exact(df, 1234).collect()] == expected
-    monkeypatch.setattr(metadata, "TOP_K_LIMIT", 10)  # ordinal path
-    assert sorted(r.file_path for r in metadata.take_exact(df, 1234).collect()) == expected
+    assert [r.file_path for r in metadata.take_exact(df, 1234).collect()] == sorted(paths)[:1234]
 
 
-def test_take_batchwise_both_paths(spark, monkeypatch):
+def test_take_batchwise(spark):
     from darkroom.operators import metadata
 
     rnd = random.Random(4)
     paths = [f"/p/{rnd.randrange(10**9):09d}-{i}.JPG" for i in range(900)]
     df = spark.createDataFrame([(p,) for p in paths], "file_path string")
     expected = [(p, i + 1, (i // 50) + 1) for i, p in enumerate(sorted(paths)[:150])]
-    for limit_k in (1000, 10):  # top-k path, then the ordinal path
-        monkeypatch.setattr(metadata, "TOP_K_LIMIT", limit_k)
-        got = sorted((r.file_path, r.position, r.batch_no) for r in metadata.take_batchwise(df, 120, 50).collect())
-        assert got == expected
+    got = sorted((r.file_path, r.position, r.batch_no) for r in metadata.take_batchwise(df, 120, 50).collect())
+    assert got == expected
