@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from darkroom.llm.bytetools import chunks, mix, prefix_hash, span_hash, word_spans
 from darkroom.llm.components import connected_components
-from darkroom.llm.store import stored
+from darkroom.llm.store import discard, stored
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -251,6 +251,7 @@ def near_duplicates(
         F.when(F.col("_block") > F.col("_other"), 1).otherwise(0).alias("side"), "node", "shingles",
     )
     found = stored(compare_families(pairs, similarity), "near-links")
+    discard(sets)
     counts = found.groupBy(F.col("node").alias("_node")).agg(F.sum("n_links").alias("n_links"))
     classes = connected_components(found.where("node <> tie").select(F.col("node").alias("a"), F.col("tie").alias("b")))
     labelled = nodes.select("node", "text_key", "doc_id").join(classes.withColumnsRenamed({"node": "_member"}), F.col("node") == F.col("_member"), "left")

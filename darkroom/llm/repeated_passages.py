@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from darkroom.llm.bytetools import chunks, column_bytes, mix, prefix_hash, sliding_min, span_hash
-from darkroom.llm.store import stored
+from darkroom.llm.store import discard, stored
 from darkroom.llm.suffix_order import window_matches
 
 LENGTH = 200
@@ -248,6 +248,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     repeated = all_anchors.groupBy(F.col("gram").alias("_gram")).agg(F.min("place").alias("_a"), F.max("place").alias("_b")).where("_a <> _b").select("_gram")
     some = all_anchors.join(repeated, F.col("gram") == F.col("_gram"), "left_semi")
     some = stored(some.groupBy("text_key", "pos", "gram", "context", "place").agg(F.lit(1).alias("_")).drop("_"), "passages-repeated")
+    discard(all_anchors)
     classes = some.groupBy("gram", "context").agg(F.min("place").alias("_a"), F.max("place").alias("_b"), F.min(F.struct("place", "text_key", "pos")).alias("_one"))
     classes = stored(classes.select("gram", "context", (F.col("_a") != F.col("_b")).alias("twice"), F.col("_one.text_key").alias("text_key"), F.col("_one.pos").alias("pos")), "passages-classes")
     mixed = classes.groupBy(F.col("gram").alias("_gram")).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.when(F.col("twice"), 0).otherwise(1)).alias("_open")).where("_n > 1 AND _open > 0")
@@ -267,7 +268,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     copies = copies.groupBy("text_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     copies = copies.select("text_key", F.struct(F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("stop")).alias("span"))
     every = spans.unionByName(copies)
-    return stored(every.groupBy("text_key").agg(F.sort_array(F.collect_list("span")).alias("spans")), "passages-spans")
+    out = stored(every.groupBy("text_key").agg(F.sort_array(F.collect_list("span")).alias("spans")), "passages-spans")
+    discard(some, classes, sized)
+    return out
 
 
 def merged(spans: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:

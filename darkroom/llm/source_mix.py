@@ -26,7 +26,7 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from darkroom.llm.store import stored
+from darkroom.llm.store import discard, stored
 from darkroom.llm.words import word_count
 
 #: Weights of the sources in order, repeating.
@@ -136,6 +136,7 @@ def mix_sources(
     rows = stored(rows, "mix-rows")
     targets = stored(source_targets(rows, weights, total_share, max_passes), "mix-targets")
     placed = stored(running_total(rows, ["source"], "_piece", [F.col("_key"), F.col("_id"), F.col("size")], "size", "start").select("_row", "source", "size", "start"), "mix-placed")
+    discard(rows)
     total = targets.agg(F.sum("target")).first()[0] or 0.0
     n_slots = int(total / block_words * 1.02) + 64
     slots = schedule(targets, n_slots, block_words, pieces)
