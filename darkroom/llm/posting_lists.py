@@ -3,14 +3,14 @@
 Centroids come from balanced k-means on a bounded sample. They are few enough
 to hold in every task and are searched as a graph (each linked to its nearest
 centroids; best-first with a beam). A vector goes to the posting lists of its
-nearest centroid and, if it lies near a boundary, of further ones whose
-distance is within `closure` of the nearest, unless a centroid chosen before is
-nearer to them than the vector is. A query opens the lists whose centroid
+nearest centroid and, if it lies near a boundary, of the next one whose
+distance is within `closure` of the nearest. A query opens the lists whose centroid
 distance is within `prune` of its nearest one.
 
 Largest inner product becomes least distance by one extra coordinate
-sqrt(M**2 - |x|**2). Scores are inner products in double precision, summed in
-component order, so equal vectors score alike wherever they lie.
+sqrt(M**2 - |x|**2). A list is scored by matrix product; what comes within
+rounding of its k best is scored again as an inner product in double precision,
+summed in component order, so equal vectors score alike wherever they lie.
 
 Scale: every row is indexed. Of rows with equal vectors only the k + 1 with the
 least ids can be in any answer, so posting lists hold these (a rank limit that
@@ -44,10 +44,12 @@ SAMPLE_ROWS = 20_000
 LIST_ROWS = 256
 MAX_LISTS = 2_000
 #: A vector is in lists up to (1 + closure) times its least centroid distance, a query opens up to (1 + prune).
-CLOSURE = 0.15
-MAX_COPIES = 6
-PRUNE = 0.35
-BEAM = 64
+CLOSURE = 0.012
+MAX_COPIES = 2
+PRUNE = 0.13
+#: Beams of the graph search for a query and for a row to be placed.
+BEAM = 160
+PLACE_BEAM = 16
 DEGREE = 24
 PART_ROWS = 4_096
 QUERY_BLOCK = 512
@@ -79,26 +81,27 @@ def balanced_centroids(sample: np.ndarray, n: int, rounds: int = 12, seed: int =
 class CentroidGraph:
     """Centroids, each linked to its nearest ones and to a few spread ones."""
 
-    def __init__(self, centres: np.ndarray, degree: int = DEGREE, beam: int = BEAM):
-        self.centres, self.beam = centres, min(beam, len(centres))
+    def __init__(self, centres: np.ndarray, degree: int = DEGREE):
+        self.centres = centres
         d = distances(centres, centres)
         self.links = np.argsort(d, axis=1, kind="stable")[:, 1:degree + 1] if len(centres) > 1 else np.zeros((1, 0), int)
-        self.entry = np.linspace(0, len(centres) - 1, min(len(centres), max(8, self.beam // 2))).astype(int)
+        self.entry = np.linspace(0, len(centres) - 1, min(len(centres), 32)).astype(int)
 
-    def search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, x: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """(centroids, distances) of the beam for each row, nearest first."""
         n, k = len(x), len(self.centres)
+        width = min(beam, k)
         dist = np.full((n, k), np.inf)
         dist[:, self.entry] = distances(x, self.centres[self.entry])
         opened = np.zeros((n, k), bool)
         rows = np.arange(n)
         while len(rows):
-            beam = np.argpartition(dist[rows], self.beam - 1, axis=1)[:, :self.beam] if self.beam < k else np.tile(np.arange(k), (len(rows), 1))
-            near = np.take_along_axis(dist[rows], beam, 1)
-            near[np.take_along_axis(opened[rows], beam, 1)] = np.inf
+            near_ones = np.argpartition(dist[rows], width - 1, axis=1)[:, :width] if width < k else np.tile(np.arange(k), (len(rows), 1))
+            near = np.take_along_axis(dist[rows], near_ones, 1)
+            near[np.take_along_axis(opened[rows], near_ones, 1)] = np.inf
             best = near.argmin(1)
             go = np.isfinite(near[np.arange(len(rows)), best])
-            rows, best = rows[go], beam[go, best[go]]
+            rows, best = rows[go], near_ones[go, best[go]]
             if not len(rows):
                 break
             opened[rows, best] = True
@@ -108,16 +111,24 @@ class CentroidGraph:
             row, col = row[new], col[new]
             diff = x[row] - self.centres[col]
             dist[row, col] = np.sqrt((diff * diff).sum(1))
-        order = np.argsort(dist, axis=1, kind="stable")[:, :self.beam]
+        order = np.argsort(dist, axis=1, kind="stable")[:, :width]
         return order, np.take_along_axis(dist, order, 1)
 
 
-def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Inner products in double precision, added up component by component."""
-    out = np.zeros((len(queries), len(rows)))
+def best_of_list(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of every row within rounding of a query's k best in
+    a list; scores are inner products added up component by component."""
+    rough = queries @ rows.T
+    if len(rows) > k:
+        least = np.partition(rough, len(rows) - k, axis=1)[:, len(rows) - k]
+        slack = 1e-9 * np.sqrt((queries * queries).sum(1) * (rows * rows).sum(1).max())
+        q, r = np.nonzero(rough >= (least - slack)[:, None])
+    else:
+        q, r = (x.ravel() for x in np.indices(rough.shape))
+    score = np.zeros(len(q))
     for d in range(queries.shape[1]):
-        out += queries[:, d, None] * rows[None, :, d]
-    return out
+        score += queries[q, d] * rows[r, d]
+    return q, r, score
 
 
 def valid_vectors(table: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -154,21 +165,13 @@ def nearest_neighbours(
     kept = rows.withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= k + 1).drop("_n")
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        between = distances(graph.centres, graph.centres)
         for batch in batches:
             for at in range(0, len(batch), 1000):
                 part = batch.iloc[at:at + 1000]
                 if not len(part):
                     continue
-                near, dist = graph.search(lifted(np.stack(part["v"].to_numpy())))
-                chosen = np.zeros(near.shape, bool)
-                chosen[:, 0] = True
-                for j in range(1, min(near.shape[1], 4 * MAX_COPIES)):
-                    fits = (dist[:, j] <= (1 + closure) * dist[:, 0]) & (chosen.sum(1) < MAX_COPIES)
-                    for i in range(j):
-                        fits &= ~(chosen[:, i] & (between[near[:, i], near[:, j]] < dist[:, j]))
-                    chosen[:, j] = fits & np.isfinite(dist[:, j])
-                row, col = np.nonzero(chosen)
+                near, dist = graph.search(lifted(np.stack(part["v"].to_numpy())), PLACE_BEAM)
+                row, col = np.nonzero(dist[:, :MAX_COPIES] <= (1 + closure) * dist[:, :1])
                 yield pd.DataFrame({"list": near[row, col], "id": part["id"].to_numpy()[row], "v": part["v"].to_numpy()[row]})
 
     postings = stored(kept.mapInPandas(assign, "list long, id long, v array<double>"), "postings")
@@ -185,7 +188,7 @@ def nearest_neighbours(
                     continue
                 x = np.stack(part["v"].to_numpy())
                 # a query's own extra coordinate is 0; its distances order rows by inner product
-                near, dist = graph.search(np.concatenate([x * np.sqrt(longest / np.maximum((x * x).sum(1), 1e-300))[:, None], np.zeros((len(x), 1))], axis=1))
+                near, dist = graph.search(np.concatenate([x * np.sqrt(longest / np.maximum((x * x).sum(1), 1e-300))[:, None], np.zeros((len(x), 1))], axis=1), BEAM)
                 seen = np.cumsum(size_of[near], axis=1) - size_of[near]
                 row, col = np.nonzero(((dist <= (1 + prune) * dist[:, :1]) | (seen < 10 * (k + 1))) & np.isfinite(dist))
                 which = near[row, col]
@@ -204,11 +207,10 @@ def nearest_neighbours(
             data, ids = np.stack(right["v"].to_numpy()), right["id"].to_numpy()
             for at in range(0, len(left), QUERY_BLOCK):
                 some = left.iloc[at:at + QUERY_BLOCK]
-                table = scores(np.stack(some["v"].to_numpy()), data)
-                for q, s in zip(some["id"].to_numpy(), table, strict=True):
-                    top = np.lexsort((ids, -s))[:k + 1]
-                    top = top[ids[top] != q][:k]
-                    out.append(pd.DataFrame({"query_id": q, "vec_id": ids[top], "score": s[top]}))
+                asking = some["id"].to_numpy()
+                q, r, s = best_of_list(np.stack(some["v"].to_numpy()), data, k + 1)
+                other = asking[q] != ids[r]
+                out.append(pd.DataFrame({"query_id": asking[q[other]], "vec_id": ids[r[other]], "score": s[other]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     found = asked.groupBy("list", "part").cogroup(placed.groupBy("list", "part")).applyInPandas(best, "query_id long, vec_id long, score double")
