@@ -53,6 +53,8 @@ PLACE_BEAM = 16
 DEGREE = 24
 PART_ROWS = 4_096
 QUERY_BLOCK = 512
+#: So many lists are scored in one task, which then returns a query's best of all of them.
+LISTS_TOGETHER = 16
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -203,18 +205,26 @@ def nearest_neighbours(
 
     def best(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(left) and len(right):
-            data, ids = np.stack(right["v"].to_numpy()), right["id"].to_numpy()
-            for at in range(0, len(left), QUERY_BLOCK):
-                some = left.iloc[at:at + QUERY_BLOCK]
+        own = dict(iter(right.groupby("list")))
+        for number, asked_here in left.groupby("list"):
+            if number not in own:
+                continue
+            data, ids = np.stack(own[number]["v"].to_numpy()), own[number]["id"].to_numpy()
+            for at in range(0, len(asked_here), QUERY_BLOCK):
+                some = asked_here.iloc[at:at + QUERY_BLOCK]
                 asking = some["id"].to_numpy()
                 q, r, s = best_of_list(np.stack(some["v"].to_numpy()), data, k + 1)
                 other = asking[q] != ids[r]
                 out.append(pd.DataFrame({"query_id": asking[q[other]], "vec_id": ids[r[other]], "score": s[other]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-
-    found = asked.groupBy("list", "part").cogroup(placed.groupBy("list", "part")).applyInPandas(best, "query_id long, vec_id long, score double")
-    # a row that is replicated to several lists is found alike in each
+        if not out:
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        # a row that is in several lists is found alike in each
+        every = pd.concat(out).drop_duplicates(["query_id", "vec_id"]).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+        return every[every.groupby("query_id").cumcount() < k]
+
+    lot = F.floor(F.col("list") / LISTS_TOGETHER)
+    asked, placed = asked.withColumn("lot", lot), placed.withColumn("lot", lot)
+    found = asked.groupBy("lot", "part").cogroup(placed.groupBy("lot", "part")).applyInPandas(best, "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
