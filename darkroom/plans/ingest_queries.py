@@ -8,11 +8,13 @@ every path the ledger knows. A card file already in the library is skipped.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from darkroom.constants import IMAGE_EXTENSIONS
+from darkroom.constants import IMAGE_EXTENSIONS, LIBRARY_UPLOAD, MIN_FREE_SPACE_GB
 from darkroom.functions.names import base_name
 from darkroom.operators import ingest, merge
 from darkroom.sources.fixtures import RUN_DATE, Fixtures, duckdb_ctes
+from darkroom.sources.json_records import libraries_to_scan
 
 DEST_BASE = "/srv/images"
 CARD_SOURCE = "external"
@@ -40,6 +42,49 @@ def q_duplicate_names(spark, sf_dir):
     return rejects.select("file_path", "file_name", "reason")
 
 
+def q_card_files(spark, sf_dir):
+    """Three cards in one listing; the external one has two DCIM folders."""
+    docs = Fixtures(spark, sf_dir).fx_docs
+    rest = F.substring("file_path", 16, 1 << 30)
+    dcim = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("/mnt/ext/images/DCIM"), rest)).when(
+        F.col("doc_id") % 4 == 1, F.concat(F.lit("/mnt/ext/images/dcim"), rest)
+    )
+    path = F.coalesce(F.when(F.col("source_type") == CARD_SOURCE, dcim), F.col("file_path"))
+    listing = docs.select(F.col("source_type").alias("card"), path.alias("file_path"))
+    return ingest.card_files(listing, "card").select("card", "file_path")
+
+
+def q_rename_plan(spark, sf_dir):
+    """Every second target is taken, and of those every second `_1` too."""
+    plan = _plan(Fixtures(spark, sf_dir))
+    copies = plan.where("action = 'copy' AND length(file_path) % 2 = 0")
+    first = F.regexp_replace("dest_path", r"\.([^.]*)$", "_1.$1")
+    occupied = copies.select(F.col("dest_path").alias("path")).unionByName(
+        copies.where("length(file_path) % 4 = 0").select(first.alias("path"))
+    )
+    return ingest.resolve_names(plan, occupied)
+
+
+def q_volume_route(spark, sf_dir):
+    """Volumes with the free space that the size of their files leaves."""
+    docs = Fixtures(spark, sf_dir).fx_docs.where("source_type IN ('internal', 'external')")
+    volumes = docs.groupBy(F.col("source_type").alias("volume")).agg(
+        (F.sum("file_size") % 20).cast("string").alias("free_gb")
+    )
+    path = F.concat(F.lit("/srv/"), F.col("volume"))
+    return ingest.route_volume(volumes.withColumn("path", path).withColumn("exists", F.lit(True)))
+
+
+def q_library_scan(spark, sf_dir):
+    """One library per source and language; the type may be NULL."""
+    docs = Fixtures(spark, sf_dir).table("documents")
+    libraries = docs.groupBy(F.concat_ws("/", "source", "lang").alias("id")).agg(F.min("doc_id").alias("_first"))
+    kind = F.when(F.col("_first") % 3 == 0, F.lit(LIBRARY_UPLOAD)).when(F.col("_first") % 3 == 1, F.lit("EXTERNAL"))
+    return libraries_to_scan(
+        libraries.select("id", F.concat(F.lit("library "), "id").alias("name"), kind.alias("type")), external_only=True
+    )
+
+
 _NAME = "regexp_extract(file_path, '[^/]*$', 0)"
 _EXTS = ", ".join(f"'{e}'" for e in IMAGE_EXTENSIONS)
 _D = "'([0-9]{4})([0-9]{2})([0-9]{2})'"
@@ -73,10 +118,41 @@ SELECT count(*) FILTER (WHERE action = 'copy') AS copied, count(*) FILTER (WHERE
     "duplicate_names": _BASE + """
 SELECT file_path, file_name, 'duplicate_key' AS reason FROM card
 WHERE file_name IN (SELECT file_name FROM card GROUP BY file_name HAVING count(*) > 1)""",
+    "card_files": duckdb_ctes("fx_docs") + f""",
+listing AS (
+  SELECT source_type AS card,
+         CASE WHEN source_type = '{CARD_SOURCE}' AND doc_id % 4 = 0 THEN '/mnt/ext/images/DCIM' || substr(file_path, 16)
+              WHEN source_type = '{CARD_SOURCE}' AND doc_id % 4 = 1 THEN '/mnt/ext/images/dcim' || substr(file_path, 16)
+              ELSE file_path END AS file_path
+  FROM fx_docs)
+SELECT card, file_path FROM listing
+WHERE (card <> '{CARD_SOURCE}' OR starts_with(file_path, '/mnt/ext/images/DCIM/'))
+  AND lower(regexp_extract({_NAME}, '^.+(\\.[^.]+)$', 1)) IN ({_EXTS})""",
+    "rename_plan": _BASE + """
+SELECT file_path, file_name, action, reason, dest_dir,
+       CASE WHEN action = 'copy' AND length(file_path) % 4 = 0 THEN regexp_replace(dest_path, '\\.([^.]*)$', '_2.\\1')
+            WHEN action = 'copy' AND length(file_path) % 2 = 0 THEN regexp_replace(dest_path, '\\.([^.]*)$', '_1.\\1')
+            ELSE dest_path END AS dest_path,
+       action = 'copy' AND length(file_path) % 2 = 0 AS renamed
+FROM plan""",
+    "volume_route": duckdb_ctes("fx_docs") + f""",
+free AS (SELECT CAST(sum(file_size) % 20 AS BIGINT) AS gb FROM fx_docs WHERE source_type = 'internal')
+SELECT CASE WHEN gb < {MIN_FREE_SPACE_GB} THEN 'external' ELSE 'internal' END AS volume,
+       CASE WHEN gb < {MIN_FREE_SPACE_GB} THEN '/srv/external' ELSE '/srv/internal' END AS dest_base,
+       gb AS internal_free_gb
+FROM free""",
+    "library_scan": f"""
+WITH libraries AS (SELECT concat_ws('/', source, lang) AS id, min(doc_id) AS f FROM documents GROUP BY 1)
+SELECT id, 'library ' || id AS name, CASE WHEN f % 3 = 1 THEN 'EXTERNAL' END AS type
+FROM libraries WHERE f % 3 <> 0""",
 }
 
 QUERIES = {
     "copy_plan": q_copy_plan,
     "copy_summary": q_copy_summary,
     "duplicate_names": q_duplicate_names,
+    "card_files": q_card_files,
+    "rename_plan": q_rename_plan,
+    "volume_route": q_volume_route,
+    "library_scan": q_library_scan,
 }
