@@ -1,11 +1,20 @@
 """Approximate nearest neighbours by balanced posting lists.
 
 Centroids come from balanced k-means on a bounded sample. They are few enough
-to hold in every task and are searched as a graph (each linked to its nearest
-centroids; best-first with a beam). A vector goes to the posting lists of its
-nearest centroid and, if it lies near a boundary, of the next one whose
-distance is within `closure` of the nearest. A query opens the lists whose centroid
-distance is within `prune` of its nearest one.
+to hold in every task. A row to be placed searches them as a graph (each linked
+to its nearest centroids; best-first with a beam); it goes to the posting lists
+of its nearest centroid and, if it lies near a boundary, of the next ones whose
+distance is within `closure` of the nearest. A query opens every list whose
+centroid distance is within `prune` of its nearest one, found from its distances
+to all centroids.
+
+How many copies a row has and how far a query opens lists follow from each
+corpus: up to `CALIBRATE` queries, chosen by hash, are scored against all rows,
+and for each way of placing (`PLACINGS`) `prune` is the least ratio at which the
+share `recall` of their true neighbours lies in an opened list, and `PRUNE` at
+least. The placing that
+then takes the least work is used. Vectors without structure need a large share
+of the lists for that; the work grows then, not the misses.
 
 Largest inner product becomes least distance by one extra coordinate
 sqrt(M**2 - |x|**2). A list is scored by matrix product; what comes within
@@ -16,8 +25,9 @@ Scale: every row is indexed. Of rows with equal vectors only the k + 1 with the
 least ids can be in any answer, so posting lists hold these (a rank limit that
 Spark applies before its shuffle), and a very common vector makes no long list.
 Lists longer than `part_rows` are split into parts that each meet the list's
-queries; queries come in blocks. Sample and centroids are bounded by
-`sample_rows` and `max_lists`.
+queries; queries come in blocks, and a query is sent once to the lists that are
+scored together. Sample, centroids and calibration are bounded by `sample_rows`,
+`max_lists` and `CALIBRATE` * k.
 
 Defined results: vectors that are null, zero, hold a null or non-finite
 component or have another length than most take no part, neither as query nor
@@ -27,6 +37,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,12 +54,18 @@ SAMPLE_ROWS = 20_000
 #: Rows per posting list aimed at, and the most lists.
 LIST_ROWS = 256
 MAX_LISTS = 2_000
-#: A vector is in lists up to (1 + closure) times its least centroid distance, a query opens up to (1 + prune).
-CLOSURE = 0.012
-MAX_COPIES = 2
+#: Share of the calibration queries' true neighbours that opened lists must hold.
+RECALL = 0.98
+#: Lists up to (1 + prune) times the least centroid distance are opened in any case.
 PRUNE = 0.13
-#: Beams of the graph search for a query and for a row to be placed.
-BEAM = 160
+#: Queries scored against all rows, and sampled vectors that list sizes are estimated from.
+CALIBRATE = 256
+SIZED = 4_000
+#: Ways of placing: the most lists of a vector, and (1 + closure) times its least centroid distance as their bound.
+PLACINGS = ((1, 0.0), (2, 0.012), (2, 0.05), (4, 0.05), (4, 0.15))
+#: A row written and read again costs about as much as so many scored pairs.
+ROW_COST = 300
+#: Beam of the graph search for a row to be placed.
 PLACE_BEAM = 16
 DEGREE = 24
 PART_ROWS = 4_096
@@ -133,6 +150,66 @@ def best_of_list(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndar
     return q, r, score
 
 
+def exact_neighbours(rows: DataFrame, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the query, vector) of the k best of all rows for a few queries."""
+    def first(found: pd.DataFrame) -> pd.DataFrame:
+        found = found.sort_values(["q", "score", "id"], ascending=[True, False, True])
+        return found[found.groupby("q").cumcount() < k].copy()
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            for at in range(0, len(batch), PART_ROWS):
+                part = batch.iloc[at:at + PART_ROWS]
+                data, own = np.stack(part["v"].to_numpy()), part["id"].to_numpy()
+                q, r, s = best_of_list(x, data, k + 1)
+                other = ids[q] != own[r]
+                new = first(pd.DataFrame({"q": q[other], "id": own[r[other]], "score": s[other], "r": r[other]}))
+                new["v"] = pd.Series(list(data[new.pop("r").to_numpy(int)]), new.index, object)
+                held = new if held is None else first(pd.concat([held, new]))
+        if held is not None:
+            yield held
+
+    found = rows.mapInPandas(best, "q long, id long, score double, v array<double>")
+    rank = Window.partitionBy("q").orderBy(F.col("score").desc(), "id")
+    got = found.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= k).select("q", "v").collect()
+    return np.array([r["q"] for r in got], int), np.array([r["v"] for r in got]).reshape(len(got), x.shape[1])
+
+
+def placed_in(near: np.ndarray, dist: np.ndarray, copies: int, closure: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, list) of each copy, of what the graph search found."""
+    row, col = np.nonzero(dist[:, :copies] <= (1 + closure) * dist[:, :1])
+    return row, near[row, col]
+
+
+def calibrated(
+    graph: CentroidGraph, queries: np.ndarray, number: np.ndarray, neighbours: np.ndarray, sample: np.ndarray,
+    n: int, n_queries: int, recall: float,
+) -> tuple[int, float, float]:
+    """(copies, closure, prune) of the least work at which the opened lists
+    hold the share `recall` of the queries' true neighbours."""
+    lists = len(graph.centres)
+    if not len(number):
+        return (*PLACINGS[0], 0.0)
+    dist = distances(queries, graph.centres)
+    ratio = dist / np.maximum(dist.min(1)[:, None], 1e-300)
+    near, near_dist = graph.search(neighbours, PLACE_BEAM)
+    some, some_dist = graph.search(sample, PLACE_BEAM)
+    choices = []
+    for copies, closure in PLACINGS:
+        row, where = placed_in(near, near_dist, copies, closure)
+        least = np.full(len(number), np.inf)
+        np.minimum.at(least, row, ratio[number[row], where])
+        bound = max(1 + PRUNE, np.sort(least)[min(len(least), math.ceil(recall * len(least))) - 1])
+        _, taken = placed_in(some, some_dist, copies, closure)
+        size = np.bincount(taken, minlength=lists) * (n / len(sample))
+        opened = ratio <= bound
+        lots = np.add.reduceat(opened, np.arange(0, lists, LISTS_TOGETHER), axis=1).astype(bool).sum(1).mean()
+        work = n_queries * (opened @ size).mean() + ROW_COST * (n * len(taken) / len(sample) + n_queries * lots)
+        choices.append((work, copies, closure, float(bound) - 1 + 1e-9))
+    return min(choices)[1:]
+
+
 def valid_vectors(table: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     v = F.col(embedding).cast("array<double>")
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
@@ -143,7 +220,7 @@ def valid_vectors(table: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 def nearest_neighbours(
     table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", is_query: Column | None = None, k: int = K,
     sample_rows: int = SAMPLE_ROWS, list_rows: int = LIST_ROWS, max_lists: int = MAX_LISTS,
-    closure: float = CLOSURE, prune: float = PRUNE, part_rows: int = PART_ROWS,
+    recall: float = RECALL, part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query row (by default ids
     divisible by `QUERY_EVERY`) its k nearest rows but itself."""
@@ -155,8 +232,11 @@ def nearest_neighbours(
     if width is None:
         return table.sparkSession.createDataFrame([], result)
     rows = stored(rows.where(F.size("v") == width), "vectors")
+    asking = rows.where(query)
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    n, longest = rows.agg(F.count(F.lit(1)), F.max(norm)).first()
+    n, longest, n_queries = rows.agg(F.count(F.lit(1)), F.max(norm), F.count_if(query)).first()
+    if not n_queries:
+        return table.sparkSession.createDataFrame([], result)
     sample = rows.select("v").orderBy(F.xxhash64("id", "v"), "id").limit(sample_rows)
     sample = np.array([r["v"] for r in sample.collect()])
     lists = int(max(1, min(max_lists, len(sample) // 8, n // list_rows)))
@@ -165,6 +245,12 @@ def nearest_neighbours(
 
     by_vector = Window.partitionBy("v").orderBy("id")
     kept = rows.withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= k + 1).drop("_n")
+    # a query's own extra coordinate is 0; its distances order rows by inner product
+    raised = lambda x: np.concatenate([x * np.sqrt(longest / np.maximum((x * x).sum(1), 1e-300))[:, None], np.zeros((len(x), 1))], axis=1)
+    tried = asking.select("id", "v").orderBy(F.xxhash64("id", "v", F.lit(1)), "id").limit(CALIBRATE).collect()
+    tried_ids, tried_v = np.array([r["id"] for r in tried], int), np.array([r["v"] for r in tried]).reshape(len(tried), width)
+    number, true_ones = exact_neighbours(rows, tried_ids, tried_v, k)
+    copies, closure, prune = calibrated(graph, raised(tried_v), number, lifted(true_ones), lifted(sample[:SIZED]), n, n_queries, recall)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -173,14 +259,16 @@ def nearest_neighbours(
                 if not len(part):
                     continue
                 near, dist = graph.search(lifted(np.stack(part["v"].to_numpy())), PLACE_BEAM)
-                row, col = np.nonzero(dist[:, :MAX_COPIES] <= (1 + closure) * dist[:, :1])
-                yield pd.DataFrame({"list": near[row, col], "id": part["id"].to_numpy()[row], "v": part["v"].to_numpy()[row]})
+                row, where = placed_in(near, dist, copies, closure)
+                yield pd.DataFrame({"list": where, "id": part["id"].to_numpy()[row], "v": part["v"].to_numpy()[row]})
 
     postings = stored(kept.mapInPandas(assign, "list long, id long, v array<double>"), "postings")
     sizes = {r["list"]: r["n"] for r in postings.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = {c: -(-m // part_rows) for c, m in sizes.items()}
     size_of = np.array([sizes.get(c, 0) for c in range(lists)])
     part_of = np.array([parts.get(c, 1) for c in range(lists)])
+    lots = -(-lists // LISTS_TOGETHER)
+    lot_parts = np.concatenate([part_of, np.zeros(lots * LISTS_TOGETHER - lists, int)]).reshape(lots, LISTS_TOGETHER)
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -189,41 +277,46 @@ def nearest_neighbours(
                 if not len(part):
                     continue
                 x = np.stack(part["v"].to_numpy())
-                # a query's own extra coordinate is 0; its distances order rows by inner product
-                near, dist = graph.search(np.concatenate([x * np.sqrt(longest / np.maximum((x * x).sum(1), 1e-300))[:, None], np.zeros((len(x), 1))], axis=1), BEAM)
+                dist = distances(raised(x), graph.centres)
+                near = np.argsort(dist, axis=1, kind="stable")
+                dist = np.take_along_axis(dist, near, 1)
                 seen = np.cumsum(size_of[near], axis=1) - size_of[near]
-                row, col = np.nonzero(((dist <= (1 + prune) * dist[:, :1]) | (seen < 10 * (k + 1))) & np.isfinite(dist))
-                which = near[row, col]
-                times = part_of[which]
-                row, which = np.repeat(row, times), np.repeat(which, times)
+                row, col = np.nonzero((dist <= (1 + prune) * dist[:, :1]) | (seen < 10 * (k + 1)))
+                opened = np.zeros((len(x), lots * LISTS_TOGETHER), bool)
+                opened[row, near[row, col]] = True
+                opened = opened.reshape(len(x), lots, LISTS_TOGETHER)
+                row, lot = np.nonzero(opened.any(2))
+                times = (opened[row, lot] * lot_parts[lot]).max(1)
+                row, lot = np.repeat(row, times), np.repeat(lot, times)
                 piece = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                yield pd.DataFrame({"list": which, "part": piece, "id": part["id"].to_numpy()[row], "v": part["v"].to_numpy()[row]})
+                yield pd.DataFrame({"lot": lot, "part": piece, "id": part["id"].to_numpy()[row], "v": part["v"].to_numpy()[row], "open": opened[row, lot] @ (1 << np.arange(LISTS_TOGETHER))})
 
-    asked = rows.where(query).mapInPandas(route, "list long, part long, id long, v array<double>")
+    asked = asking.mapInPandas(route, "lot long, part long, id long, v array<double>, open long")
     of_list = F.element_at(F.from_json(F.lit("[" + ",".join(map(str, part_of)) + "]"), "array<bigint>"), (F.col("list") + 1).cast("int"))
     placed = postings.withColumn("part", F.pmod(F.xxhash64("id"), of_list))
 
     def best(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
-        own = dict(iter(right.groupby("list")))
-        for number, asked_here in left.groupby("list"):
-            if number not in own:
-                continue
-            data, ids = np.stack(own[number]["v"].to_numpy()), own[number]["id"].to_numpy()
-            for at in range(0, len(asked_here), QUERY_BLOCK):
-                some = asked_here.iloc[at:at + QUERY_BLOCK]
-                asking = some["id"].to_numpy()
-                q, r, s = best_of_list(np.stack(some["v"].to_numpy()), data, k + 1)
-                other = asking[q] != ids[r]
-                out.append(pd.DataFrame({"query_id": asking[q[other]], "vec_id": ids[r[other]], "score": s[other]}))
-        if not out:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        # a row that is in several lists is found alike in each
-        every = pd.concat(out).drop_duplicates(["query_id", "vec_id"]).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-        return every[every.groupby("query_id").cumcount() < k]
-
-    lot = F.floor(F.col("list") / LISTS_TOGETHER)
-    asked, placed = asked.withColumn("lot", lot), placed.withColumn("lot", lot)
+        own = [(c % LISTS_TOGETHER, np.stack(r["v"].to_numpy()), r["id"].to_numpy()) for c, r in right.groupby("list")]
+        for at in range(0, len(left), QUERY_BLOCK):
+            some = left.iloc[at:at + QUERY_BLOCK]
+            asked_ids, x, opened = some["id"].to_numpy(), np.stack(some["v"].to_numpy()), some["open"].to_numpy()
+            found = []
+            for c, data, ids in own:
+                here = np.flatnonzero(opened >> c & 1)
+                if not len(here):
+                    continue
+                q, r, s = best_of_list(x[here], data, k + 1)
+                who = asked_ids[here[q]]
+                other = who != ids[r]
+                found.append(pd.DataFrame({"query_id": who[other], "vec_id": ids[r[other]], "score": s[other]}))
+            if found:
+                # a row that is in several lists is found alike in each
+                every = pd.concat(found).drop_duplicates(["query_id", "vec_id"]).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+                out.append(every[every.groupby("query_id").cumcount() < k])
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+
+    placed = placed.withColumn("lot", F.floor(F.col("list") / LISTS_TOGETHER))
     found = asked.groupBy("lot", "part").cogroup(placed.groupBy("lot", "part")).applyInPandas(best, "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

@@ -299,6 +299,21 @@ def test_vector_search(spark):
     assert posting_lists.nearest_neighbours(df.where("vec_id > 1999")).isEmpty()
 
 
+@pytest.mark.parametrize(("n", "list_rows"), [(1000, 256), (6000, 64), (8000, 8)])
+def test_vector_search_recall_without_structure(spark, n, list_rows):
+    x = np.random.default_rng(n).normal(size=(n, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in posting_lists.nearest_neighbours(df, list_rows=list_rows).collect():
+        got[r.query_id].add(r.vec_id)
+    asked = range(0, n, 20)
+    score = x[::20] @ x.T
+    score[np.arange(len(asked)), asked] = -2
+    best = np.argpartition(-score, 20, axis=1)[:, :20]
+    assert sum(len(got[q] & set(b)) for q, b in zip(asked, best.tolist(), strict=True)) >= 0.93 * 20 * len(asked)
+
+
 def brute_repeats(texts, n):
     count = collections.Counter(t[i:i + n] for t in texts for i in range(len(t) - n + 1))
     out = []
