@@ -2,8 +2,13 @@
 
 Each page is parsed once, inside the task that reads it, into blocks of text
 and hashes of its element subtrees (the bytes of the element's markup). Spark
-counts the subtrees per host; one that recurs on at least `min_pages` pages and
-`min_share` of its host's pages is site template, and the text inside it goes.
+counts the subtrees per host, once per distinct text of a page, so copies of a
+page count as one and what recurs has different text around it. A container
+(`CONTAINERS`) on at least `min_pages` such pages (on a smaller host: on all of
+them, `few_pages` at least) is site template, and the text inside it goes. Other
+elements must also stand on `min_share` of the host's pages: a short paragraph,
+heading or cell recurs by chance on a large host. An element with more than two
+thirds of a page's text is neither counted nor removed there.
 
 What a page marks as its article (`article`, else `main`) is protected: only
 containers inside it (`CONTAINERS`), never its paragraphs, headings or list
@@ -17,7 +22,7 @@ depends on the counts are joined to them, through pairs (host, hash).
 
 Defined results: a null or empty html gives an empty text; unclosed elements
 end with their parent; bytes that are no UTF-8 become U+FFFD; repeated pages
-are extracted one by one (and count as pages); a null url counts as host ''.
+are extracted one by one; a null url counts as host ''.
 An empty table gives an empty result.
 """
 
@@ -33,10 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from darkroom.llm.store import stored
+from darkroom.llm.store import discard, stored
 from darkroom.llm.url_cascade import host_and_path
 
 MIN_PAGES = 10
+FEW_PAGES = 3
 MIN_SHARE = 0.2
 
 #: Fixed values of the HTML standard, and furniture by tag, role and class word.
@@ -88,12 +94,13 @@ def is_furniture(tag: bytes, attributes: bytes, in_article: bool) -> bool:
 
 
 class Element:
-    __slots__ = ("tag", "start", "article", "dropped", "holds", "hash")
+    __slots__ = ("tag", "start", "article", "dropped", "holds", "hash", "chars")
 
     def __init__(self, tag: bytes, start: int, article: bool, dropped: bool):
         self.tag, self.start, self.article, self.dropped = tag, start, article, dropped
         self.holds = False  # an article or main lies inside
         self.hash: int | None = None
+        self.chars = 0  # of the main text
 
 
 def parse(html: bytes) -> tuple[list[tuple[str, list[int]]], list[int], list[int]]:
@@ -102,7 +109,7 @@ def parse(html: bytes) -> tuple[list[tuple[str, list[int]]], list[int], list[int
     stack: list[Element] = [Element(b"", 0, False, False)]
     blocks: list[tuple[bool, bool, str, list[Element]]] = []
     pieces: list[str] = []
-    hashes: set[int] = set()
+    hashed: list[Element] = []
     seen_article = seen_main = False
     pos, size = 0, len(html)
 
@@ -118,8 +125,9 @@ def parse(html: bytes) -> tuple[list[tuple[str, list[int]]], list[int], list[int
             if e.tag in BLOCKS:
                 flush()
             if e.tag not in KEEP_OPEN and not e.holds and (not e.article or e.tag in CONTAINERS):
-                e.hash = xxhash.xxh3_64_intdigest(html[e.start:end]) - (1 << 63)
-                hashes.add(e.hash)
+                # the last bit says whether it is a container
+                e.hash = (xxhash.xxh3_64_intdigest(html[e.start:end]) - (1 << 63)) & ~1 | (e.tag in CONTAINERS)
+                hashed.append(e)
             stack.pop()
 
     while pos < size:
@@ -186,19 +194,21 @@ def parse(html: bytes) -> tuple[list[tuple[str, list[int]]], list[int], list[int
             pos = end.start() if end else size
     close(1, size)
     flush()
-    out = []
-    for article, main, text, path in blocks:
-        if article if seen_article else main if seen_main else True:
-            own = [e.hash for e in path if e.hash is not None]
-            out.append((text, own))
+    taken = [(text, path) for article, main, text, path in blocks if (article if seen_article else main if seen_main else True)]
+    total = sum(len(text) for text, _ in taken)
+    for text, path in taken:
+        for e in path:
+            e.chars += len(text)
+    out = [(text, [e.hash for e in path if e.hash is not None and 3 * e.chars <= 2 * total]) for text, path in taken]
     mattering = sorted({h for _, own in out for h in own})
-    return out, sorted(hashes), mattering
+    return out, sorted({e.hash for e in hashed if 3 * e.chars <= 2 * total}), mattering
 
 
 PARSED = T.StructType([
     T.StructField("row", T.LongType()),
     T.StructField("host", T.StringType()),
     T.StructField("page", T.StructType([])),
+    T.StructField("body", T.LongType()),
     T.StructField("hashes", T.ArrayType(T.LongType())),
     T.StructField("needed", T.ArrayType(T.LongType())),
     T.StructField("text", T.StringType()),
@@ -209,7 +219,7 @@ PARSED = T.StructType([
 
 def extract_pages(
     pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
-    min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE,
+    min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, few_pages: int = FEW_PAGES,
 ) -> DataFrame:
     """(page_id, url, text, n_chars), a row per row of `pages`."""
     host, _ = host_and_path(F.col(url))
@@ -227,17 +237,23 @@ def extract_pages(
             for value in batch["html"]:
                 blocks, hashes, needed = parse(value or b"")
                 texts = [t for t, _ in blocks]
+                body = xxhash.xxh3_64_intdigest("\n".join(texts).encode()) - (1 << 63)
                 if needed:
-                    rows.append((hashes, needed, None, texts, [own for _, own in blocks]))
+                    rows.append((body, hashes, needed, None, texts, [own for _, own in blocks]))
                 else:
-                    rows.append((hashes, [], "\n".join(texts), None, None))
-            done = pd.DataFrame(rows, columns=["hashes", "needed", "text", "texts", "marks"], index=batch.index, dtype=object)
+                    rows.append((body, hashes, [], "\n".join(texts), None, None))
+            done = pd.DataFrame(rows, columns=["body", "hashes", "needed", "text", "texts", "marks"], index=batch.index, dtype=object)
             yield pd.concat([batch.drop(columns="html"), done], axis=1)[names]
 
     parsed = stored(source.mapInPandas(run, schema), "pages-parsed")
-    sizes = parsed.groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("_pages"))
-    counts = parsed.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
-    template = stored(counts.join(sizes, F.col("host") == F.col("_host")).where(F.col("n") >= F.col("_pages") * min_share).select(F.col("host").alias("_host"), F.col("hash").alias("_hash")), "pages-template")
+    # pages of a host with equal text count once
+    bodies = stored(parsed.groupBy("host", "body").agg(F.min("hashes").alias("hashes")).drop("body"), "pages-bodies")
+    sizes = bodies.groupBy(F.col("host").alias("_host")).agg(F.count(F.lit(1)).alias("_pages"))
+    counts = bodies.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(min_pages, few_pages))
+    enough = F.col("n") >= F.least(F.lit(min_pages), F.greatest(F.lit(few_pages), F.col("_pages")))
+    shared = (F.col("hash").bitwiseAND(F.lit(1)) == 1) | (F.col("n") >= F.col("_pages") * min_share)
+    template = stored(counts.join(sizes, F.col("host") == F.col("_host")).where(enough & shared).select(F.col("host").alias("_host"), F.col("hash").alias("_hash")), "pages-template")
+    discard(bodies)
     open_pages = parsed.where(F.size("needed") > 0)
     gone = (
         open_pages.select("row", "host", F.explode("needed").alias("hash"))

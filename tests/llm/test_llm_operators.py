@@ -208,6 +208,35 @@ def test_site_template_goes(spark):
     assert got == {**{i: "kept" if i % 2 else f"text {i}" for i in range(30)}, 90: "Join us", 91: "", 92: ""}
 
 
+def extracted(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html_main_text.extract_pages(pages).collect()}
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    page = "<body><div><p>one</p><p>two</p></div><div><p>three</p></div></body>"
+    rows = [(i, "http://h.org/", page) for i in range(12)]
+    rows += [(20 + i, "http://h.org/", f"<!-- {i} -->{page}") for i in range(12)]  # equal text, other markup
+    rows += [(40 + i, "http://a.org/", "<article><div><p>text</p></div></article>") for i in range(12)]
+    rows += [(60 + i, "http://b.org/", f"<body id=b{i}><div><p>most of the text</p></div>{i}</body>") for i in range(12)]
+    got = extracted(spark, rows)
+    assert {got[i] for i in [*range(12), *range(20, 32)]} == {"one\ntwo\nthree"}
+    assert {got[i] for i in range(40, 52)} == {"text"}
+    assert [got[60 + i] for i in range(12)] == [f"most of the text\n{i}" for i in range(12)]
+
+
+def test_template_by_count_of_pages(spark):
+    own = "<div>Join us</div>"
+    page = lambda i, more: f"<body>{more}<p>the text of page {i}</p><h2>Notes</h2></body>"
+    rows = [(i, "http://hot.org/", page(i, own if i < 30 else "<h2>Part</h2>" if i < 60 else "")) for i in range(400)]
+    rows += [(1000 + i, "http://small.org/", page(i, own)) for i in range(4)] + [(2000 + i, "http://two.org/", page(i, own)) for i in range(2)]
+    got = extracted(spark, rows)
+    assert all(got[i] == f"the text of page {i}" for i in [*range(30), *range(60, 400)])
+    assert all(got[i] == f"Part\nthe text of page {i}" for i in range(30, 60))  # a heading on few of many pages
+    assert all(got[1000 + i] == f"the text of page {i}" for i in range(4))
+    assert all(got[2000 + i] == f"Join us\nthe text of page {i}\nNotes" for i in range(2))
+
+
 def test_packing(spark, docs):
     got = best_fit_packing.pack_documents(docs, max_tokens=256, max_cost=256 ** 2).collect()
     encoder = best_fit_packing.WordEncoder(best_fit_packing.default_tokenizer())
