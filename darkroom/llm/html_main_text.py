@@ -12,10 +12,13 @@ thirds of a page's text is neither counted nor removed there.
 
 What a page marks as its article (`article`, else `main`) is protected: only
 containers inside it (`CONTAINERS`), never its paragraphs, headings or list
-items, can be template. Elements that are furniture by their tag, role or class
-(menus, forms, adverts, comments, ...) go whether they recur or not, so pages
-of small hosts come out clean too. The longest article-free page keeps all its
-other blocks.
+items, can be template. Elements that are furniture by their tag, role, id or a
+whole class token (menus, forms, adverts, comments, ...) go whether they recur
+or not, so pages of small hosts come out clean too; ids of headings and sections
+inside an article mark nothing. Such an element stays if it holds an article or
+main, or most of the page's text: a page with one is parsed a second time.
+Comments, asides and menus go all the same where the page has an article outside
+of furniture. The longest article-free page keeps all its other blocks.
 
 The parsed pages are stored once with a row number; only pages whose text
 depends on the counts are joined to them, through pairs (host, hash).
@@ -66,6 +69,10 @@ CLASS_WORDS = frozenset(
     b"ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent "
     b"disclaimer footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup "
     b"promo promotion reply replies respond related share sharing sidebar social sponsor sponsored subscribe toolbar widget disqus".split())
+#: Never text of the page, and furniture that may be larger than the page's own text.
+NEVER = RAW | frozenset(b"head button select textarea input svg canvas object embed map audio video".split())
+MENUS = frozenset(b"nav footer menu".split())
+BESIDE = frozenset(b"comment comments disqus navigation nav navbar related replies reply respond sidebar".split())
 #: Class words that are no furniture inside an article (its own heading).
 ARTICLE_WORDS = frozenset(b"header masthead banner".split())
 CONTAINERS = frozenset(b"div section ul ol dl table figure fieldset details center".split())
@@ -73,44 +80,76 @@ CONTAINERS = frozenset(b"div section ul ol dl table figure fieldset details cent
 TOKEN = re.compile(
     rb"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>""", re.S)
 ATTRIBUTE = re.compile(rb"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-WORDS = re.compile(rb"[a-z]+")
+UNMARKED_IDS = frozenset(b"h1 h2 h3 h4 h5 h6 section".split())
 KEEP_OPEN = frozenset(b"html body".split())
 
 
-def is_furniture(tag: bytes, attributes: bytes, in_article: bool) -> bool:
-    if tag in FURNITURE or (tag == b"header" and not in_article):
-        return True
+#: What an element is: no furniture, or furniture by a word or form, beside an article, a menu, or never text.
+BY_WORD, BY_ARTICLE, MENU, NO_TEXT = 1, 2, 3, 4
+
+
+def furniture_kind(tag: bytes, attributes: bytes, in_article: bool) -> int:
+    if tag in NEVER:
+        return NO_TEXT
+    if tag in MENUS:
+        return MENU
+    if tag == b"aside":
+        return BY_ARTICLE
+    kind = BY_WORD if tag in FURNITURE or (tag == b"header" and not in_article) else 0
     if not attributes or tag in KEEP_OPEN or tag in (b"article", b"main") and not in_article and b"comment" not in attributes.lower():
-        return False
+        return kind
     for m in ATTRIBUTE.finditer(attributes):
-        value = (m[2] or m[3] or m[4] or b"").lower()
-        if m[1].lower() == b"role":
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or b"").lower()
+        if name == b"role":
             if value.strip() in ROLES:
-                return True
-        elif found := CLASS_WORDS.intersection(WORDS.findall(value)):
-            if not in_article or found - ARTICLE_WORDS:
-                return True
-    return False
+                kind = max(kind, BY_WORD)
+        elif name == b"class" or not (in_article and tag in UNMARKED_IDS):
+            found = CLASS_WORDS.intersection(value.split())
+            if found and (not in_article or found - ARTICLE_WORDS):
+                kind = max(kind, BY_ARTICLE if found & BESIDE else BY_WORD)
+    return kind
+
+
+class Furniture:
+    """An element that is dropped unless it turns out to hold the page."""
+
+    __slots__ = ("start", "kind", "article", "chars")
+
+    def __init__(self, start: int, kind: int):
+        self.start, self.kind = start, kind
+        self.article = False  # the page's article or main lies inside
+        self.chars = 0
+
+
+def held_back(marked: list[Furniture], total: int, article_outside: bool) -> frozenset[int]:
+    """Where the furniture starts that is not to be dropped."""
+    return frozenset(
+        f.start for f in marked
+        if not (article_outside and f.kind > BY_WORD) and (f.article or f.kind < MENU and 2 * f.chars > total))
 
 
 class Element:
-    __slots__ = ("tag", "start", "article", "dropped", "holds", "hash", "chars")
+    __slots__ = ("tag", "start", "article", "dropped", "holds", "hash", "chars", "furniture")
 
     def __init__(self, tag: bytes, start: int, article: bool, dropped: bool):
         self.tag, self.start, self.article, self.dropped = tag, start, article, dropped
         self.holds = False  # an article or main lies inside
         self.hash: int | None = None
         self.chars = 0  # of the main text
+        self.furniture: tuple[Furniture, ...] = ()  # that it lies in
 
 
-def parse(html: bytes) -> tuple[list[tuple[str, list[int]]], list[int], list[int]]:
+def parse(html: bytes, spared: frozenset[int] | None = None) -> tuple[list[tuple[str, list[int]]], list[int], list[int]]:
     """(blocks of the main text, each with the hashes that would remove it;
-    distinct hashes of the page's subtrees; the former that matter)."""
+    distinct hashes of the page's subtrees; the former that matter). Furniture
+    that starts at `spared` is no furniture; by default that is found out first."""
     stack: list[Element] = [Element(b"", 0, False, False)]
     blocks: list[tuple[bool, bool, str, list[Element]]] = []
     pieces: list[str] = []
     hashed: list[Element] = []
     seen_article = seen_main = False
+    marked: list[Furniture] = []
+    total_chars, article_outside = 0, False
     pos, size = 0, len(html)
 
     def flush() -> None:
@@ -133,8 +172,14 @@ def parse(html: bytes) -> tuple[list[tuple[str, list[int]]], list[int], list[int
     while pos < size:
         m = TOKEN.search(html, pos)
         at = m.start() if m else size
-        if at > pos and not stack[-1].dropped:
-            pieces.append(html[pos:at].decode("utf-8", "replace"))
+        if at > pos:
+            if spared is None and not any(f.kind >= MENU for f in stack[-1].furniture):
+                chars = sum(map(len, html[pos:at].split()))
+                total_chars += chars
+                for f in stack[-1].furniture:
+                    f.chars += chars
+            if not stack[-1].dropped:
+                pieces.append(html[pos:at].decode("utf-8", "replace"))
         if not m:
             break
         pos = m.end()
@@ -179,7 +224,19 @@ def parse(html: bytes) -> tuple[list[tuple[str, list[int]]], list[int], list[int
             flush()
         parent = stack[-1]
         inside = parent.article or tag in (b"article", b"main")
-        element = Element(tag, at, inside, parent.dropped or is_furniture(tag, attributes, parent.article))
+        kind = furniture_kind(tag, attributes, parent.article)
+        element = Element(tag, at, inside, parent.dropped or kind == NO_TEXT or kind > 0 and at not in (spared or ()))
+        element.furniture = parent.furniture
+        if kind:
+            f = Furniture(at, kind)
+            element.furniture = (*parent.furniture, f)
+            if kind < NO_TEXT:
+                marked.append(f)
+        elif tag in (b"article", b"main") and not any(e.tag == b"article" for e in stack):
+            for f in element.furniture:
+                f.article = True
+            # furniture by a word that holds an article stays, so it does not hide it
+            article_outside |= all(f.kind == BY_WORD for f in element.furniture)
         if not element.dropped:
             seen_article |= tag == b"article"
             seen_main |= tag == b"main"
@@ -194,6 +251,8 @@ def parse(html: bytes) -> tuple[list[tuple[str, list[int]]], list[int], list[int
             pos = end.start() if end else size
     close(1, size)
     flush()
+    if spared is None and marked and (back := held_back(marked, total_chars, article_outside)):
+        return parse(html, back)
     taken = [(text, path) for article, main, text, path in blocks if (article if seen_article else main if seen_main else True)]
     total = sum(len(text) for text, _ in taken)
     for text, path in taken:

@@ -208,6 +208,24 @@ def test_site_template_goes(spark):
     assert got == {**{i: "kept" if i % 2 else f"text {i}" for i in range(30)}, 90: "Join us", 91: "", 92: ""}
 
 
+def test_furniture_never_holds_the_page():
+    text = lambda html: "\n".join(t for t, _ in html_main_text.parse(html.encode())[0])
+    article = "<article><h1>A</h1><p>one two three</p></article>"
+    for outer in ("div class='layout has-sidebar'", "div class='page fixed-header'", "div id='content-ad-free'", "form", "div class='header'",
+                  "div class='page sidebar'", "aside", "div role=banner", "section id=comments", "form class=widget"):
+        tag = outer.split()[0]
+        assert text(f"<body><{outer}><div>{article}</div></{tag}></body>") == "A\none two three", outer
+        if outer != "aside":
+            assert text(f"<body><{outer}><p>the whole page</p></{tag}><p>more</p></body>") == "the whole page\nmore", outer
+    inside = "<article><p>t</p><h2 id='related'>Work</h2><h2 id='related-work'>More</h2><section id='share-prices'><p>up</p></section></article>"
+    assert text(inside) == "t\nWork\nMore\nup"
+    furniture = ("<nav><a>a long menu of many words that is longer than the page</a></nav><form><p>find</p></form><div class='box ad'>buy</div>"
+                 "<div class='comments'><article class='comment'>first! and a long comment it is, longer than the page</article></div>")
+    assert text(f"<body><div class='page header'>{article}</div>{furniture}</body>") == "A\none two three"
+    assert text(f"<body>{furniture}<main>{article}<div class='comments'><article>a reply that is longer than all the rest</article></div></main></body>") == "A\none two three"
+    assert text("<nav><a>a long menu of many words</a></nav><p>short</p><div class=ad>buy</div>") == "short"
+
+
 def extracted(spark, rows):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     return {r.page_id: r.text for r in html_main_text.extract_pages(pages).collect()}
