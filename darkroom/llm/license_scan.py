@@ -1,5 +1,5 @@
-"""License scans: TF-IDF cosine of header lines to licence templates, then the
-nearest licence file above.
+"""License scans: TF-IDF cosine of lines, windows and licence files to licence
+templates, then the nearest licence file above.
 
 Terms are lower-cased runs of letters and digits. Weights come from the whole
 corpus: one aggregation counts the files that hold each template term. A line
@@ -9,7 +9,14 @@ reach `threshold` are scored: each template's heaviest terms are taken until
 the rest of its vector alone is too short for that cosine, so a line without
 any of them is out by the Cauchy-Schwarz inequality.
 
-A file's own licence is its best line's. A licence file (by base name) gives
+Notices are also wrapped, commented and set in longer lines. So every run of as
+many terms as a template has, across lines and without comment marks, is
+compared with it too, and the whole text of a licence file with each template.
+Files whose terms cannot reach `threshold` are out by the same inequality; in
+the others running sums bound every window's cosine, and windows are scored
+from the highest bound down until none can be better.
+
+A file's own licence is that of its best line, window or whole text. A licence file (by base name) gives
 its own to its directory. A file without one inherits from its nearest ancestor
 directory: its ancestors, one row each, are joined to directories by path and
 the deepest match wins. The only table sent to tasks is the templates.
@@ -27,41 +34,80 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from darkroom.llm.store import stored
 
-#: Header lines of common licences: fixed texts.
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
+modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor
+the names of its contributors may be used to endorse or promote products derived from this software without specific prior written
+permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING,
+BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING,
+BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED
+AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT
+OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+APACHE_HEADER = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed
+to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND,
+either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+GPL_HEADER = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is
+distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS
+FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public
+License along with this program. If not, see <https://www.gnu.org/licenses/>."""
+#: Notices and headers of common licences, whole texts of the short ones and titles of the long ones (whose texts end with
+#: their notice): fixed texts.
 TEMPLATES = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
         "SPDX-License-Identifier: Apache-2.0",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+        APACHE_HEADER,
     ),
     "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "SPDX-License-Identifier: BSD-3-Clause",
+        BSD_TEXT,
     ),
     "CC-BY-NC-4.0": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License.",
         "SPDX-License-Identifier: CC-BY-NC-4.0",
+        "Creative Commons Attribution-NonCommercial 4.0 International Public License",
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+        GPL_HEADER,
     ),
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction,",
         "SPDX-License-Identifier: MIT",
+        MIT_TEXT,
     ),
 }
 THRESHOLD = 0.8
 TERM = re.compile("[a-z0-9]+")
+#: Comment marks that are words, at the start of a line.
+COMMENT_WORD = re.compile(r"^[ \t]*(?:dnl|rem)\b", re.M | re.I)
 #: Base names of licence files, without suffix and case.
 LICENSE_NAMES = ("license", "licence", "copying", "notice")
 
@@ -93,8 +139,9 @@ def needed_terms(vector: dict[str, float], threshold: float) -> list[str]:
     return out
 
 
-def line_scorer(docs: DataFrame, text: str, templates: dict[str, tuple[str, ...]], threshold: float) -> tuple[Callable, Callable]:
-    """(column of the lines worth scoring, task that scores rows (key, line))."""
+def scorers(docs: DataFrame, text: str, templates: dict[str, tuple[str, ...]], threshold: float) -> tuple[Callable, Callable, Callable]:
+    """(column of the lines worth scoring, task that scores rows (key, line),
+    column of the best window of (text, whether it is also scored whole))."""
     idf, other = term_weights(docs, text, templates)
     vectors = []
     for name in sorted(templates):
@@ -119,7 +166,49 @@ def line_scorer(docs: DataFrame, text: str, templates: dict[str, tuple[str, ...]
                     out.append((k, vectors[best[1]][0], min(1.0, round(best[0], 12))))
             yield pd.DataFrame(out, columns=["key", "licence", "cosine"])
 
-    return candidates, score
+    lengths = [terms_of(line).total() for name in sorted(templates) for line in templates[name]]
+    shares: dict[str, list[tuple[int, float]]] = {}
+    for i, (_, v) in enumerate(vectors):
+        for t, w in v.items():
+            shares.setdefault(t, []).append((i, w * w))
+
+    def best_window(terms: list[str], whole: bool) -> tuple[float, int] | None:
+        mass = [0.0] * len(vectors)
+        for t in shares.keys() & set(terms):
+            for i, share in shares[t]:
+                mass[i] += share
+        live = [i for i, share in enumerate(mass) if share >= threshold ** 2 - 1e-9]
+        if not live:
+            return None
+        weight = np.array([idf.get(t, other) for t in terms])
+        norm = np.concatenate([[0.0], np.cumsum(weight * weight)])
+        best = None
+        for i in live:
+            v = vectors[i][1]
+            dot = np.concatenate([[0.0], np.cumsum(weight * np.array([v.get(t, 0.0) for t in terms]))])
+            for size in {min(lengths[i], len(terms)), *([len(terms)] if whole else [])}:
+                # a term that a window repeats only makes its vector longer than this
+                bound = (dot[size:] - dot[:-size]) / np.sqrt(norm[size:] - norm[:-size])
+                at = np.flatnonzero(bound >= threshold - 1e-9)
+                for k in at[np.argsort(-bound[at], kind="stable")].tolist():
+                    if best is not None and bound[k] <= best[0] + 1e-9:
+                        break
+                    counts = Counter(terms[k:k + size])
+                    length = math.sqrt(sum((c * idf.get(t, other)) ** 2 for t, c in counts.items()))
+                    cosine = sum(w * counts[t] * idf[t] for t, w in v.items() if t in counts) / length
+                    if cosine >= threshold and (best is None or cosine > best[0]):
+                        best = (cosine, i)
+        return best
+
+    @F.pandas_udf("licence string, cosine double")
+    def score_windows(texts: pd.Series, whole: pd.Series) -> pd.DataFrame:
+        out = []
+        for body, is_file in zip(texts, whole, strict=True):
+            found = best_window(TERM.findall(COMMENT_WORD.sub("", body).lower()), bool(is_file))
+            out.append((vectors[found[1]][0], min(1.0, round(found[0], 12))) if found else (None, None))
+        return pd.DataFrame(out, columns=["licence", "cosine"])
+
+    return candidates, score, score_windows
 
 
 def ancestors(directory: Column) -> Column:
@@ -135,18 +224,20 @@ def scan_licences(
     """One row per row of `files`: the columns `keep`, path, own_licence,
     own_cosine, licence and licence_dir (where an inherited one comes from)."""
     templates = TEMPLATES if templates is None else templates
-    candidates, score = line_scorer(files, text, templates, threshold)
+    candidates, score, score_windows = scorers(files, text, templates, threshold)
+    is_file = lambda path: F.regexp_replace(F.lower(F.regexp_extract(path, "([^/]*)$", 1)), r"\..*$", "").isin(*LICENSE_NAMES)
     rows = files.select(
         F.monotonically_increasing_id().alias("row"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)],
         path.alias("path"), candidates(F.col(text)).alias("lines"),
+        score_windows(F.coalesce(F.col(text), F.lit("")), F.coalesce(is_file(path), F.lit(False))).alias("window"),
     )
     rows = stored(rows.withColumn("dir", F.regexp_replace("path", "/?[^/]*$", "")), "licence-rows")
     hits = rows.select(F.col("row").alias("key"), F.explode("lines").alias("line")).mapInPandas(score, "key long, licence string, cosine double")
+    hits = hits.unionByName(rows.where("window.licence IS NOT NULL").select(F.col("row").alias("key"), "window.licence", "window.cosine"))
     own = hits.groupBy(F.col("key").alias("_key")).agg(F.min(F.struct((-F.col("cosine")).alias("c"), F.col("licence").alias("l"))).alias("_best"))
     own = own.select("_key", F.col("_best.l").alias("own_licence"), (-F.col("_best.c")).alias("own_cosine"))
-    judged = stored(rows.drop("lines").join(own, F.col("row") == F.col("_key"), "left").drop("_key"), "licence-files")
-    base = F.regexp_replace(F.lower(F.regexp_extract("path", "([^/]*)$", 1)), r"\..*$", "")
-    dirs = judged.where(F.col("own_licence").isNotNull() & base.isin(*LICENSE_NAMES))
+    judged = stored(rows.drop("lines", "window").join(own, F.col("row") == F.col("_key"), "left").drop("_key"), "licence-files")
+    dirs = judged.where(F.col("own_licence").isNotNull() & is_file(F.col("path")))
     dirs = stored(dirs.groupBy(F.col("dir").alias("_dir")).agg(F.min(F.struct((-F.col("own_cosine")).alias("c"), F.col("path").alias("p"), F.col("own_licence").alias("l"))).alias("_b")).select("_dir", F.col("_b.l").alias("_licence")), "licence-dirs")
     wanting = judged.where(F.col("own_licence").isNull() & F.col("dir").isNotNull()).select("dir").distinct()
     up = wanting.withColumn("_up", F.explode(ancestors(F.col("dir"))))

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -304,6 +305,28 @@ def test_licences(spark):
                    (5, "GPL-3.0", "GPL-3.0", None), (6, *inherited), (6, *inherited), (7, "MIT", "MIT", None), (8, None, "GPL-3.0", "")]
 
 
+def test_wrapped_commented_and_embedded_notices(spark):
+    named = license_scan.TEMPLATES
+    wrap = lambda t, mark="", width=80: "\n".join(mark + line for line in textwrap.wrap(t, width))
+    gpl = next(t for t in named["GPL-3.0"] if t.startswith("This program is free"))
+    mit, bsd = next(t for t in named["MIT"] if t.startswith("Permission")), named["BSD-3-Clause"][0]
+    prose = "This chapter tells how the tools of our workshop came to be and who wrote them over the years;"
+    rows = [
+        (1, "g/a.py", wrap(gpl, "# ") + "\nimport os\nprint(os.name)", "GPL-3.0"),
+        (2, "m/LICENSE", "MIT License\n\nCopyright (c) 2020 Someone Else\n\n" + wrap(license_scan.MIT_TEXT, "", 70), "MIT"),
+        (3, "m/x/y.txt", "words", "MIT"),
+        (4, "b/a.c", "/*\n" + wrap(bsd, " * ", 40) + "\n */\nint main;", "BSD-3-Clause"),
+        (5, "e/a.txt", f"{prose} {named['Apache-2.0'][1]} {prose}", "Apache-2.0"),
+        (6, "d/a.m4", wrap(mit, "dnl ", 30), "MIT"),
+        (7, "n/COPYING", wrap(license_scan.BSD_TEXT.replace("copyright holder", "University of Somewhere"), "", 60), "BSD-3-Clause"),
+        (8, "n/q.txt", f"{prose} You are free to use the license of this work in source and binary forms.", "BSD-3-Clause"),
+        (9, "p/q.txt", "\n".join([prose] * 30), None),
+    ]
+    df = spark.createDataFrame([r[:3] for r in rows], "doc_id long, path string, text string")
+    got = {r.doc_id: (r.own_licence, r.licence) for r in license_scan.scan_licences(df, F.col("path"), ["doc_id"]).collect()}
+    assert got == {i: (None if i in (3, 8, 9) else want, want) for i, _, _, want in rows}
+
+
 def test_cascade_is_exact_on_its_universe(spark):
     keys = spark.range(3000).select(F.concat(F.lit("k"), F.col("id")).alias("key"))
     listed = keys.where("xxhash64(key) % 10 = 0")
