@@ -78,11 +78,13 @@ def anchors_of(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray,
     reach = length - gram
     found = []
     for lot in chunks(texts, CHUNK_BYTES):
-        for piece, first, shift in slices([texts[i] for i in lot], lot.start, length):
+        for piece, first, shift, own in slices([texts[i] for i in lot], lot.start, length):
             data, offsets = column_bytes(pa.array(piece, pa.large_binary()))
             sizes = np.diff(offsets)
             begin, end = np.repeat(offsets[:-1], sizes), np.repeat(offsets[1:], sizes)
             at = find_anchors(data, begin, end, length, gram)
+            if own is not None:
+                at = at[(at + shift >= own[0]) & (at + shift < own[1])]
             if not len(at):
                 continue
             prefix = prefix_hash(data)
@@ -97,18 +99,20 @@ def anchors_of(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def slices(texts: list[bytes], first: int, length: int) -> Iterator[tuple[list[bytes], int, int]]:
-    """The texts themselves, or overlapping slices of a single very long one.
+def slices(texts: list[bytes], first: int, length: int) -> Iterator[tuple[list[bytes], int, int, tuple[int, int] | None]]:
+    """The texts themselves, or overlapping slices of a single very long one,
+    each with the places that it owns.
 
-    A slice owns the windows that start in it; contexts at its borders are cut
-    there, so neighbouring slices overlap by whole contexts on both sides."""
+    A slice overlaps its neighbours by 2 * length on both sides, so every window
+    with an owned place and every context of one lies in it as in the whole
+    text; of a place that several slices find, only its owner yields the anchor."""
     if len(texts) > 1 or len(texts[0]) <= 8 * CHUNK_BYTES:
-        yield texts, first, 0
+        yield texts, first, 0, None
         return
     text, margin = texts[0], 2 * length
     for at in range(0, len(text), 4 * CHUNK_BYTES):
         low = max(0, at - margin)
-        yield [text[low:at + 4 * CHUNK_BYTES + margin]], first, low
+        yield [text[low:at + 4 * CHUNK_BYTES + margin]], first, low, (at, at + 4 * CHUNK_BYTES)
 
 
 def anchors(docs: DataFrame, text: str, length: int, gram: int) -> DataFrame:

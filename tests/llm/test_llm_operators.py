@@ -420,6 +420,44 @@ def test_repeats_of_a_very_long_text(spark, monkeypatch):
     assert inside and all(at[p] & at[p + 7900] for p in inside)
 
 
+def test_anchors_of_a_very_long_text_are_those_of_the_whole(monkeypatch):
+    rnd = random.Random(10)
+    text = bytes(rnd.choices(b"abcdefgh ", k=30000))
+    text += text[3000:9000] + bytes(rnd.choices(b"ab", k=9000))
+    row = lambda found: sorted(zip(*(x.tolist() for x in found), strict=True))
+    whole = row(repeated_passages.anchors_of([text], 200, 64))
+    monkeypatch.setattr(repeated_passages, "CHUNK_BYTES", 512)
+    assert row(repeated_passages.anchors_of([text], 200, 64)) == whole
+
+
+def test_removal_from_a_very_long_text(spark, monkeypatch):
+    """Grams that occur twice around the borders of the slices, in passages too short to go."""
+    ship_package(spark)
+    rnd = random.Random(11)
+    text = bytearray(rnd.choices(b"abcdefgh ", k=24000))
+    for k, border in enumerate(range(2048, 20000, 2048)):
+        for d in (-250, -60, 60, 250):
+            start = border + d
+            text += text[start:start + 150] + bytes(rnd.choices(b"ijklmno", k=30))
+    text += text[5000:5600]
+    texts = [bytes(text).decode(), "x" * 100, bytes(text[:100]).decode()]
+    want = brute_repeats([t.encode() for t in texts], 200)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def in_small_slices(texts, length, gram):
+        from darkroom.llm import repeated_passages as module  # the worker's own
+
+        size, module.CHUNK_BYTES = module.CHUNK_BYTES, 512
+        try:
+            return module.anchors_of(texts, length, gram)
+        finally:
+            module.CHUNK_BYTES = size
+
+    monkeypatch.setattr(repeated_passages, "anchors_of", in_small_slices)
+    got = repeated_passages.remove_repeats(df, keep=["doc_id"]).collect()
+    assert sorted(tuple(r) for r in got) == [(i, *w) for i, w in enumerate(want)]
+
+
 def test_suffix_order_is_sorted_with_right_prefixes():
     rng = np.random.default_rng(2)
     rows = rng.integers(1, 3, size=(400, 48), dtype=np.uint8)
