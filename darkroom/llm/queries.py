@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from darkroom.llm.best_fit_packing import pack_documents
 from darkroom.llm.bounded_ring import shard_rows
+from darkroom.llm.bpe_codec import encode_documents
+from darkroom.llm.conversation_trie import conversation_trie, numbered_turns, spliced
 from darkroom.llm.html_main_text import extract_pages
 from darkroom.llm.license_scan import scan_licences
 from darkroom.llm.lsh_forest import near_duplicates
@@ -15,7 +17,8 @@ from darkroom.llm.posting_lists import nearest_neighbours
 from darkroom.llm.quality_rules import quality_rules
 from darkroom.llm.repeated_passages import remove_repeats
 from darkroom.llm.source_mix import mix_sources
-from darkroom.llm.store import ship_package
+from darkroom.llm.store import ship_package, stored
+from darkroom.llm.token_alignment import align_documents, score_links
 from darkroom.llm.url_cascade import LISTED_NAMES, judge_urls
 
 
@@ -78,6 +81,24 @@ def op10_bounded_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths, convs = spliced(numbered_turns(table(spark, sf_dir, "conversations")))
+    return conversation_trie(paths, convs).drop("key")
+
+
+def op12_tree_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_documents(table(spark, sf_dir, "documents"))
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align_documents(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    return score_links(stored(aligned.withColumn("groups_sha256", digest).drop("groups"), "align-links"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mix": op2_source_mix,
@@ -89,6 +110,9 @@ QUERIES = {
     "op8_posting_lists": op8_posting_lists,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_bounded_ring": op10_bounded_ring,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_tree_codec": op12_tree_codec,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE = {
