@@ -1,8 +1,10 @@
 """BPE encoding by tree concatenation, and decoding.
 
-Text is encoded word by word (white space splits it for this kind of tokenizer):
-the distinct words of a chunk of texts are looked up once each, unknown ones are
-encoded by the `tokenizers` library in one call. A long text (over `leaf`
+The pre-tokenizer's units are independent of each other, so the distinct ones of a
+chunk of texts are looked up once each and unknown ones are encoded by the
+`tokenizers` library's model. Texts of Latin letters and common signs fall into
+units by one regular expression, any other text into words that the whole library
+call encodes. A long text (over `leaf`
 characters) is cut at white space into parts that different tasks encode. A
 stretch without white space that is longer than `leaf` is unsplit text: it is
 cut blindly into leaves, which are encoded in parallel, and neighbours are joined
@@ -34,8 +36,10 @@ is in the input, and in no other.
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,14 +53,22 @@ from darkroom.llm.store import stored
 
 #: Characters beyond which unsplit text is cut; a long text's parts are about so long too.
 LEAF = 1 << 16
-#: Characters of text encoded together, and of the cache of words in one task.
+#: Characters of text encoded together, and units that one task remembers (their
+#: characters count too, so that the memory has a bound).
 CHUNK_CHARS = 1 << 20
-CACHE_CHARS = 3 << 20
+CACHE_UNITS = 300_000
+CACHE_CHARS = 8 << 20
 #: Tokens at each side of a join that are encoded again at first.
 WINDOW = 4
 #: A unit up to so many characters is encoded whole.
 SMALL_UNIT = 256
 
+#: Characters that normalisation only lower-cases and whose class is known: ASCII, Latin
+#: letters, and signs; a text of them is cut into the pre-tokenizer's units by `UNITS`.
+SIGNS = "!-/:-@\\[-`{-~¡-©«-±´¶-¸»¿×÷‐-‧"
+SIMPLE = re.compile(f"[ \t-\r0-9A-Za-zÀ-ÖØ-öø-ÿ{SIGNS}]*")
+UNITS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[{SIGNS}]+")
+
 #: Control characters that Python's str.split takes for white space and the tokenizers do not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WORDS = re.compile(r"(?:[^\s]|[\x1c-\x1f])+")
@@ -108,6 +120,8 @@ class TreeCodec:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Spark's tasks are the parallelism; the library's threads would only spin.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.whole = Tokenizer.from_file(path)
@@ -123,38 +137,49 @@ class TreeCodec:
         suffix = len(spec["model"].get("end_of_word_suffix") or "")
         ends = spec["model"].get("end_of_word_suffix")
         self.width = [len(n) - suffix if ends and n.endswith(ends) else len(n) for n in self.names]
-        self.index: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.held = 0
+        own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+        rest = [b for b in range(256) if b not in own]
+        #: Each byte as the character that stands for it in a byte-level vocabulary.
+        self.byte_chars = {b: b for b in own} | {b: 256 + n for n, b in enumerate(rest)}
+        self.forget()
 
-    # Words of ordinary length, through a cache that one task fills.
+    # Units and words of ordinary length, through a cache that one task fills.
 
-    def learn(self, words: list[str]) -> None:
-        for lot in (words[i:i + 4096] for i in range(0, len(words), 4096)):
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat, self.begin, self.held = array("i"), array("q", [0]), 0
+
+    def keep(self, key: str, ids: list[int]) -> None:
+        self.index[key] = len(self.begin) - 1
+        self.flat.extend(ids)
+        self.begin.append(len(self.flat))
+        self.held += len(key)
+
+    def learn(self, units: set[str], words: set[str]) -> None:
+        for unit in units:
+            piece = unit if unit.isascii() else unit.encode().decode("latin-1").translate(self.byte_chars)
+            self.keep(unit, self.unit(piece))
+        fresh = [w for w in words if w not in self.index]
+        for lot in (fresh[i:i + 4096] for i in range(0, len(fresh), 4096)):
             for word, e in zip(lot, self.whole.encode_batch_fast(lot, add_special_tokens=False), strict=True):
-                self.index[word] = len(self.ids)
-                self.ids.append(np.asarray(e.ids, dtype="<i4"))
-                self.held += len(word) + 16
+                self.keep(word, e.ids)
 
     def encode_texts(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text; none may hold a very long stretch."""
-        if self.held > CACHE_CHARS:
-            self.index, self.ids, self.held = {}, [], 0
-        lists = [words_of(t) for t in texts]
-        known = self.index
-        self.learn(list({w for words in lists for w in words if w not in known}))
+        if len(self.index) > CACHE_UNITS or self.held > CACHE_CHARS:
+            self.forget()
+        simple = [SIMPLE.fullmatch(t) is not None and "<|" not in t for t in texts]
+        lists = [UNITS.findall(t.lower()) if easy else words_of(t) for t, easy in zip(texts, simple, strict=True)]
         known = self.index
+        new = [{w for words, easy in zip(lists, simple, strict=True) if easy is kind for w in words if w not in known} for kind in (True, False)]
+        self.learn(*new)
         where = np.fromiter((known[w] for words in lists for w in words), np.int64)
         if not len(where):
             return [np.zeros(0, "<i4")] * len(texts)
-        used, which = np.unique(where, return_inverse=True)
-        each = [self.ids[i] for i in used.tolist()]
-        sizes = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.concatenate(each)
-        begin = np.cumsum(sizes) - sizes
-        size = sizes[which]
+        flat, begin = np.array(self.flat, dtype="<i4"), np.array(self.begin)
+        size = (begin[1:] - begin[:-1])[where]
         upto = np.concatenate(([0], np.cumsum(size)))
-        ids = flat[np.repeat(begin[which] - upto[:-1], size) + np.arange(upto[-1])]
+        ids = flat[np.repeat(begin[where] - upto[:-1], size) + np.arange(upto[-1])]
         cut = upto[np.cumsum([0, *map(len, lists)])]
         return [ids[i:j] for i, j in zip(cut, cut[1:], strict=False)]
 

@@ -25,7 +25,9 @@ stretch without single spaces is tokenised whole.
 
 from __future__ import annotations
 
+import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -37,9 +39,13 @@ from pyspark.sql import types as T
 
 from darkroom.llm.store import stored
 
-#: Characters of text aligned together, and of the words one task remembers.
+#: Characters of text aligned together, and words that one task remembers (their
+#: characters count too, so that the memory has a bound).
 CHUNK_CHARS = 1 << 20
-CACHE_CHARS = 2 << 20
+CACHE_WORDS = 300_000
+CACHE_CHARS = 4 << 20
+#: Words given to a tokenizer as one text.
+LOT = 250
 #: Pairs that a task holds before it sums them up.
 HELD_PAIRS = 1 << 20
 #: A single space with something else at both sides.
@@ -68,6 +74,8 @@ class Aligner:
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
+        # Spark's tasks are the parallelism; the library's threads would only spin.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=b_path)
@@ -91,71 +99,97 @@ class Aligner:
 
     def forget(self) -> None:
         self.index: dict[str, int] = {}
-        self.words: list[tuple[int, int, int, str, np.ndarray, np.ndarray] | None] = []
+        self.groups: list[str] = []
+        self.n_a, self.n_b, self.n_groups = array("q"), array("q"), array("q")
+        self.fast, self.fast_at = array("q"), array("q", [0])
+        self.slow, self.slow_at = array("q"), array("q", [0])
         self.held = 0
 
+    def tokens(self, words: list[str]) -> tuple[list[int], list[int], list[int]]:
+        """The words whose bytes both tokenizers give back, by number, and their A
+        and B ids. Words are joined by spaces for the call, and one by one again
+        where a lot of them is not given back."""
+        lots = [range(i, min(i + LOT, len(words))) for i in range(0, len(words), LOT)]
+        good, a, b = [], [], []
+        while lots:
+            texts = [" ".join([words[i] for i in lot]) for lot in lots]
+            again = []
+            for lot, text, e, y in zip(lots, texts, self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False), self.b.encode(texts, num_threads=1), strict=True):
+                x, raw = e.ids, b" " + text.encode()
+                if raw == b"".join([self.a_bytes[i] for i in x]) == b"".join([self.b_bytes[i] for i in y]):
+                    good += lot
+                    a += x
+                    b += y
+                elif len(lot) > 1:
+                    again += [range(i, i + 1) for i in lot]
+            lots = again
+        return good, a, b
+
     def learn(self, words: list[str]) -> None:
-        for lot in (words[i:i + 8192] for i in range(0, len(words), 8192)):
-            self.words += self.align(lot)
-            for word in lot:
-                self.index[word] = len(self.index)
-                self.held += len(word) + 16
-
-    def align(self, words: list[str]) -> list[tuple[int, int, int, str, np.ndarray, np.ndarray] | None]:
-        """(n_a, n_b, n_groups, groups, one-to-one A ids, other links as A << 32 | B) of
-        a space and each word; None where the bytes differ."""
-        a_ids = [e.ids for e in self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
-        b_ids = self.b.encode(words, num_threads=1)
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        good = []
-        for i, word in enumerate(words):
-            raw = b" " + word.encode()
-            if raw == b"".join([a_bytes[x] for x in a_ids[i]]) == b"".join([b_bytes[x] for x in b_ids[i]]):
-                good.append(i)
-        out: list = [None] * len(words)
-        if not good:
-            return out
-        a_n = np.array([len(a_ids[i]) for i in good])
-        b_n = np.array([len(b_ids[i]) for i in good])
-        a = np.array([x for i in good for x in a_ids[i]], dtype=np.int64)
-        b = np.array([x for i in good for x in b_ids[i]], dtype=np.int64)
+        """Align new words; one that is not given back has no tokens."""
+        good, a, b = self.tokens(words)
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        a_ends, b_ends = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
         # Good words have as many bytes on both sides, so offsets over all of them agree.
-        ends, at_a, at_b = np.intersect1d(np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b]), assume_unique=True, return_indices=True)
-        a_from, b_from = np.concatenate(([0], at_a[:-1] + 1)), np.concatenate(([0], at_b[:-1] + 1))
+        ends, at_a, at_b = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
+        word_ends = np.cumsum([1 + len(words[i].encode()) for i in good], dtype=np.int64)
+        a_from, b_from = (np.concatenate(([0], at + 1))[:len(at)] for at in (at_a, at_b))
         last_a, last_b = a[at_a], b[at_b]
         plain = (at_a == a_from) & (at_b == b_from) & (self.identity[last_a] == last_b)
-        pair = last_a << 32 | last_b
         a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
         groups = [
             f"{a_text[i]}|{b_text[k]}" if i == j and k == m else f"{','.join(a_text[i:j + 1])}|{','.join(b_text[k:m + 1])}"
             for i, j, k, m in zip(a_from.tolist(), at_a.tolist(), b_from.tolist(), at_b.tolist(), strict=True)]
-        cut = np.searchsorted(at_a, np.concatenate(([0], np.cumsum(a_n)))).tolist()
-        ones = np.concatenate(([0], np.cumsum(plain))).tolist()
-        fast, slow = last_a[plain].astype(np.int32), pair[~plain]
-        for n, (i, g, h) in enumerate(zip(good, cut, cut[1:], strict=False)):
-            out[i] = (int(a_n[n]), int(b_n[n]), h - g, ";".join(groups[g:h]), fast[ones[g]:ones[h]], slow[g - ones[g]:h - ones[h]])
-        return out
-
-    def align_texts(self, texts: list[str]) -> Iterator[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
-        """As `align`, for whole texts; zeros for a text without tokens."""
-        if self.held > CACHE_CHARS:
+        cut = np.concatenate(([0], np.searchsorted(ends, word_ends, side="right")))
+        ones = np.concatenate(([0], np.cumsum(plain)))[cut]
+        rest = cut - ones
+        for i, g, h in zip(good, cut.tolist(), cut[1:].tolist(), strict=False):
+            self.index[words[i]] = len(self.groups)
+            self.groups.append(";".join(groups[g:h]))
+        for column, counts in ((self.n_a, np.diff(np.searchsorted(a_ends, word_ends, side="right"), prepend=0)), (self.n_b, np.diff(np.searchsorted(b_ends, word_ends, side="right"), prepend=0)), (self.n_groups, np.diff(cut))):
+            column.extend(counts.tolist())
+        self.fast_at.extend((ones[1:] + len(self.fast)).tolist())
+        self.slow_at.extend((rest[1:] + len(self.slow)).tolist())
+        self.fast.extend(last_a[plain].tolist())
+        self.slow.extend((last_a << 32 | last_b)[~plain].tolist())
+        for i in set(range(len(words))).difference(good):
+            self.index[words[i]] = len(self.groups)
+            self.groups.append("")
+            for column in (self.n_a, self.n_b, self.n_groups):
+                column.append(0)
+            self.fast_at.append(len(self.fast))
+            self.slow_at.append(len(self.slow))
+        self.held += sum(map(len, words))
+
+    def align_texts(self, texts: list[str]) -> tuple:
+        """Lists by text: n_a, n_b, n_groups, groups; then one (offsets, ids, times)
+        for one-to-one links by A id and one for the others by A << 32 | B."""
+        if len(self.index) > CACHE_WORDS or self.held > CACHE_CHARS:
             self.forget()
         lists = [GAP.split(t) if t else [] for t in texts]
         known = self.index
         self.learn(list({w for words in lists for w in words if w not in known}))
-        none = (0, 0, 0, "", np.zeros(0, np.int32), np.zeros(0, np.int64))
-        for words in lists:
-            found = [self.words[known[w]] for w in words]
-            if not found or None in found:
-                yield none
-                continue
-            n_a, n_b, n_groups, groups, fast, slow = zip(*found, strict=True)
-            yield sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), np.concatenate(fast), np.concatenate(slow)
-
-
-def lists_of(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    offsets = np.concatenate(([0], np.cumsum([len(x) for x in parts]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts), kind))
+        n_a = np.array(self.n_a)
+        found = [[known[w] for w in words] for words in lists]
+        found = [x if n_a[x].all() else [] for x in found]
+        where = np.array([i for x in found for i in x], dtype=np.int64)
+        cut = np.cumsum([0, *map(len, found)])
+        per_text = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[cut])
+        counts = [per_text(np.array(c, dtype=np.int64)[where]) for c in (self.n_a, self.n_b, self.n_groups)]
+        groups = [";".join([self.groups[i] for i in x]) for x in found]
+        return *counts, groups, *(self.times(np.array(flat, dtype=np.int64), np.array(at, dtype=np.int64), where, cut) for flat, at in ((self.fast, self.fast_at), (self.slow, self.slow_at)))
+
+    @staticmethod
+    def times(flat: np.ndarray, at: np.ndarray, where: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct values of each text's words and how often each occurs."""
+        size = (at[1:] - at[:-1])[where]
+        upto = np.concatenate(([0], np.cumsum(size)))
+        values = flat[np.repeat(at[where] - upto[:-1], size) + np.arange(upto[-1])]
+        kinds, number = np.unique(values, return_inverse=True)
+        text = np.repeat(np.arange(len(cut) - 1), np.diff(upto[cut]))
+        key, n = np.unique(text * max(1, len(kinds)) + number, return_counts=True)
+        text, number = np.divmod(key, max(1, len(kinds)))
+        return np.concatenate(([0], np.cumsum(np.bincount(text, minlength=len(cut) - 1)))), kinds[number], n
 
 
 def align_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", a: str | None = None, b: str | None = None) -> DataFrame:
@@ -176,14 +210,10 @@ def align_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             for i, text in enumerate(texts):
                 size += len(text) + 1
                 if size > CHUNK_CHARS or i == len(texts) - 1:
-                    found = list(zip(*aligner.align_texts(texts[first:i + 1]), strict=True))
-                    fast = [np.unique(x, return_counts=True) for x in found[4]]
-                    slow = [np.unique(x, return_counts=True) for x in found[5]]
+                    n_a, n_b, n_groups, groups, *links = aligner.align_texts(texts[first:i + 1])
+                    lists = [pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(x, kind)) for (at, ids, n), id_kind in zip(links, (pa.int32(), pa.int64()), strict=True) for x, kind in ((ids, id_kind), (n, pa.int64()))]
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0)[first:i + 1], *(pa.array(x, pa.int64()) for x in found[:3]), pa.array(found[3], pa.string()),
-                         lists_of([x for x, _ in fast], pa.int32()), lists_of([n for _, n in fast], pa.int64()),
-                         lists_of([x for x, _ in slow], pa.int64()), lists_of([n for _, n in slow], pa.int64())],
-                        names=schema.names)
+                        [batch.column(0)[first:i + 1], *(pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups)), pa.array(groups, pa.string()), *lists], names=schema.names)
                     first, size = i + 1, 0
 
     return docs.select(F.col(doc_id), F.col(text).alias("_text")).mapInArrow(rows, schema)
