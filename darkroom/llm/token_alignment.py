@@ -107,9 +107,11 @@ class Aligner:
 
     def tokens(self, words: list[str]) -> tuple[list[int], list[int], list[int]]:
         """The words whose bytes both tokenizers give back, by number, and their A
-        and B ids. Words are joined by spaces for the call, and one by one again
-        where a lot of them is not given back."""
-        lots = [range(i, min(i + LOT, len(words))) for i in range(0, len(words), LOT)]
+        and B ids. Words are joined by spaces for the call; one by one go those
+        with white space at an end, and those of a lot that is not given back."""
+        alone = [i for i, w in enumerate(words) if not w.strip() or w[0].isspace() or w[-1].isspace()]
+        rest = sorted(set(range(len(words))).difference(alone))
+        lots = [rest[i:i + LOT] for i in range(0, len(rest), LOT)] + [[i] for i in alone]
         good, a, b = [], [], []
         while lots:
             texts = [" ".join([words[i] for i in lot]) for lot in lots]
@@ -121,7 +123,7 @@ class Aligner:
                     a += x
                     b += y
                 elif len(lot) > 1:
-                    again += [range(i, i + 1) for i in lot]
+                    again += [[i] for i in lot]
             lots = again
         return good, a, b
 
