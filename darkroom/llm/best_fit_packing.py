@@ -15,6 +15,7 @@ token; repeated rows are packed one by one; an empty table gives none.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from darkroom.llm.bytetools import chunks, mix, prefix_hash, span_hash, word_spans
+from darkroom.llm.bytetools import chunks, mix, prefix_hash, releasing, span_hash, word_spans
 from darkroom.llm.store import stored
 
 MAX_TOKENS = 4096
@@ -68,6 +69,8 @@ class WordEncoder:
     def __init__(self, path: str, words: int = CACHE_WORDS, runs: int = CACHE_RUNS):
         from tokenizers import Tokenizer
 
+        # Spark's tasks are the parallelism; each library thread would keep memory of its own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
@@ -142,7 +145,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 def encoder_of(path: str) -> WordEncoder:
-    """One encoder per worker process, so that its caches serve all its tasks."""
+    """One tokenizer per worker process; a task forgets its words at its end."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
@@ -157,6 +160,7 @@ def piece_table(docs: DataFrame, doc_id: str, text: str, tokenizer: str, max_tok
     ])
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer)
+        encoder.words, encoder.runs = {}, {}
         end = np.asarray([end_token], dtype="<u4")
         for batch in batches:
             source, piece, start, length, crc = [], [], [], [], []
@@ -177,8 +181,13 @@ def piece_table(docs: DataFrame, doc_id: str, text: str, tokenizer: str, max_tok
                  pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 names=["row", "doc_id", "piece", "start", "length", "ids_crc32"])
 
+    def cut_and_forget(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from cut(batches)
+        encoder = encoder_of(tokenizer)
+        encoder.words, encoder.runs = {}, {}
+
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(cut, schema)
+    return rows.mapInArrow(releasing(cut_and_forget), schema)
 
 
 def vector_best_fit(

@@ -49,6 +49,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from darkroom.llm.bytetools import releasing
 from darkroom.llm.store import stored
 
 #: Characters beyond which unsplit text is cut; a long text's parts are about so long too.
@@ -400,12 +401,12 @@ def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                 yield pa.RecordBatch.from_arrays([pa.array([key.as_py()], batch.schema[0].type), ids_array([ids]), pa.array([codec.decode(ids)], pa.string())], names=out.names)
 
     long = F.coalesce(F.length("_text") > leaf, F.lit(False))
-    short = docs.where(~long).mapInArrow(encode, out)
+    short = docs.where(~long).mapInArrow(releasing(encode), out)
     rows = docs.where(long).select(F.monotonically_increasing_id().alias("row"), doc_id, "_text")
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField(doc_id, kind), *(T.StructField(n, t) for n, t in (("part", T.IntegerType()), ("leaf", T.IntegerType()), ("text", T.StringType())))])
-    cut = stored(rows.mapInArrow(split, schema), "bpe-parts")
+    cut = stored(rows.mapInArrow(releasing(split), schema), "bpe-parts")
     dealt = cut.select("row", "part", "leaf", "text").repartition("row", "part", "leaf")
-    done = stored(dealt.mapInArrow(encode_parts, BLOCK), "bpe-blocks")
+    done = stored(dealt.mapInArrow(releasing(encode_parts), BLOCK), "bpe-blocks")
 
     # The tree: neighbours 2n and 2n+1 of an unsplit stretch become block n of the next round.
     while True:
@@ -421,5 +422,5 @@ def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
     ids = done.groupBy("row").agg(F.transform(F.array_sort(F.collect_list(F.struct("part", "ids"))), lambda x: x["ids"]).alias("ids"))
     keys = cut.where("part = 0 and leaf <= 0").select(F.col("row").alias("_row"), doc_id)
-    long_texts = keys.join(ids, F.col("_row") == F.col("row")).select(doc_id, "ids").mapInArrow(whole, out)
+    long_texts = keys.join(ids, F.col("_row") == F.col("row")).select(doc_id, "ids").mapInArrow(releasing(whole), out)
     return short.unionByName(long_texts)

@@ -12,7 +12,9 @@ operators built on it with brute force on whole texts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +67,29 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     return have[:n]
 
 
+def release() -> None:
+    """Give back the memory of a task: Spark keeps a Python worker for the next
+    tasks, and a worker that packed texts held 480 MB until it was trimmed."""
+    _POWERS.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def releasing(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`task`, a function of Arrow batches, with `release` at its end."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            release()
+
+    return run
+
+
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """P with P[i] = sum over j < i of value(data[j]) * BASE**-j."""
     out = np.empty(len(data) + 1, dtype=np.uint64)

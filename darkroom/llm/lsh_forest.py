@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from darkroom.llm.bytetools import chunks, mix, prefix_hash, span_hash, word_spans
+from darkroom.llm.bytetools import chunks, mix, prefix_hash, releasing, span_hash, word_spans
 from darkroom.llm.components import connected_components
 from darkroom.llm.store import discard, stored
 
@@ -116,7 +116,7 @@ def scan(docs: DataFrame, doc_id: str, text: str, n: int, trees: int, depth: int
                 [batch.column(0), pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()), pa.array(rows, pa.list_(pa.int64()))],
                 names=["doc_id", "text_key", "keys"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text")).mapInArrow(releasing(run), schema)
 
 
 LINKS = T.StructType([T.StructField("node", T.LongType()), T.StructField("n_links", T.LongType()), T.StructField("tie", T.LongType())])
@@ -206,7 +206,7 @@ def compare_families(rows: DataFrame, similarity: float) -> DataFrame:
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["family", "low", "high"]
-    return rows.repartition(parts, *keys).sortWithinPartitions(*keys, "node").mapInArrow(run, LINKS)
+    return rows.repartition(parts, *keys).sortWithinPartitions(*keys, "node").mapInArrow(releasing(run), LINKS)
 
 
 def shingle_sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:
@@ -224,7 +224,7 @@ def shingle_sets(docs: DataFrame, members: DataFrame, doc_id: str, text: str, n:
                 sets += [np.unique(hashes[i:j]).tobytes() for i, j in zip(offsets, offsets[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets, pa.binary())], names=["node", "family", "shingles"])
 
-    return rows.mapInArrow(run, schema).dropDuplicates(["node"])
+    return rows.mapInArrow(releasing(run), schema).dropDuplicates(["node"])
 
 
 def near_duplicates(

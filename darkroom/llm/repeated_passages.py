@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from darkroom.llm.bytetools import chunks, column_bytes, mix, prefix_hash, sliding_min, span_hash
+from darkroom.llm.bytetools import chunks, column_bytes, mix, prefix_hash, releasing, sliding_min, span_hash
 from darkroom.llm.store import discard, stored
 from darkroom.llm.suffix_order import window_matches
 
@@ -127,7 +127,7 @@ def anchors(docs: DataFrame, text: str, length: int, gram: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [key, pa.array(pos), *[pa.array(x.view(np.int64)) for x in (grams, contexts, place)]], names=[f.name for f in ANCHOR])
 
-    return docs.select(F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text")).where(F.octet_length("text") >= length).mapInArrow(scan, ANCHOR)
+    return docs.select(F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text")).where(F.octet_length("text") >= length).mapInArrow(releasing(scan), ANCHOR)
 
 
 def text_key(text: str) -> F.Column:
@@ -164,7 +164,7 @@ def cut_contexts(docs: DataFrame, wanted: DataFrame, text: str, length: int, gra
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=[f.name for f in CONTEXT])
 
     # copies of one text give the same contexts
-    return rows.mapInArrow(cut, CONTEXT).dropDuplicates(["gram", "context"])
+    return rows.mapInArrow(releasing(cut), CONTEXT).dropDuplicates(["gram", "context"])
 
 
 MATCH = T.StructType([
@@ -213,7 +213,7 @@ def match_in_tasks(contexts: DataFrame, length: int, gram: int) -> DataFrame:
             yield done(pa.Table.from_batches(kept))
 
     parts = contexts.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return contexts.repartition(int(parts), "gram").sortWithinPartitions("gram").mapInArrow(run, MATCH)
+    return contexts.repartition(int(parts), "gram").sortWithinPartitions("gram").mapInArrow(releasing(run), MATCH)
 
 
 def match_by_counting(contexts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -329,7 +329,7 @@ def remove_repeats(
                 new[at_text] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([new[f.name] if f.name in new else batch.column(f.name) for f in schema], names=[f.name for f in schema])
 
-    out = rows.mapInArrow(cut, schema)
+    out = rows.mapInArrow(releasing(cut), schema)
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(keep) if c != text or return_text], *[r.name for r in results])
 
 

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from darkroom.llm.bytetools import releasing
 from darkroom.llm.store import stored
 
 #: Characters of text aligned together, and words that one task remembers (their
@@ -218,7 +219,7 @@ def align_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                         [batch.column(0)[first:i + 1], *(pa.array(x, pa.int64()) for x in (n_a, n_b, n_groups)), pa.array(groups, pa.string()), *lists], names=schema.names)
                     first, size = i + 1, 0
 
-    return docs.select(F.col(doc_id), F.col(text).alias("_text")).mapInArrow(rows, schema)
+    return docs.select(F.col(doc_id), F.col(text).alias("_text")).mapInArrow(releasing(rows), schema)
 
 
 def pair_counts(links: DataFrame, a: str, b: str) -> DataFrame:
@@ -252,7 +253,7 @@ def pair_counts(links: DataFrame, a: str, b: str) -> DataFrame:
         ids = np.flatnonzero(vector)
         yield out(ids << 32 | aligner.identity[ids], vector[ids], True)
 
-    counted = links.select("fast_ids", "fast_n", "slow_pairs", "slow_n").mapInArrow(count, "pair long, fast boolean, n long")
+    counted = links.select("fast_ids", "fast_n", "slow_pairs", "slow_n").mapInArrow(releasing(count), "pair long, fast boolean, n long")
     return counted.groupBy("pair", "fast").agg(F.sum("n").alias("n"))
 
 
@@ -288,7 +289,7 @@ def score_links(links: DataFrame, a: str | None = None, b: str | None = None) ->
                 [*(batch.column(f.name) for f in keep), batch.column("_row"), pa.array(per_doc(n * hit[ids]), pa.int64()), pa.array(per_doc(n * count[ids]), pa.int64()), batch.column("slow_pairs"), batch.column("slow_n")],
                 names=schema.names)
 
-    rows = stored(links.withColumn("_row", F.monotonically_increasing_id()).mapInArrow(fast, schema), "align-rows")
+    rows = stored(links.withColumn("_row", F.monotonically_increasing_id()).mapInArrow(releasing(fast), schema), "align-rows")
     slow = rows.select("_row", F.explode(F.arrays_zip("slow_pairs", "slow_n")).alias("link")).select("_row", F.col("link.slow_pairs").alias("pair"), F.col("link.slow_n").alias("times"))
     judged = counts.where("not fast").select(F.col("pair").alias("_pair"), "n", b_of.alias("b"))
     judged = judged.join(best.withColumnRenamed("b", "_b"), F.col("b") == F.col("_b")).select("_pair", "n", (F.col("n") == F.col("most")).alias("hit"))
