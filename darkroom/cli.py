@@ -2,12 +2,16 @@
 (or `spark-submit darkroom/cli.py <command> ...`).
 
 The session comes from the environment (`spark-submit` / the cluster);
-nothing here sets a master. Plans are written as Parquet; `--dry-run`
-prints a preview instead of writing.
+nothing here sets a master. Plans are written as Parquet; `--dry-run`, or no
+`--plan-out`, prints every row instead. The results of uploads and deletes are
+Parquet folders: (file_path, s3_key, source_type, file_size, md5_checksum,
+status) and (file_path, outcome). Jobs number their versions themselves.
 
-    catalogue --dir IMAGES --exif-dir JSON --catalogue BASE --version N [--limit N] [--batch-size 50]
+    catalogue --dir IMAGES --exif-dir JSON --catalogue BASE [--version N] [--limit N] [--batch-size 50]
     backup    --root TAG=DIR ... --ledger BASE --bucket B --plan-out DIR [--dry-run]
-    deletions --root TAG=DIR ... --ledger BASE --audit BASE --bucket B --version N [--available TAG ...]
+    uploaded  --ledger BASE --results DIR
+    deletions --root TAG=DIR ... --ledger BASE --bucket B --plan-out DIR [--available TAG ...] [--dry-run]
+    deleted   --root TAG=DIR ... --ledger BASE --audit BASE --bucket B --results DIR --run-id ID [--available TAG ...]
     card      --source CARD --internal DIR --external DIR --free-gb TEXT [--internal-missing] --plan-out DIR
     stack     --pages DIR --plan-out DIR [--dry-run]
     libraries --libraries DIR [--external-only]
@@ -37,10 +41,13 @@ def _now() -> str:
 
 
 def _emit(df, out: str | None, dry_run: bool) -> None:
-    if dry_run or not out:
-        df.show(20, truncate=False)
-    else:
+    """Write a plan, or print every row of it, a partition at a time."""
+    if not dry_run and out:
         df.write.mode("overwrite").parquet(out)
+        return
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -54,7 +61,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--dir", required=True)
     c.add_argument("--exif-dir", required=True)
     c.add_argument("--catalogue", required=True)
-    c.add_argument("--version", type=int, required=True)
+    c.add_argument("--version", type=int)
     c.add_argument("--limit", type=int, default=0)
     c.add_argument("--batch-size", type=int, default=50)
 
@@ -66,13 +73,23 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--dry-run", action="store_true")
     b.add_argument("--storage-class", help="storage class to request (the scripts send none)")
 
-    d = sub.add_parser("deletions")
-    d.add_argument("--root", action="append", required=True)
-    d.add_argument("--ledger", required=True)
-    d.add_argument("--audit", required=True)
-    d.add_argument("--bucket", required=True)
-    d.add_argument("--version", type=int, required=True)
-    d.add_argument("--available", action="append")
+    u = sub.add_parser("uploaded")
+    u.add_argument("--ledger", required=True)
+    u.add_argument("--results", required=True)
+
+    for name in ("deletions", "deleted"):
+        d = sub.add_parser(name)
+        d.add_argument("--root", action="append", required=True)
+        d.add_argument("--ledger", required=True)
+        d.add_argument("--bucket", required=True)
+        d.add_argument("--available", action="append")
+        if name == "deletions":
+            d.add_argument("--plan-out")
+            d.add_argument("--dry-run", action="store_true")
+        else:
+            d.add_argument("--audit", required=True)
+            d.add_argument("--results", required=True)
+            d.add_argument("--run-id", required=True, help="names the results: the same ones are applied once")
 
     k = sub.add_parser("card")
     k.add_argument("--source", required=True)
@@ -104,10 +121,15 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "backup":
         plan = jobs.plan_backup(spark, _roots(args.root), args.ledger, args.bucket, run_ts, args.storage_class)
         _emit(plan, args.plan_out, args.dry_run)
+    elif args.cmd == "uploaded":
+        jobs.record_uploads(spark, args.ledger, spark.read.parquet(args.results), None, run_ts)
     elif args.cmd == "deletions":
-        plan = jobs.sync_deletions(spark, _roots(args.root), args.ledger, args.audit, args.version, args.bucket,
-                                   run_ts, args.available)
-        print(f"deleted {plan.count()} objects")
+        plan = jobs.plan_deletions(spark, _roots(args.root), args.ledger, args.bucket, run_ts, args.available)
+        _emit(plan, args.plan_out, args.dry_run)
+    elif args.cmd == "deleted":
+        counts = jobs.record_deletions(spark, _roots(args.root), args.ledger, args.audit, spark.read.parquet(args.results),
+                                       args.bucket, run_ts, args.run_id, args.available)
+        _emit(counts, None, False)
     elif args.cmd == "card":
         volumes = spark.createDataFrame(
             [("internal", args.internal, not args.internal_missing, args.free_gb), ("external", args.external, True, "0")],
@@ -120,7 +142,7 @@ def main(argv: list[str] | None = None) -> int:
         groups, requests = jobs.plan_stacks(spark, args.pages)
         _emit(requests, args.plan_out, args.dry_run)
     elif args.cmd == "libraries":
-        libraries_to_scan(read_libraries(spark, args.libraries), args.external_only).show(truncate=False)
+        _emit(libraries_to_scan(read_libraries(spark, args.libraries), args.external_only), None, False)
     return 0
 
 

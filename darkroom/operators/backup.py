@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 from darkroom.constants import BACKUP_EXCLUDE_DIRS, STATUS_UPLOADED
 from darkroom.functions.keys import full_uri, object_tags, root_of, storage_key, tag_text, under_root
 from darkroom.operators.listing import backup_listing
+from darkroom.operators.ordinal import with_ordinal
+
+#: Outcomes that a results table reports for a planned delete.
+DELETE_DONE, DELETE_FAILED = "deleted", "failed"
 
 
 def tag_listing(listings: Mapping[str, DataFrame]) -> DataFrame:
@@ -143,19 +147,52 @@ def ledger_after_deletion(flagged: DataFrame) -> DataFrame:
     return flagged.where(~F.col("deleted")).drop("deleted")
 
 
-def plan_deletions(
-    ledger: DataFrame,
-    on_disk: DataFrame,
-    roots: Mapping[str, str],
-    bucket: str,
-    run_ts: str,
-    available: Iterable[str] | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(audit, remaining ledger) from one flagged ledger. Jobs materialise
-    the flagged ledger once (see `darkroom.plans.backup_job`) so both outputs
-    agree even if the disk listing changes between reads."""
-    flagged = flag_deletions(ledger, on_disk, roots, available)
-    return deletion_audit(flagged, bucket, run_ts), ledger_after_deletion(flagged)
+def deletion_states(flagged: DataFrame, results: DataFrame) -> DataFrame:
+    """The flagged ledger with the `state` of every row after the reported
+    deletes `results` (file_path, outcome):
+
+        kept       not flagged: the file is there, or the row is no candidate
+        planned    flagged, nothing reported: the delete has yet to run
+        failed     flagged, only failures reported: it is planned again
+        confirmed  flagged, a success reported (before or after failures)
+
+    A deleted object stays deleted, so the order of reports does not matter and
+    reports of one path, however many, become one row by a partial aggregate
+    before the join. A report on a path that is not flagged changes nothing."""
+    done = results.groupBy(F.col("file_path").alias("_path")).agg(F.max(F.when(F.col("outcome") == DELETE_DONE, 1).otherwise(0)).alias("_done"))
+    state = (
+        F.when(~F.col("deleted"), F.lit("kept"))
+        .when(F.col("_done") == 1, F.lit("confirmed"))
+        .when(F.col("_done") == 0, F.lit("failed"))
+        .otherwise(F.lit("planned"))
+    )
+    joined = flagged.join(done, F.col("file_path") == F.col("_path"), "left")
+    return joined.withColumn("state", state).drop("_path", "_done", "deleted")
+
+
+def deletion_outcomes(states: DataFrame) -> DataFrame:
+    """Per source: deletes planned, done, failed and not reported yet."""
+    count = lambda s: F.count(F.when(F.col("state") == s, 1))
+    return states.where(F.col("state") != "kept").groupBy("source_type").agg(
+        F.count(F.lit(1)).alias("planned"), count("confirmed").alias("deleted"), count("failed").alias("errors"), count("planned").alias("pending"),
+    )
+
+
+def confirmed_audit(states: DataFrame, bucket: str, run_ts: str) -> DataFrame:
+    """Audit rows of the confirmed deletes only."""
+    return deletion_audit(states.withColumn("deleted", F.col("state") == "confirmed"), bucket, run_ts)
+
+
+def numbered_audit(audit: DataFrame, start: int) -> DataFrame:
+    """Audit rows with their surrogate `id`: `start` + position in path order."""
+    numbered = with_ordinal(audit, ["file_path"], name="_pos")
+    return numbered.select((F.lit(start) + F.col("_pos")).cast("bigint").alias("id"), *audit.columns)
+
+
+def ledger_after_outcomes(states: DataFrame) -> DataFrame:
+    """The ledger without the confirmed rows: failed and unreported deletes stay
+    and are flagged again by the next run."""
+    return states.where(F.col("state") != "confirmed").drop("state")
 
 
 def deletion_summary(audit: DataFrame) -> DataFrame:

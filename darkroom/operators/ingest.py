@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from darkroom.constants import MIN_FREE_SPACE_GB
 from darkroom.functions.keys import date_dir
 from darkroom.functions.names import base_name, is_image_any_case
+from darkroom.session import materialize
 
 DCIM_DIR = r"^(.*?/(?i:dcim))/"
 
@@ -44,32 +45,39 @@ def card_files(listing: DataFrame, card_col: str | None = None) -> DataFrame:
 
 
 def copy_plan(
-    card: DataFrame, destination: DataFrame, dest_base: str, run_date: str, validate_dates: bool = False
+    card: DataFrame, destination: DataFrame, dest_base: str, run_date: str, validate_dates: bool = False, card_col: str | None = None,
 ) -> DataFrame:
     """One row per card file: action 'copy' or 'skip', the reason of a skip,
     and the destination path of a copy.
 
     card: file_path; destination: file_path of every file under the
-    destination (only base names are used, compared exactly).
-    `validate_dates`: see `date_dir` (off by default, as in the script)."""
-    files = card.select("file_path", base_name("file_path").alias("file_name"))
-    firsts = files.groupBy("file_name").agg(F.min("file_path").alias("_first_path"))
-    # The library can be far larger than a card: keep only names the card
-    # has (semi-join, the card side is the small one) before de-duplicating.
-    card_names = files.select("file_name").distinct()
+    destination (only base names are used, compared exactly). With `card_col`
+    the listing holds several cards, imported in order of that column: a name
+    that an earlier card brought exists at the destination.
+    `validate_dates`: see `date_dir` (off by default, as in the script).
+
+    All that a name decides (where it occurs first, whether it exists) is one
+    row per name, aggregated before any join and stored. The only join with the
+    files themselves then has a shuffle of its own on both sides, so AQE splits
+    a name that a third of the files share."""
+    cards = [card_col] if card_col else []
+    files = card.select(*cards, "file_path", base_name("file_path").alias("file_name"))
+    firsts = files.groupBy("file_name").agg(F.min(F.struct(*cards, "file_path")).alias("_first"))
+    # The library can be far larger than a card: keep only names the card has.
     existing = (
-        destination.select(base_name("file_path").alias("file_name"))
-        .join(card_names, "file_name", "left_semi")
-        .distinct()
-        .withColumn("_exists", F.lit(True))
+        destination.select(base_name("file_path").alias("_name"))
+        .join(firsts, F.col("_name") == F.col("file_name"), "left_semi").distinct()
     )
-    j = files.join(firsts, "file_name", "inner").join(existing, "file_name", "left")
-    exists = F.coalesce(F.col("_exists"), F.lit(False))
-    first = F.col("file_path") == F.col("_first_path")
+    names = firsts.join(existing, F.col("file_name") == F.col("_name"), "left")
+    names = materialize(names.select(F.col("file_name").alias("_name"), "_first", F.col("_name").isNotNull().alias("_exists")), "card-names")
+    j = files.join(names, F.col("file_name") == F.col("_name"))
+    first = F.struct(*cards, "file_path") == F.col("_first")
+    same_card = F.col(card_col) == F.col("_first")[card_col] if card_col else F.lit(True)
     ddir = F.concat(F.lit(dest_base.rstrip("/") + "/"), date_dir("file_name", run_date, validate_dates))
-    action = F.when(exists | ~first, F.lit("skip")).otherwise(F.lit("copy"))
-    reason = F.when(exists, F.lit("exists_at_destination")).when(~first, F.lit("duplicate_on_card"))
+    action = F.when(F.col("_exists") | ~first, F.lit("skip")).otherwise(F.lit("copy"))
+    reason = F.when(F.col("_exists") | (~first & ~same_card), F.lit("exists_at_destination")).when(~first, F.lit("duplicate_on_card"))
     return j.select(
+        *cards,
         "file_path",
         "file_name",
         action.alias("action"),
@@ -110,7 +118,7 @@ def resolve_names(plan: DataFrame, occupied: DataFrame) -> DataFrame:
         F.regexp_extract("dest_path", r"^(.*)/[^/]*$", 1).alias("_dir"),
         F.regexp_extract(entry, _SUFFIXED, 1).alias("_stem"),
         F.regexp_extract(entry, _SUFFIXED, 3).alias("_ext"),
-        F.regexp_extract(entry, _SUFFIXED, 2).cast("bigint").alias("_k"),
+        F.regexp_extract(entry, _SUFFIXED, 2).try_cast("bigint").alias("_k"),
     ).where(entry.rlike(_SUFFIXED))
     wanted = hit.select(*keys).distinct()
     taken = taken.join(wanted, keys, "left_semi")

@@ -1,4 +1,4 @@
-"""Checked backup-ledger queries over `documents` (fixtures fx_files,
+"""Checked backup-ledger queries over `documents` (fixtures fx_docs, fx_files,
 fx_ledger) and their DuckDB oracles."""
 
 from __future__ import annotations
@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 
 from darkroom.constants import BACKUP_EXCLUDE_DIRS, IMAGE_EXTENSIONS
 from darkroom.operators import backup, merge
+from darkroom.session import materialize
 from darkroom.sources.fixtures import BUCKET, ROOTS, RUN_TS, Fixtures, duckdb_ctes
 
 RUN_TS_ISO = _dt.datetime.fromisoformat(RUN_TS).isoformat()
 # Upload outcome of the synthetic run: files in folders named 'es' fail.
 FAILED_FOLDER = "/es/"
+# Deletion outcome of the synthetic run: deletes in 'fr' fail (every second one
+# is tried again and succeeds), those in 'es' are not reported yet.
+DELETE_FAILS, DELETE_PENDING = "/fr/", "/es/"
 
 
 def _inventory(fx: Fixtures) -> DataFrame:
-    return backup.backup_inventory(fx.fx_files)
+    return backup.backup_inventory(fx.fx_docs)
 
 
 def _plan(fx: Fixtures) -> DataFrame:
@@ -72,6 +76,35 @@ def q_deletion_summary(spark, sf_dir):
     return backup.deletion_summary(backup.deletion_audit(_flagged(spark, sf_dir), BUCKET, RUN_TS))
 
 
+def deletion_results(flagged: DataFrame) -> DataFrame:
+    """Reported deletes: a failure leaves a second try for even path lengths;
+    one report names a path that was never planned."""
+    planned = flagged.where("deleted").where(~F.col("file_path").contains(DELETE_PENDING))
+    fails = F.col("file_path").contains(DELETE_FAILS)
+    first = planned.select("file_path", F.when(fails, backup.DELETE_FAILED).otherwise(backup.DELETE_DONE).alias("outcome"))
+    again = planned.where(fails & (F.length("file_path") % 2 == 0)).select("file_path", F.lit(backup.DELETE_DONE).alias("outcome"))
+    kept = flagged.where(~F.col("deleted") & (F.col("status") == "error")).select("file_path", F.lit(backup.DELETE_DONE).alias("outcome"))
+    return first.unionByName(again).unionByName(kept)
+
+
+def _states(spark, sf_dir):
+    # Both the states and the reports read the flagged ledger: stored once.
+    flagged = materialize(_flagged(spark, sf_dir), "flagged-ledger")
+    return backup.deletion_states(flagged, deletion_results(flagged))
+
+
+def q_deletion_outcomes(spark, sf_dir):
+    return backup.deletion_outcomes(_states(spark, sf_dir))
+
+
+def q_confirmed_audit(spark, sf_dir):
+    return backup.numbered_audit(backup.confirmed_audit(_states(spark, sf_dir), BUCKET, RUN_TS), start=0)
+
+
+def q_ledger_after_outcomes(spark, sf_dir):
+    return backup.ledger_after_outcomes(_states(spark, sf_dir))
+
+
 # ---- DuckDB oracles ---------------------------------------------------------
 
 _ROOT = "CASE source_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ROOTS.items()) + " END"
@@ -84,9 +117,9 @@ _KEY = (
     f"THEN {_REL} ELSE {_NAME} END, '\\', '/')"
 )
 
-_BASE = duckdb_ctes("fx_files", "fx_ledger") + f""",
+_BASE = duckdb_ctes("fx_docs", "fx_files", "fx_ledger") + f""",
 inv AS (
-  SELECT file_path, source_type, file_size, md5_checksum FROM fx_files
+  SELECT file_path, source_type, file_size, md5_checksum FROM fx_docs
   WHERE lower(regexp_extract({_NAME}, '^.+(\\.[^.]+)$', 1)) IN ({_EXTS})
     AND NOT regexp_matches(file_path, '(^|/)({_EXCL})(/|$)')),
 plan AS (
@@ -105,6 +138,14 @@ del AS (
     AND NOT EXISTS (SELECT 1 FROM fx_files f WHERE f.file_path = l.file_path)
     AND EXISTS (SELECT 1 FROM fx_files f2 WHERE f2.source_type = l.source_type))"""
 
+_STATES = _BASE + f""",
+states AS (
+  SELECT l.*, CASE WHEN d.file_path IS NULL THEN 'kept'
+                   WHEN l.file_path LIKE '%{DELETE_PENDING}%' THEN 'planned'
+                   WHEN l.file_path LIKE '%{DELETE_FAILS}%' AND length(l.file_path) % 2 = 1 THEN 'failed'
+                   ELSE 'confirmed' END AS state
+  FROM fx_ledger l LEFT JOIN del d ON d.file_path = l.file_path)"""
+
 _NEW_OR_INSERT = "n.file_path IS NOT NULL AND (n.status = 'uploaded' OR o.file_path IS NULL)"
 # Surrogate ids: an existing row keeps its id; inserted rows get the old
 # maximum + their position in path order.
@@ -158,6 +199,17 @@ FROM del""",
     "ledger_after_deletion": _BASE + """
 SELECT id, file_path, s3_key, source_type, file_size, uploaded_at, last_verified_at, md5_checksum, status
 FROM fx_ledger l WHERE NOT EXISTS (SELECT 1 FROM del d WHERE d.file_path = l.file_path)""",
+    "deletion_outcomes": _STATES + """
+SELECT source_type, count(*) AS planned, count(*) FILTER (WHERE state = 'confirmed') AS deleted,
+       count(*) FILTER (WHERE state = 'failed') AS errors, count(*) FILTER (WHERE state = 'planned') AS pending
+FROM states WHERE state <> 'kept' GROUP BY source_type""",
+    "confirmed_audit": _STATES + f"""
+SELECT row_number() OVER (ORDER BY file_path) AS id, file_path, s3_key, 's3://{BUCKET}/' || s3_key AS s3_full_path, source_type, file_size,
+       uploaded_at, md5_checksum, status AS original_status, TIMESTAMP '{RUN_TS}' AS deleted_at
+FROM states WHERE state = 'confirmed'""",
+    "ledger_after_outcomes": _STATES + """
+SELECT id, file_path, s3_key, source_type, file_size, uploaded_at, last_verified_at, md5_checksum, status
+FROM states WHERE state <> 'confirmed'""",
     "deletion_summary": _BASE + "\nSELECT source_type, count(*) AS deleted FROM del GROUP BY source_type",
 }
 
@@ -170,4 +222,7 @@ QUERIES = {
     "deletion_audit": q_deletion_audit,
     "ledger_after_deletion": q_ledger_after_deletion,
     "deletion_summary": q_deletion_summary,
+    "deletion_outcomes": q_deletion_outcomes,
+    "confirmed_audit": q_confirmed_audit,
+    "ledger_after_outcomes": q_ledger_after_outcomes,
 }

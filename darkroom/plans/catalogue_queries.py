@@ -137,7 +137,7 @@ def q_work_limited(spark, sf_dir):
 
 
 def q_metadata_listing(spark, sf_dir):
-    return metadata_listing(Fixtures(spark, sf_dir).fx_files).select("file_path", "source_type")
+    return metadata_listing(Fixtures(spark, sf_dir).fx_docs).select("file_path", "source_type")
 
 
 # ---- DuckDB oracles ---------------------------------------------------------
@@ -218,8 +218,8 @@ FROM (SELECT file_path, row_number() OVER (ORDER BY file_path) AS position FROM
 SELECT file_path, position, CAST(ceil(position / {BATCH}) AS BIGINT) AS batch_no
 FROM (SELECT file_path, row_number() OVER (ORDER BY file_path) AS position FROM todo) t
 WHERE ceil(position / {BATCH}) <= {-(-RUN_LIMIT // BATCH)}""",
-    "metadata_listing": duckdb_ctes("fx_files") + f"""
-SELECT file_path, source_type FROM fx_files
+    "metadata_listing": duckdb_ctes("fx_docs") + f"""
+SELECT file_path, source_type FROM fx_docs
 WHERE regexp_matches(file_path, '\\.({_SUFFIXES}|{_SUFFIXES.upper()})$')
   AND NOT regexp_matches(file_path, '(^|/)({_EXCL})(/|$)')""",
 }

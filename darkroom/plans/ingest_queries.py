@@ -1,8 +1,9 @@
-"""Checked card-import queries over `documents` (fixtures fx_files,
+"""Checked card-import queries over `documents` (fixtures fx_docs,
 fx_catalogue) and their DuckDB oracles.
 
-The card is the listing below the external root; the destination library is
-every path the ledger knows. A card file already in the library is skipped.
+Every document is a file on one of three cards, one per root, imported in order
+of their names; the destination library is every path the ledger knows. A card
+file already in the library, or brought by an earlier card, is skipped.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from darkroom.constants import IMAGE_EXTENSIONS, LIBRARY_UPLOAD, MIN_FREE_SPACE_GB
 from darkroom.functions.names import base_name
 from darkroom.operators import ingest, merge
+from darkroom.session import materialize
 from darkroom.sources.fixtures import RUN_DATE, Fixtures, duckdb_ctes
 from darkroom.sources.json_records import libraries_to_scan
 
@@ -21,11 +23,11 @@ CARD_SOURCE = "external"
 
 
 def _card(fx: Fixtures) -> DataFrame:
-    return ingest.card_files(fx.fx_files.where(f"source_type = '{CARD_SOURCE}'").select("file_path"))
+    return ingest.card_files(fx.fx_docs.select(F.col("source_type").alias("card"), "file_path"), "card")
 
 
 def _plan(fx: Fixtures) -> DataFrame:
-    return ingest.copy_plan(_card(fx), fx.fx_catalogue.select("file_path"), DEST_BASE, RUN_DATE)
+    return ingest.copy_plan(_card(fx), fx.fx_catalogue.select("file_path"), DEST_BASE, RUN_DATE, card_col="card")
 
 
 def q_copy_plan(spark, sf_dir):
@@ -56,7 +58,7 @@ def q_card_files(spark, sf_dir):
 
 def q_rename_plan(spark, sf_dir):
     """Every second target is taken, and of those every second `_1` too."""
-    plan = _plan(Fixtures(spark, sf_dir))
+    plan = materialize(_plan(Fixtures(spark, sf_dir)), "copy-plan")
     copies = plan.where("action = 'copy' AND length(file_path) % 2 = 0")
     first = F.regexp_replace("dest_path", r"\.([^.]*)$", "_1.$1")
     occupied = copies.select(F.col("dest_path").alias("path")).unionByName(
@@ -67,7 +69,7 @@ def q_rename_plan(spark, sf_dir):
 
 def q_volume_route(spark, sf_dir):
     """Volumes with the free space that the size of their files leaves."""
-    docs = Fixtures(spark, sf_dir).fx_docs.where("source_type IN ('internal', 'external')")
+    docs = Fixtures(spark, sf_dir).fx_docs
     volumes = docs.groupBy(F.col("source_type").alias("volume")).agg(
         (F.sum("file_size") % 20).cast("string").alias("free_gb")
     )
@@ -89,16 +91,18 @@ _NAME = "regexp_extract(file_path, '[^/]*$', 0)"
 _EXTS = ", ".join(f"'{e}'" for e in IMAGE_EXTENSIONS)
 _D = "'([0-9]{4})([0-9]{2})([0-9]{2})'"
 
-_BASE = duckdb_ctes("fx_files", "fx_catalogue") + f""",
+_BASE = duckdb_ctes("fx_docs", "fx_catalogue") + f""",
 card AS (
-  SELECT file_path, {_NAME} AS file_name FROM fx_files
-  WHERE source_type = '{CARD_SOURCE}' AND lower(regexp_extract({_NAME}, '^.+(\\.[^.]+)$', 1)) IN ({_EXTS})),
+  SELECT source_type AS card, file_path, {_NAME} AS file_name FROM fx_docs
+  WHERE lower(regexp_extract({_NAME}, '^.+(\\.[^.]+)$', 1)) IN ({_EXTS})),
 dest AS (SELECT DISTINCT {_NAME} AS file_name FROM fx_catalogue),
-firsts AS (SELECT file_name, min(file_path) AS first_path FROM card GROUP BY file_name),
+firsts AS (
+  SELECT file_name, card AS first_card, file_path AS first_path FROM card
+  QUALIFY row_number() OVER (PARTITION BY file_name ORDER BY card, file_path) = 1),
 plan0 AS (
-  SELECT c.file_path, c.file_name,
+  SELECT c.card, c.file_path, c.file_name,
          CASE WHEN d.file_name IS NOT NULL OR c.file_path <> f.first_path THEN 'skip' ELSE 'copy' END AS action,
-         CASE WHEN d.file_name IS NOT NULL THEN 'exists_at_destination'
+         CASE WHEN d.file_name IS NOT NULL OR c.card <> f.first_card THEN 'exists_at_destination'
               WHEN c.file_path <> f.first_path THEN 'duplicate_on_card' END AS reason,
          '{DEST_BASE}/' || CASE WHEN regexp_matches(c.file_name, {_D})
               THEN regexp_extract(c.file_name, {_D}, 1) || '/' || regexp_extract(c.file_name, {_D}, 2) || '/'
@@ -106,7 +110,7 @@ plan0 AS (
               ELSE '{RUN_DATE}' END AS ddir
   FROM card c JOIN firsts f ON f.file_name = c.file_name LEFT JOIN dest d ON d.file_name = c.file_name),
 plan AS (
-  SELECT file_path, file_name, action, reason,
+  SELECT card, file_path, file_name, action, reason,
          CASE WHEN action = 'copy' THEN ddir END AS dest_dir,
          CASE WHEN action = 'copy' THEN ddir || '/' || file_name END AS dest_path
   FROM plan0)"""
@@ -129,7 +133,7 @@ SELECT card, file_path FROM listing
 WHERE (card <> '{CARD_SOURCE}' OR starts_with(file_path, '/mnt/ext/images/DCIM/'))
   AND lower(regexp_extract({_NAME}, '^.+(\\.[^.]+)$', 1)) IN ({_EXTS})""",
     "rename_plan": _BASE + """
-SELECT file_path, file_name, action, reason, dest_dir,
+SELECT card, file_path, file_name, action, reason, dest_dir,
        CASE WHEN action = 'copy' AND length(file_path) % 4 = 0 THEN regexp_replace(dest_path, '\\.([^.]*)$', '_2.\\1')
             WHEN action = 'copy' AND length(file_path) % 2 = 0 THEN regexp_replace(dest_path, '\\.([^.]*)$', '_1.\\1')
             ELSE dest_path END AS dest_path,

@@ -17,7 +17,7 @@ from darkroom.constants import DEFAULT_BATCH_SIZE
 from darkroom.functions.checksum import with_checksum
 from darkroom.operators import backup, ingest, merge, metadata, stacks
 from darkroom.operators.listing import metadata_listing
-from darkroom.plans.snapshots import latest_version, read_version, write_version
+from darkroom.plans.snapshots import has_tag, latest_version, next_version, read_all, read_version, version_of_tag, write_version
 from darkroom.session import materialize
 from darkroom.sources.json_records import read_asset_pages, read_exif_json
 from darkroom.sources.media_files import list_media
@@ -28,14 +28,17 @@ def run_catalogue(
     image_root: str,
     exif_dir: str,
     catalogue_base: str,
-    version: int,
+    version: int | None,
     run_ts: str,
     limit: int = 0,
     batch_size: int = DEFAULT_BATCH_SIZE,
 ) -> dict[str, int]:
     """Metadata catalogue run: list images, keep those without a complete
-    catalogue row, project their EXIF records, merge, write version `version`."""
-    current = read_version(spark, catalogue_base, latest_version(spark, catalogue_base, before=version), schemas.CATALOGUE)
+    catalogue row, project their EXIF records, merge, write the next version.
+
+    Every job reads the latest version and writes the next; `version` may ask
+    for a higher number, never for one that exists."""
+    current = read_version(spark, catalogue_base, latest_version(spark, catalogue_base), schemas.CATALOGUE)
     listing = metadata_listing(list_media(spark, [image_root])).select("file_path")
     todo = metadata.work_list(listing, current).select("file_path")
     records, unreadable = read_exif_json(spark, exif_dir)
@@ -49,9 +52,11 @@ def run_catalogue(
     seen = Observation("catalogue_run")
     incoming = incoming.observe(seen, F.count(F.lit(1)).alias("processed"))
     merged = merge.merge_catalogue(current, incoming, run_ts)
+    rejected = catalogue_base.rstrip("/") + "_rejects"
+    version = next_version(spark, catalogue_base, rejected, at_least=version)
     write_version(metadata.with_taken_month(merged), catalogue_base, version, partition_by=("taken_month",))
     rejects = unreadable.select(F.col("landed_path").alias("file_path"), F.lit("unreadable").alias("reason"))
-    write_version(rejects, catalogue_base.rstrip("/") + "_rejects", version)
+    write_version(rejects, rejected, version)
     return {"processed": int(seen.get.get("processed", 0))}
 
 
@@ -72,12 +77,53 @@ def plan_backup(
     return with_checksum(plan)
 
 
-def record_uploads(spark: SparkSession, ledger_base: str, results: DataFrame, version: int, run_ts: str) -> str:
+def record_uploads(spark: SparkSession, ledger_base: str, results: DataFrame, version: int | None, run_ts: str) -> str:
     """Write the ledger version after uploads (results carry status per file;
     several for one file are resolved, in order of `seq` where they have it)."""
-    ledger = read_version(spark, ledger_base, latest_version(spark, ledger_base, before=version), schemas.LEDGER)
+    ledger = read_version(spark, ledger_base, latest_version(spark, ledger_base), schemas.LEDGER)
     resolved = merge.resolve_results(results, "seq" if "seq" in results.columns else None)
-    return write_version(merge.merge_ledger(ledger, resolved, run_ts), ledger_base, version)
+    return write_version(merge.merge_ledger(ledger, resolved, run_ts), ledger_base, next_version(spark, ledger_base, at_least=version))
+
+
+def plan_deletions(
+    spark: SparkSession, roots: Mapping[str, str], ledger_base: str, bucket: str, run_ts: str, available: Iterable[str] | None = None,
+) -> DataFrame:
+    """The objects to delete: ledger rows whose file is gone. Nothing is written;
+    `record_deletions` takes what the deletes came to."""
+    flagged = _flagged(spark, roots, ledger_base, available)
+    return backup.deletion_audit(flagged, bucket, run_ts).select("file_path", "s3_key", "s3_full_path", "source_type")
+
+
+def _flagged(spark: SparkSession, roots: Mapping[str, str], ledger_base: str, available: Iterable[str] | None) -> DataFrame:
+    ledger = read_version(spark, ledger_base, latest_version(spark, ledger_base), schemas.LEDGER)
+    on_disk = list_media(spark, dict(roots))  # every file: no suffix or folder filter
+    return materialize(backup.flag_deletions(ledger, on_disk, roots, available), "flagged-ledger")
+
+
+def record_deletions(
+    spark: SparkSession, roots: Mapping[str, str], ledger_base: str, audit_base: str, results: DataFrame,
+    bucket: str, run_ts: str, run_id: str, available: Iterable[str] | None = None, version: int | None = None,
+) -> DataFrame:
+    """Apply reported deletes (file_path, outcome 'deleted' or 'failed'): a
+    confirmed row goes to the audit and leaves the ledger, any other stays and is
+    planned again. Returns planned, deleted, errors and pending per source.
+
+    `run_id` names the report. Audit and ledger are two commits of one version
+    that carry it: a repeated call, also after a stop between the two, completes
+    what is missing from the stored audit rows and adds none."""
+    flagged = _flagged(spark, roots, ledger_base, available)
+    # Stored: the counters, the audit and the ledger are three reads of one state.
+    states = materialize(backup.deletion_states(flagged, results), "deletion-states")
+    version = next_version(spark, ledger_base, audit_base, at_least=version)
+    if not has_tag(spark, audit_base, run_id):
+        start = read_all(spark, audit_base, schemas.AUDIT).agg(F.max("id")).first()[0] or 0
+        audit = backup.numbered_audit(backup.confirmed_audit(states, bucket, run_ts), start)
+        write_version(merge.add_missing_columns(audit, schemas.AUDIT), audit_base, version, tag=run_id)
+    if not has_tag(spark, ledger_base, run_id):
+        gone = read_version(spark, audit_base, version_of_tag(spark, audit_base, run_id), schemas.AUDIT)
+        ledger = read_version(spark, ledger_base, latest_version(spark, ledger_base), schemas.LEDGER)
+        write_version(ledger.join(gone.select("file_path"), "file_path", "left_anti"), ledger_base, version, tag=run_id)
+    return backup.deletion_outcomes(states)
 
 
 def sync_deletions(
@@ -85,34 +131,34 @@ def sync_deletions(
     roots: Mapping[str, str],
     ledger_base: str,
     audit_dir: str,
-    version: int,
+    version: int | None,
     bucket: str,
     run_ts: str,
     available: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Deletion sync: one flagged ledger, written once, yields both the audit
-    rows (appended) and the next ledger version; returns the delete plan."""
-    ledger = read_version(spark, ledger_base, latest_version(spark, ledger_base, before=version), schemas.LEDGER)
-    on_disk = list_media(spark, dict(roots))  # every file: no suffix or folder filter
-    flagged = materialize(backup.flag_deletions(ledger, on_disk, roots, available), "flagged-ledger")
-    audit = merge.add_missing_columns(backup.deletion_audit(flagged, bucket, run_ts), schemas.AUDIT)
-    # Audit rows of a run land in that run's version: a retried run rewrites
-    # them instead of appending twice. `snapshots.read_all` reads all runs.
-    write_version(audit, audit_dir, version)
-    write_version(backup.ledger_after_deletion(flagged), ledger_base, version)
-    return audit.select("file_path", "s3_key", "s3_full_path", "source_type")
+    """Both steps at once, for callers whose deletes cannot fail: plans the
+    deletions, records all as done and returns the plan."""
+    plan = materialize(plan_deletions(spark, roots, ledger_base, bucket, run_ts, available), "delete-plan")
+    results = plan.select("file_path", F.lit(backup.DELETE_DONE).alias("outcome"))
+    run_id = f"sync-{latest_version(spark, ledger_base)}"
+    record_deletions(spark, roots, ledger_base, audit_dir, results, bucket, run_ts, run_id, available, version)
+    return plan
 
 
 def plan_card_import(
     spark: SparkSession, card_root: str, volumes: DataFrame, run_date: str, validate_dates: bool = False
 ) -> DataFrame:
     """Copy plan for one inserted card: pick the volume, list card and
-    destination, de-duplicate by name, place by date from the name."""
+    destination, de-duplicate by name, place by date from the name, and give a
+    copy whose place is taken (a link counts) the next free `_1`, `_2`, ..."""
     route = ingest.route_volume(volumes).first()  # one row, one value
     dest_base = route["dest_base"]
     card = ingest.card_files(list_media(spark, [card_root], links=False).select("file_path"))
     destination = list_media(spark, [dest_base], links=False).select("file_path")
-    return ingest.copy_plan(card, destination, dest_base, run_date, validate_dates)
+    # Stored once: conflict names are looked for in the plan itself too.
+    plan = materialize(ingest.copy_plan(card, destination, dest_base, run_date, validate_dates), "copy-plan")
+    occupied = list_media(spark, [dest_base]).select(F.col("file_path").alias("path"))
+    return ingest.resolve_names(plan, occupied)
 
 
 def plan_stacks(spark: SparkSession, pages_dir: str) -> tuple[DataFrame, DataFrame]:

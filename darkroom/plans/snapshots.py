@@ -41,8 +41,12 @@ def commits(spark: SparkSession, base: str) -> DataFrame | None:
 def write_version(
     df: DataFrame, base: str, version: int, partition_by: tuple[str, ...] = (), tag: str | None = None
 ) -> str:
-    """Write `df` as version `version` of the table at `base` and commit it.
-    A version written again is replaced by the later commit."""
+    """Write `df` as version `version` of the table at `base` and commit it. A
+    number that is committed already is refused: replacing it would lose the run
+    that wrote it."""
+    latest = latest_version(df.sparkSession, base)
+    if latest is not None and version <= latest:
+        raise ValueError(f"version {version} of {base} is committed already (latest: {latest})")
     path = f"{base.rstrip('/')}/v={version:012d}-{uuid.uuid4().hex}"
     writer = df.write.mode("error")
     if partition_by:
@@ -65,8 +69,16 @@ def latest_version(spark: SparkSession, base: str, before: int | None = None) ->
     return None if found is None else int(found)
 
 
-def next_version(spark: SparkSession, base: str) -> int:
-    return (latest_version(spark, base) or 0) + 1
+def next_version(spark: SparkSession, *bases: str, at_least: int | None = None) -> int:
+    """The number after every committed one of the tables `bases`, which are
+    written together; `at_least` may ask for a higher one."""
+    return max([at_least or 1, *((latest_version(spark, b) or 0) + 1 for b in bases)])
+
+
+def version_of_tag(spark: SparkSession, base: str, tag: str) -> int | None:
+    """The version that was committed with `tag`; None if there is none."""
+    log = commits(spark, base)
+    return None if log is None else log.where(F.col("tag") == tag).agg(F.max("v")).first()[0]
 
 
 def has_tag(spark: SparkSession, base: str, tag: str) -> bool:

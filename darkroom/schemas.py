@@ -20,7 +20,7 @@ LEDGER = _struct(
     ("md5_checksum", _S, True), ("status", _S, True),
 )
 AUDIT = _struct(
-    ("file_path", _S, False), ("s3_key", _S, False), ("s3_full_path", _S, True), ("source_type", _S, False),
+    ("id", _L, True), ("file_path", _S, False), ("s3_key", _S, False), ("s3_full_path", _S, True), ("source_type", _S, False),
     ("file_size", _L, True), ("uploaded_at", _TS, True), ("md5_checksum", _S, True),
     ("original_status", _S, True), ("deleted_at", _TS, True),
 )

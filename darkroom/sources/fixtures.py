@@ -5,8 +5,9 @@ Each view is one SQL text written once and rendered for two dialects: Spark
 correctness oracle). Rendering only swaps a handful of function spellings.
 
 The `%` rules below decide which synthetic file is on disk, which one was
-backed up and which one failed: they derive *state*, they never cut rows from
-a query. Every query runs over the whole `events` / `documents` tables.
+backed up and which one failed: they derive *state*. Listings and cards hold
+every document; only deletion queries look at `fx_files`, the files that are
+still on disk, because a missing file is what they are about.
 """
 
 from __future__ import annotations
@@ -105,11 +106,13 @@ FROM @events""",
        || CASE doc_id % 6 WHEN 0 THEN '.JPG' WHEN 1 THEN '.Jpeg' WHEN 2 THEN '.raf' WHEN 3 THEN '.dng'
                           WHEN 4 THEN '.png' ELSE '.txt' END AS file_path,
        CAST({_f(d, 'bytes', 'text')} AS BIGINT) AS file_size,
-       md5(text) AS md5_checksum
+       md5(text) AS md5_checksum,
+       doc_id % 7 <> 0 AS on_disk
 FROM @documents""",
             ("documents",),
         ),
-        "fx_files": ("SELECT * FROM @fx_docs WHERE doc_id % 7 <> 0", ("fx_docs",)),
+        # What a later listing finds: the files that are still on disk.
+        "fx_files": ("SELECT * FROM @fx_docs WHERE on_disk", ("fx_docs",)),
         "fx_catalogue": (
             f"""SELECT doc_id AS id, file_path, source_type,
        CASE WHEN doc_id % 10 = 0 THEN 'error' ELSE 'uploaded' END AS status,

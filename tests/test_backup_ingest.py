@@ -143,3 +143,36 @@ def test_hot_name_on_card_and_hot_duplicate_key(spark):
     assert first.file_path == "/card/DCIM/00000/HOT.JPG"
     acc, rej = check_keys(card.withColumn("file_name", F.regexp_extract("file_path", "[^/]*$", 0)), key="file_name")
     assert rej.count() == 3000 and acc.count() == 6000
+
+
+def test_cards_are_imported_in_order(spark):
+    from pyspark.sql import functions as F
+
+    cards = spark.createDataFrame([("a", "/a/1/X.jpg"), ("a", "/a/2/X.jpg"), ("b", "/b/X.jpg"), ("b", "/b/Y.jpg"), ("b", "/b/Z.jpg")], "card string, file_path string")
+    plan = copy_plan(cards, spark.createDataFrame([("/lib/Z.jpg",)], "file_path string"), "/lib", "2024/02/01", card_col="card")
+    assert {r.file_path: r.reason for r in plan.collect()} == {
+        "/a/1/X.jpg": None, "/a/2/X.jpg": "duplicate_on_card", "/b/X.jpg": "exists_at_destination", "/b/Y.jpg": None, "/b/Z.jpg": "exists_at_destination"}
+
+
+def test_hot_name_join_is_split(spark):
+    """One name on a third of the files: the join's file side has a shuffle of
+    its own, whose skewed partition AQE splits."""
+    from pyspark.sql import functions as F
+
+    files = spark.range(60_000).select(F.concat(F.lit("/c/"), F.col("id").cast("string"), F.lit("/"), F.when(F.col("id") % 3 == 0, F.lit("HOT.jpg")).otherwise(F.concat(F.col("id").cast("string"), F.lit(".jpg")))).alias("file_path"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        plan = copy_plan(files, spark.createDataFrame([], "file_path string"), "/lib", "2024/02/01")
+        rows = plan.groupBy("action").count().collect()
+        assert {r["action"]: r["count"] for r in rows} == {"copy": 40_001, "skip": 19_999}
+        counted = plan.where("action = 'skip'")
+        counted.write.format("noop").mode("overwrite").save()
+        collected = counted.collect()
+        assert len(collected) == 19_999 and "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -248,3 +248,66 @@ def test_a_folder_that_fails_to_list_fails_the_listing(spark, monkeypatch):
     monkeypatch.setattr(os, "scandir", broken)
     with pytest.raises(PermissionError):
         [row for p in parts for row in reader.read(p)]
+
+
+def test_no_run_is_lost_on_a_reused_version(spark):
+    """Two results in a row under one number, and batch, stream, batch."""
+    base = tempfile.mkdtemp(prefix="darkroom-lost-")
+    kind = "file_path string, s3_key string, source_type string, file_size long, md5_checksum string, status string"
+    for path, version in (("/a", 1), ("/b", 2), ("/c", 2), ("/d", None)):
+        jobs.record_uploads(spark, f"{base}/l", spark.createDataFrame([(path, "k", "internal", 1, "m", "uploaded")], kind), version, "2024-02-01 00:00:00")
+    rows = read_version(spark, f"{base}/l", latest_version(spark, f"{base}/l"), schemas.LEDGER).collect()
+    assert sorted(r.file_path for r in rows) == ["/a", "/b", "/c", "/d"] and latest_version(spark, f"{base}/l") == 4
+    with pytest.raises(ValueError):
+        write_version(spark.createDataFrame(rows, schemas.LEDGER), f"{base}/l", 3)
+
+    images, exif, land, cat = f"{base}/images", f"{base}/exif", f"{base}/land", f"{base}/cat"
+    record = lambda name: json.dumps([{"SourceFile": f"{images}/{name}", "CreateDate": "2024:01:02 03:04:05"}]).encode()
+    _write(f"{images}/a.JPG", b"x")
+    _write(f"{exif}/a.json", record("a.JPG"))
+    jobs.run_catalogue(spark, images, exif, cat, 1, "2024-02-01 00:00:00")
+    _write(f"{land}/s.json", record("s.JPG"))
+    stream_catalogue(spark, land, cat, f"{base}/ckpt", "2024-02-02 00:00:00")
+    _write(f"{images}/b.JPG", b"x")
+    _write(f"{exif}/b.json", record("b.JPG"))
+    jobs.run_catalogue(spark, images, exif, cat, 2, "2024-02-03 00:00:00")
+    rows = read_version(spark, cat, latest_version(spark, cat), schemas.CATALOGUE).collect()
+    assert sorted(os.path.basename(r.file_path) for r in rows) == ["a.JPG", "b.JPG", "s.JPG"]
+
+
+def test_deletions_leave_the_ledger_only_when_confirmed(spark, monkeypatch):
+    base = tempfile.mkdtemp(prefix="darkroom-del-")
+    roots, ledger, audit = {"internal": f"{base}/int"}, f"{base}/ledger", f"{base}/audit"
+    _write(f"{base}/int/here.jpg", b"1")
+    kind = "file_path string, s3_key string, source_type string, file_size long, md5_checksum string, status string"
+    names = ["gone", "fails", "retried", "silent", "here"]
+    rows = [(f"{base}/int/{n}.jpg", f"internal/{n}.jpg", "internal", 1, "m", "uploaded") for n in names]
+    jobs.record_uploads(spark, ledger, spark.createDataFrame(rows, kind), None, "2024-02-01 00:00:00")
+    plan = lambda: {os.path.basename(r.file_path)[:-4] for r in jobs.plan_deletions(spark, roots, ledger, "bkt", "2024-02-02 00:00:00").collect()}
+    left = lambda: {os.path.basename(r.file_path)[:-4] for r in read_version(spark, ledger, latest_version(spark, ledger), schemas.LEDGER).collect()}
+    assert plan() == {"gone", "fails", "retried", "silent"} and left() == set(names)  # planning writes nothing
+
+    report = [("gone", "deleted"), ("gone", "deleted"), ("fails", "failed"), ("retried", "failed"), ("retried", "deleted"), ("here", "deleted"), ("unknown", "deleted")]
+    results = spark.createDataFrame([(f"{base}/int/{n}.jpg", o) for n, o in report], "file_path string, outcome string")
+    record = lambda run: jobs.record_deletions(spark, roots, ledger, audit, results, "bkt", "2024-02-02 00:00:00", run).collect()
+    real, writes = jobs.write_version, []
+
+    def stops_at_the_ledger(df, where, *args, **options):
+        writes.append(where)
+        if where == ledger and writes.count(ledger) == 1:
+            raise RuntimeError("stopped between the two commits")
+        return real(df, where, *args, **options)
+
+    monkeypatch.setattr(jobs, "write_version", stops_at_the_ledger)
+    with pytest.raises(RuntimeError):
+        record("report-1")
+    counts = record("report-1")[0]
+    assert (counts.planned, counts.deleted, counts.errors, counts.pending) == (4, 2, 1, 1)
+    assert left() == {"fails", "silent", "here"} and plan() == {"fails", "silent"}
+    record("report-1")  # applied once
+    rows = read_all(spark, audit, schemas.AUDIT).orderBy("id").collect()
+    assert [(r.id, r.s3_key) for r in rows] == [(1, "internal/gone.jpg"), (2, "internal/retried.jpg")]
+    last = spark.createDataFrame([(f"{base}/int/fails.jpg", "deleted")], "file_path string, outcome string")
+    jobs.record_deletions(spark, roots, ledger, audit, last, "bkt", "2024-02-03 00:00:00", "report-2")
+    assert [r.id for r in read_all(spark, audit, schemas.AUDIT).orderBy("id").collect()] == [1, 2, 3]
+    assert left() == {"silent", "here"}
