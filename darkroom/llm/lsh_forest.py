@@ -1,12 +1,14 @@
 """N-gram Jaccard join: MinHash LSH forest, then exact verification.
 
 A text's shingles are its runs of five words (all its words, if fewer). Each
-tree of the forest is a prefix trie over that tree's MinHash values; two texts
-are candidates if they share a prefix of the matched depth in any tree. The
-depth starts at `MAX_DEPTH` and is shortened until the chance that a pair at
-the similarity threshold shares a prefix reaches the target recall.
-
-Tries are Spark groups keyed by (tree, prefix): every member is tied to its
+tree of the forest has its own MinHash values; two texts are candidates if they
+share a prefix of the matched depth in any tree. The depth is the greatest up to
+`MAX_DEPTH` at which a pair at the similarity threshold shares a prefix with the
+target recall. It follows from the parameters before any data are read, so the
+forest is banding with one depth: no trie is stored and no prefix is shortened
+while matching (see the README).
+
+Prefixes are Spark groups keyed by (tree, prefix): every member is tied to its
 group's least member, which gives families (components) without pairs. A
 family's texts are compared exactly, in blocks of bounded size: a large family
 becomes block pairs, so no task holds it whole. Tasks return, per text, how
