@@ -89,14 +89,42 @@ def _numbered(rows: DataFrame) -> DataFrame:
     return stored.where(F.col("id").isNotNull()).unionByName(numbered)
 
 
+def number_inserts(current: DataFrame, incoming: DataFrame, buckets: int | None = None) -> DataFrame:
+    """`incoming` with the column `id`: for paths that `current` lacks, the ids
+    that `merge_*` would give them; NULL for the others. Passed on with
+    `assign_ids=False`, the merge's result needs no storing before it is written.
+
+    Of `current` only paths and the greatest id are read. What is stored (the
+    incoming rows and the new paths) grows with the run, not with the table. On
+    a table that is bucketed by path (`plans.bucketed`), pass its number of `buckets`:
+    the run's rows go to these, and neither the anti-join nor the merge moves a row
+    of the table. Without it Spark may shuffle the side with fewer partitions."""
+    incoming = materialize(incoming, "merge-incoming")
+    placed = lambda df: df.repartition(buckets, "file_path") if buckets else df
+    known = current.select(F.col("file_path").alias("_known"))
+    fresh = placed(incoming.select("file_path")).join(known, F.col("file_path") == F.col("_known"), "left_anti")
+    start = F.coalesce(current.agg(F.max("id")).scalar(), F.lit(0).cast("bigint"))
+    ids = with_ordinal(fresh, ["file_path"], name="_pos").select(F.col("file_path").alias("_path"), (start + F.col("_pos")).cast("bigint").alias("id"))
+    return placed(incoming.join(ids, F.col("file_path") == F.col("_path"), "left").drop("_path"))
+
+
+def _merged_id(incoming: DataFrame, assign_ids: bool) -> tuple[tuple[str, ...], Column]:
+    """(the id column to take from `incoming`, if it has one to use; the id of a merged row)"""
+    if assign_ids or "id" not in incoming.columns:
+        return (), F.col("o_id").alias("id")
+    return ("id",), F.coalesce("o_id", "n_id").alias("id")
+
+
 def merge_catalogue(catalogue: DataFrame, incoming: DataFrame, run_ts: str, assign_ids: bool = True) -> DataFrame:
     """Catalogue upsert: new path -> insert (created_at = run_ts); existing
     complete row -> untouched; existing row with date or JSON NULL -> each of
     the nine value columns becomes COALESCE(new, old); id and created_at kept.
-    `incoming` must have unique paths (run `check_keys` first)."""
+    `incoming` must have unique paths (run `check_keys` first). With
+    `assign_ids=False` an `id` column of `incoming` numbers the inserted rows."""
     cols = ("id",) + CATALOGUE_COLUMNS + ("created_at",)
+    own_id, merged_id = _merged_id(incoming, assign_ids)
     o = _prefixed(catalogue, "o_", cols)
-    n = _prefixed(incoming, "n_", CATALOGUE_COLUMNS)
+    n = _prefixed(incoming, "n_", own_id + CATALOGUE_COLUMNS)
     j = o.join(n, F.col("o_file_path") == F.col("n_file_path"), "full_outer")
     has_old = F.col("o_file_path").isNotNull()
     has_new = F.col("n_file_path").isNotNull()
@@ -109,7 +137,7 @@ def merge_catalogue(catalogue: DataFrame, incoming: DataFrame, run_ts: str, assi
         for c in CATALOGUE_VALUES
     ]
     out = j.select(
-        F.col("o_id").alias("id"),
+        merged_id,
         F.coalesce("o_file_path", "n_file_path").alias("file_path"),
         *values,
         F.when(has_old, F.col("o_created_at")).otherwise(F.lit(run_ts).cast("timestamp_ntz")).alias("created_at"),
@@ -123,9 +151,11 @@ def merge_ledger(ledger: DataFrame, results: DataFrame, run_ts: str, assign_ids:
     - 'uploaded': key, size, md5, status and uploaded_at = run_ts are replaced
       (a new NULL wins); source_type of an existing row is kept;
     - 'error': a new path is inserted with status 'error' (size and md5 NULL,
-      uploaded_at defaulted to run_ts); an existing row changes status only."""
+      uploaded_at defaulted to run_ts); an existing row changes status only.
+    Ids as in `merge_catalogue`."""
+    own_id, merged_id = _merged_id(results, assign_ids)
     o = _prefixed(ledger, "o_", LEDGER_COLUMNS)
-    n = _prefixed(results, "n_", ("file_path", "s3_key", "source_type", "file_size", "md5_checksum", "status"))
+    n = _prefixed(results, "n_", own_id + ("file_path", "s3_key", "source_type", "file_size", "md5_checksum", "status"))
     j = o.join(n, F.col("o_file_path") == F.col("n_file_path"), "full_outer")
     has_old = F.col("o_file_path").isNotNull()
     has_new = F.col("n_file_path").isNotNull()
@@ -136,7 +166,7 @@ def merge_ledger(ledger: DataFrame, results: DataFrame, run_ts: str, assign_ids:
         return F.when(has_new & ok, F.col("n_" + c)).when(has_new & ~has_old, F.lit(None)).otherwise(F.col("o_" + c))
 
     out = j.select(
-        F.col("o_id").alias("id"),
+        merged_id,
         F.coalesce("o_file_path", "n_file_path").alias("file_path"),
         F.when(has_new & (ok | ~has_old), F.col("n_s3_key")).otherwise(F.col("o_s3_key")).alias("s3_key"),
         F.when(has_old, F.col("o_source_type")).otherwise(F.col("n_source_type")).alias("source_type"),

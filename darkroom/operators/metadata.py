@@ -22,6 +22,7 @@ from darkroom.constants import (
     REPORT_MISSING,
     SHUTTER_CHAIN,
 )
+from darkroom.functions.containment import contains
 from darkroom.functions.exif import (
     exif_date_from_parts,
     exif_date_ok,
@@ -206,10 +207,13 @@ def find_photos(
     make: str | None = None,
     model: str | None = None,
     json_equals: dict[str, str] | None = None,
+    json_holds: dict | list | None = None,
 ) -> DataFrame:
     """Catalogue search by date range (inclusive), camera and JSON members.
-    Predicates are plain comparisons, so they reach the Parquet scan and prune
-    month partitions of a catalogue written by `write_catalogue`."""
+    Predicates on columns are plain comparisons, so they reach the Parquet scan
+    and prune month partitions of a catalogue stored with `with_taken_month`.
+    `json_equals` compares members as text; `json_holds` is containment of a
+    pattern by type (`functions.containment`)."""
     cond = F.lit(True)
     month = "taken_month" in catalogue.columns
     low, high = (F.lit(d).cast("timestamp_ntz") for d in (date_from, date_to))
@@ -227,6 +231,8 @@ def find_photos(
         cond = cond & (F.col("camera_model") == model)
     for key, value in (json_equals or {}).items():
         cond = cond & (F.get_json_object("metadata_json", "$['" + key + "']") == value)
+    if json_holds is not None:
+        cond = cond & contains(F.try_parse_json("metadata_json"), json_holds)
     return catalogue.where(cond)
 
 

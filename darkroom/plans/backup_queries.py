@@ -4,13 +4,16 @@ fx_ledger) and their DuckDB oracles."""
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from darkroom.constants import BACKUP_EXCLUDE_DIRS, IMAGE_EXTENSIONS
 from darkroom.operators import backup, merge
-from darkroom.session import materialize
+from darkroom.operators.roots import tag_by_root
+from darkroom.plans.bucketed import read_bucketed, write_bucketed
+from darkroom.session import checkpoint_dir, materialize
 from darkroom.sources.fixtures import BUCKET, ROOTS, RUN_TS, Fixtures, duckdb_ctes
 
 RUN_TS_ISO = _dt.datetime.fromisoformat(RUN_TS).isoformat()
@@ -55,6 +58,29 @@ def q_merge_ledger(spark, sf_dir):
     return merge.merge_ledger(fx.fx_ledger, upload_results(_plan(fx)), RUN_TS)
 
 
+def q_merge_ledger_bucketed(spark, sf_dir):
+    """As merge_ledger, on a ledger that is stored in buckets of its paths."""
+    fx = Fixtures(spark, sf_dir)
+    path = f"{checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_bucketed(fx.fx_ledger, path, buckets)
+    ledger = read_bucketed(spark, path, fx.fx_ledger.schema, buckets)
+    results = merge.number_inserts(ledger, upload_results(_plan(fx)), buckets)
+    return merge.merge_ledger(ledger, results, RUN_TS, assign_ids=False)
+
+
+def nested_roots(fx: Fixtures) -> DataFrame:
+    """The three roots, and a root of its own for each language folder but 'en' of the first."""
+    inner = fx.fx_docs.where("lang <> 'en'").select(F.concat(F.lit("internal_"), "lang").alias("source_type"), F.concat(F.lit(ROOTS["internal"] + "/"), "lang").alias("root")).distinct()
+    outer = ", ".join(f"('{tag}', '{root}')" for tag, root in ROOTS.items())
+    return inner.unionByName(fx.spark.sql(f"SELECT * FROM VALUES {outer} AS t(source_type, root)"))
+
+
+def q_nested_roots(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return tag_by_root(fx.fx_docs.select("doc_id", "file_path"), nested_roots(fx))
+
+
 def q_upload_outcomes(spark, sf_dir):
     return backup.upload_outcomes(upload_results(_plan(Fixtures(spark, sf_dir))))
 
@@ -188,6 +214,16 @@ SELECT {_NEW_ID.format(old="fx_ledger")},
        {_on_success('md5_checksum')},
        CASE WHEN n.file_path IS NOT NULL THEN n.status ELSE o.status END AS status
 FROM fx_ledger o FULL OUTER JOIN res n ON o.file_path = n.file_path""",
+    "nested_roots": duckdb_ctes("fx_docs") + f""",
+roots AS (
+  SELECT DISTINCT 'internal_' || lang AS source_type, '{ROOTS["internal"]}/' || lang AS root FROM fx_docs WHERE lang <> 'en'
+  UNION ALL SELECT * FROM (VALUES {", ".join(f"('{k}', '{v}')" for k, v in ROOTS.items())}) t),
+hit AS (
+  SELECT d.doc_id, d.file_path, r.source_type AS root_tag, r.root,
+         row_number() OVER (PARTITION BY d.doc_id ORDER BY length(r.root) DESC) AS place
+  FROM fx_docs d LEFT JOIN roots r ON starts_with(d.file_path, r.root || '/'))
+SELECT doc_id, file_path, root_tag, root, root_tag || '/' || substr(file_path, length(root) + 2) AS s3_key
+FROM hit WHERE place = 1""",
     "upload_outcomes": _BASE + """
 SELECT source_type, count(*) FILTER (WHERE status = 'uploaded') AS uploaded,
        count(*) FILTER (WHERE status <> 'uploaded') AS errors
@@ -213,11 +249,16 @@ FROM states WHERE state <> 'confirmed'""",
     "deletion_summary": _BASE + "\nSELECT source_type, count(*) AS deleted FROM del GROUP BY source_type",
 }
 
+# One result, however the ledger is stored.
+ORACLE["merge_ledger_bucketed"] = ORACLE["merge_ledger"]
+
 QUERIES = {
     "inventory": q_inventory,
     "upload_plan": q_upload_plan,
     "backup_summary": q_backup_summary,
     "merge_ledger": q_merge_ledger,
+    "merge_ledger_bucketed": q_merge_ledger_bucketed,
+    "nested_roots": q_nested_roots,
     "upload_outcomes": q_upload_outcomes,
     "deletion_audit": q_deletion_audit,
     "ledger_after_deletion": q_ledger_after_deletion,

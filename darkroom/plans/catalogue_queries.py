@@ -124,6 +124,11 @@ def q_photos_by_json(spark, sf_dir):
     return metadata.find_photos(stored_catalogue(spark, sf_dir), json_equals={"Make": "FUJIFILM"}).select(*SEARCH_OUT)
 
 
+def q_photos_by_containment(spark, sf_dir):
+    """ISO as the number 200 with an empty make: the text "200" or a make that is left out would not do."""
+    return metadata.find_photos(stored_catalogue(spark, sf_dir), json_holds={"ISO": 200, "Make": ""}).select(*SEARCH_OUT)
+
+
 def q_catalogue_sample(spark, sf_dir):
     return metadata.sample_rows(stored_catalogue(spark, sf_dir))
 
@@ -151,11 +156,11 @@ proj AS (
          CAST(NULL AS VARCHAR) AS camera_model, CAST(NULL AS VARCHAR) AS lens, CAST(NULL AS VARCHAR) AS shutter_speed,
          CASE WHEN iso <> 0 THEN CAST(iso AS VARCHAR) ELSE CAST(iso_value AS VARCHAR) END AS iso,
          CAST(NULL AS VARCHAR) AS aperture, CAST(NULL AS VARCHAR) AS focal_length,
-         make AS raw_make
+         make AS raw_make, iso AS raw_iso
   FROM fx_exif),
 old AS (
   SELECT event_id AS id, file_path, date_taken, camera_make, upper(event_type) AS camera_model, lens, shutter_speed, iso, aperture,
-         focal_length, event_type <> 'error' AS has_json, raw_make, TIMESTAMP '""" + CATALOGUE_CREATED_AT + """' AS created_at
+         focal_length, event_type <> 'error' AS has_json, raw_make, raw_iso, TIMESTAMP '""" + CATALOGUE_CREATED_AT + """' AS created_at
   FROM proj WHERE ts < TIMESTAMP '""" + PREVIOUS_RUN_CUTOFF + """'),
 todo AS (
   SELECT p.* FROM proj p
@@ -173,6 +178,7 @@ merged AS (
 ) + """,
          o.file_path IS NULL OR o.has_json OR n.file_path IS NOT NULL AS has_metadata_json,
          coalesce(o.raw_make, n.raw_make) AS raw_make,
+         coalesce(o.raw_iso, n.raw_iso) AS raw_iso,
          CASE WHEN o.file_path IS NOT NULL THEN o.created_at ELSE TIMESTAMP '""" + RUN_TS + """' END AS created_at
   FROM old o FULL OUTER JOIN todo n ON o.file_path = n.file_path)"""
 
@@ -210,6 +216,7 @@ SELECT {_SEARCH} FROM merged
 WHERE date_taken >= TIMESTAMP '{DATE_FROM}' AND date_taken <= TIMESTAMP '{DATE_TO}'""",
     "photos_by_camera": _BASE + f"\nSELECT {_SEARCH} FROM merged WHERE camera_make = 'Canon' AND camera_model = 'CLICK'",
     "photos_by_json": _BASE + f"\nSELECT {_SEARCH} FROM merged WHERE has_metadata_json AND raw_make = 'FUJIFILM'",
+    "photos_by_containment": _BASE + f"\nSELECT {_SEARCH} FROM merged WHERE has_metadata_json AND raw_make = '' AND raw_iso = 200",
     "catalogue_sample": _BASE + f"\nSELECT {_SEARCH} FROM merged ORDER BY file_path LIMIT 5",
     "work_batches": _BASE + f"""
 SELECT file_path, position, CAST(ceil(position / {BATCH}) AS BIGINT) AS batch_no
@@ -233,6 +240,7 @@ QUERIES = {
     "photos_by_date": q_photos_by_date,
     "photos_by_camera": q_photos_by_camera,
     "photos_by_json": q_photos_by_json,
+    "photos_by_containment": q_photos_by_containment,
     "catalogue_sample": q_catalogue_sample,
     "work_batches": q_work_batches,
     "work_limited": q_work_limited,
