@@ -1,7 +1,8 @@
 """URL filters: a Bloom filter cascade over the corpus's whole key universe.
 
-Every url has candidate keys: each suffix of its host at a label boundary,
-followed by each prefix of its path whose length some listed key has. The
+Every url has candidate keys: each suffix of its host at a label boundary with
+no more labels than a listed key has, followed by each prefix of its path whose
+length some listed key has; so a host of many labels makes no more keys. The
 distinct candidate keys of all pages are the universe. A cascade's first level
 encodes the listed keys; each later level encodes the keys that wrongly pass
 the level before it, listed and unlisted in turn, until none is left. Over
@@ -17,7 +18,8 @@ halve. Their size is checked against `max_bytes` before they are sent.
 
 Defined results: a null url or one without `://` has empty host and path, fits
 no rule and is allowed; repeated rows are judged one by one; an empty table
-gives an empty result.
+gives an empty result; long urls take time in their length. Only the two named
+columns of `pages` are read, so no other clashes.
 """
 
 from __future__ import annotations
@@ -59,9 +61,10 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def candidate_keys(host: str, path: str, path_lengths: list[int]) -> Column:
+def candidate_keys(host: str, path: str, path_lengths: list[int], most_labels: int) -> Column:
     """The url's keys, longest first: host suffixes times path prefixes."""
-    labels = F.split(F.col(host), r"\.")
+    suffix = F.substring_index(F.col(host), ".", -most_labels)  # the whole host, if it has no more labels
+    labels = F.split(suffix, r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     keys = F.flatten(F.transform(suffixes, lambda s: F.array(*[F.when(F.length(path) >= n, F.concat(s, F.substring(F.col(path), 1, n))) for n in path_lengths])))
     ranked = F.sort_array(F.transform(F.array_compact(keys), lambda k: F.struct(F.length(k).alias("n"), k.alias("k"))), asc=False)
@@ -156,12 +159,13 @@ def judge_urls(
     """(page_id, host, path, rule, verdict), a row per row of `pages`."""
     spark = pages.sparkSession
     lengths = sorted({0} | {len(path) for _, _, path in rules})
+    most_labels = max((name.count(".") + 1 for name in [*listed_domains, *[h for _, h, _ in rules]]), default=1)
     host, path = host_and_path(F.col(url))
     rows = pages.select(F.col(page_id).alias(page_id), host.alias("host"), path.alias("path"))
-    keyed = rows.withColumn("_keys", candidate_keys("host", "path", lengths))
+    keyed = rows.withColumn("_keys", candidate_keys("host", "path", lengths, most_labels))
     universe = stored(rows.select("host", *[F.when(F.length("path") >= n, F.substring("path", 1, n)).alias(f"p{n}") for n in lengths]).distinct()
                       .select(F.col("host"), F.coalesce(*[f"p{n}" for n in reversed(lengths)]).alias("path"))
-                      .select(F.explode(candidate_keys("host", "path", lengths)).alias("key")).distinct(), "url-universe")
+                      .select(F.explode(candidate_keys("host", "path", lengths, most_labels)).alias("key")).distinct(), "url-universe")
     cascades = [
         build_cascade(universe, key_table(spark, [h + p for _, h, p in rules]), max_bytes),
         build_cascade(universe, key_table(spark, [h + p for v, h, p in rules if v == "block"]), max_bytes),

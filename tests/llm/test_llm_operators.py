@@ -256,6 +256,68 @@ def test_template_by_count_of_pages(spark):
     assert all(got[2000 + i] == f"Join us\nthe text of page {i}\nNotes" for i in range(2))
 
 
+def test_shared_article_parts_stay(spark):
+    lists = "<ul><li>Yes</li><li>No</li></ul>"
+    quote = "<div class='quote'>To be or not to be</div>"
+    page = lambda i, part: f"<body><article><h1>T{i}</h1><p>the text of page {i}, which is its own</p>{part}</article></body>"
+    rows = [(i, "http://h.org/", page(i, lists if i < 10 else quote if i < 20 else "")) for i in range(200)]
+    rows += [(1000 + i, "http://b.org/", f"<body><p>body of page {i}</p>{quote if i < 10 else ''}<p>end {i}</p></body>") for i in range(400)]
+    got = extracted(spark, rows)
+    assert {got[i].split("\n", 2)[2] for i in range(10)} == {"Yes\nNo"}
+    assert {got[i].split("\n", 2)[2] for i in range(10, 20)} == {"To be or not to be"}
+    assert all(got[1000 + i] == f"body of page {i}\nTo be or not to be\nend {i}" for i in range(10))
+
+
+def test_cards_are_not_the_article():
+    text = lambda html: "\n".join(t for t, _ in html_main_text.parse(html.encode())[0])
+    content = "<div class='content'><p>The real long main text of this page, longer than the card.</p></div>"
+    assert text(f"{content}<article class='card'><p>teaser</p></article>").startswith("The real long main text")
+    assert text(f"{content}<article><h1>Short</h1><p>news</p></article>") == "Short\nnews"
+
+
+def test_deep_and_unclosed_pages_take_linear_time(spark):
+    import time
+
+    n = 60_000
+    for unit in ("<div>a ", "<nav>a ", "<b>a ", "<p><b>a ", "<ul><li>a ", "<div>a</span>", "<b><div>a</div>", "<li><td>a "):
+        t = time.perf_counter()
+        blocks = html_main_text.parse((unit * n).encode()).blocks
+        assert time.perf_counter() - t < 15, unit
+        assert not blocks if unit.startswith("<nav") else sum(len(t.replace(" ", "")) for t, _ in blocks) == n
+    t = time.perf_counter()
+    assert html_main_text.parse(b"x > " + b"<a <b " * n).blocks[0][0].startswith("x > <a <b")
+    assert time.perf_counter() - t < 5
+    assert html_main_text.parse(b"<p>a</p><!-- b > c").blocks == [("a", -1)]
+    got = extracted(spark, [(i, "http://h.org/", "<div>a " * 5000 + str(i)) for i in range(3)])
+    assert [got[i] for i in range(3)] == ["\n".join(["a"] * 4999 + [f"a {i}"]) for i in range(3)]
+
+
+def test_template_counts_by_brute_force(spark):
+    """Random pages of flat parts: a part goes if enough distinct texts of its host hold it."""
+    import random
+
+    rng = random.Random(5)
+    parts = {f"<div>part {k} of the site</div>": k for k in range(12)}
+    rows, held = [], []
+    for i in range(300):
+        mine = [p for p, k in parts.items() if rng.random() < (0.01, 0.03, 0.08, 0.5)[k % 4]]
+        own = f"<p>page {i // 2} says something of its own at good length, so that no part of it is most of the page</p>"
+        rows.append((i, f"http://h{i % 2}.org/", "".join([own, *mine])))
+        held.append((i % 2, own, tuple(mine)))
+    got = extracted(spark, rows)
+    for i, (host, own, mine) in enumerate(held):
+        distinct = {(o, m) for h, o, m in held if h == host}
+        seen = {p: sum(p in m for _, m in distinct) for p in mine}
+        kept = [p for p in mine if not (seen[p] >= 10 and seen[p] >= 0.05 * len(distinct))]
+        assert got[i] == "\n".join(x.split(">")[1].split("<")[0] for x in [own, *kept])
+
+
+def test_extraction_of_no_pages_and_clashing_names(spark):
+    pages = spark.createDataFrame([(1, "http://h.org/", "<p>a</p>", "x", "y", 3)], "page_id long, url string, html string, text string, host string, row int")
+    assert [tuple(r) for r in html_main_text.extract_pages(pages).collect()] == [(1, "http://h.org/", "a", 1)]
+    assert html_main_text.extract_pages(pages.limit(0)).collect() == []
+
+
 def test_packing(spark, docs):
     got = best_fit_packing.pack_documents(docs, max_tokens=256, max_cost=256 ** 2).collect()
     encoder = best_fit_packing.WordEncoder(best_fit_packing.default_tokenizer())
@@ -349,6 +411,17 @@ def test_url_rules(spark):
         9: ("", "", None, "allow"), 10: ("", "", None, "allow"), 11: ("É.net", "/es/", "net/es/", "block"), 12: ("b.net", "", None, "allow")}
 
 
+def test_url_keys_of_many_labels_and_clashing_names(spark):
+    deep = "a." * 20_000
+    urls = [(1, f"http://{deep}example.com/en/x"), (2, f"http://{deep}spam-farm.example.org/"), (3, f"http://{deep}b.net/fr/"), (3, f"http://{deep}b.net/fr/")]
+    pages = spark.createDataFrame(urls, "page_id long, url string").selectExpr("*", "'h' AS host", "'k' AS _keys", "1 AS rule", "'v' AS verdict")
+    got = [(r.page_id, len(r.host), r.rule, r.verdict) for r in url_cascade.judge_urls(pages).orderBy("page_id").collect()]
+    assert got == [(1, 40_011, "example.com/en/", "block"), (2, 40_021, None, "block"), (3, 40_005, "net/fr/", "block"), (3, 40_005, "net/fr/", "block")]
+    longer = url_cascade.judge_urls(pages, rules=(("block", "a.a.a.a.example.com", "/"),)).where("verdict = 'block'")
+    assert sorted((r.page_id, r.rule) for r in longer.collect()) == [(1, "a.a.a.a.example.com/"), (2, None)]
+    assert url_cascade.judge_urls(pages.limit(0)).collect() == []
+
+
 def test_vector_search(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(1500, 8))
