@@ -23,12 +23,18 @@ from darkroom.session import materialize
 DCIM_DIR = r"^(.*?/(?i:dcim))/"
 
 
-def card_files(listing: DataFrame, card_col: str | None = None) -> DataFrame:
+def card_files(listing: DataFrame, card_col: str | None = None, folders: DataFrame | None = None) -> DataFrame:
     """Image files the import takes from a card listing (file_path[, card]):
     below the first DCIM directory (any case) when the card has one, else the
     whole card; suffix compared case-insensitively; nothing excluded.
     'First' is the smallest DCIM path (the shell takes whichever `find` lists
-    first, which is unspecified)."""
+    first, which is unspecified). With `folders` (file_path of one card's folders,
+    its root included) the DCIM directory is chosen among these: one above the
+    card does not count, and one without files leaves nothing to take."""
+    if folders is not None:
+        chosen = folders.where(F.lower(base_name("file_path")) == "dcim").agg(F.min("file_path")).scalar()
+        inside = chosen.isNull() | F.col("file_path").startswith(F.concat(chosen, F.lit("/")))
+        return listing.where(inside & is_image_any_case(base_name("file_path")))
     dcim = F.regexp_extract("file_path", DCIM_DIR, 1)
     with_dcim = listing.withColumn("_dcim", F.when(dcim != "", dcim))
     if card_col:

@@ -17,6 +17,7 @@ from darkroom.operators import ingest, merge
 from darkroom.session import materialize
 from darkroom.sources.fixtures import RUN_DATE, Fixtures, duckdb_ctes
 from darkroom.sources.json_records import libraries_to_scan
+from darkroom.sources.landed import landed_states
 
 DEST_BASE = "/srv/images"
 CARD_SOURCE = "external"
@@ -87,6 +88,18 @@ def q_library_scan(spark, sf_dir):
     )
 
 
+def q_landed_manifest(spark, sf_dir):
+    """Every document has a landed record unless its file is gone; the manifest
+    knows three of four, some of them with another size."""
+    docs = Fixtures(spark, sf_dir).fx_docs
+    at = F.timestamp_seconds(F.col("doc_id") * 60).cast("timestamp_ntz").alias("landed_time")
+    path = F.concat(F.col("file_path"), F.lit(".json")).alias("landed_path")
+    found = docs.where("on_disk").select(path, at, F.col("file_size").alias("landed_size"))
+    size = F.when(F.col("doc_id") % 10 == 0, F.col("file_size") + 1).otherwise(F.col("file_size"))
+    manifest = docs.where("doc_id % 4 <> 3").select(path, at, size.alias("landed_size"))
+    return landed_states(found, manifest).select("landed_path", "landed_size", "state")
+
+
 _NAME = "regexp_extract(file_path, '[^/]*$', 0)"
 _EXTS = ", ".join(f"'{e}'" for e in IMAGE_EXTENSIONS)
 _D = "'([0-9]{4})([0-9]{2})([0-9]{2})'"
@@ -145,6 +158,14 @@ SELECT CASE WHEN gb < {MIN_FREE_SPACE_GB} THEN 'external' ELSE 'internal' END AS
        CASE WHEN gb < {MIN_FREE_SPACE_GB} THEN '/srv/external' ELSE '/srv/internal' END AS dest_base,
        gb AS internal_free_gb
 FROM free""",
+    "landed_manifest": duckdb_ctes("fx_docs") + """,
+both_sides AS (
+  SELECT file_path || '.json' AS landed_path, on_disk AS here, doc_id % 4 <> 3 AS there, file_size AS size_here,
+         CASE WHEN doc_id % 10 = 0 THEN file_size + 1 ELSE file_size END AS size_there
+  FROM fx_docs)
+SELECT landed_path, CASE WHEN here THEN size_here ELSE size_there END AS landed_size,
+       CASE WHEN NOT here THEN 'gone' WHEN NOT there THEN 'new' WHEN size_here = size_there THEN 'known' ELSE 'changed' END AS state
+FROM both_sides WHERE here OR there""",
     "library_scan": f"""
 WITH libraries AS (SELECT concat_ws('/', source, lang) AS id, min(doc_id) AS f FROM documents GROUP BY 1)
 SELECT id, 'library ' || id AS name, CASE WHEN f % 3 = 1 THEN 'EXTERNAL' END AS type
@@ -159,4 +180,5 @@ QUERIES = {
     "rename_plan": q_rename_plan,
     "volume_route": q_volume_route,
     "library_scan": q_library_scan,
+    "landed_manifest": q_landed_manifest,
 }

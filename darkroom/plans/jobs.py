@@ -19,8 +19,9 @@ from darkroom.operators import backup, ingest, merge, metadata, stacks
 from darkroom.operators.listing import metadata_listing
 from darkroom.plans.snapshots import has_tag, latest_version, next_version, read_all, read_version, version_of_tag, write_version
 from darkroom.session import materialize
+from darkroom.sources.frontier import list_entries, list_tree, with_attributes
 from darkroom.sources.json_records import read_asset_pages, read_exif_json
-from darkroom.sources.media_files import list_media
+from darkroom.sources.landed import landed_records
 
 
 def run_catalogue(
@@ -36,12 +37,18 @@ def run_catalogue(
     """Metadata catalogue run: list images, keep those without a complete
     catalogue row, project their EXIF records, merge, write the next version.
 
+    Landed files are opened once, for the manifest beside the catalogue; `opened`
+    counts those of this run.
     Every job reads the latest version and writes the next; `version` may ask
     for a higher number, never for one that exists."""
     current = read_version(spark, catalogue_base, latest_version(spark, catalogue_base), schemas.CATALOGUE)
-    listing = metadata_listing(list_media(spark, [image_root])).select("file_path")
+    listing = metadata_listing(list_tree(spark, [image_root])).select("file_path")
     todo = metadata.work_list(listing, current).select("file_path")
-    records, unreadable = read_exif_json(spark, exif_dir)
+    if "://" in exif_dir:  # not on a mount: every run reads the landed files
+        records, unreadable = read_exif_json(spark, exif_dir)
+        opened = None
+    else:
+        records, unreadable, opened = landed_records(spark, exif_dir, catalogue_base.rstrip("/") + "_landed")
     # Stored once: the walk and the landed files are read at one moment.
     landed = materialize(metadata.exif_fields(records.join(todo, "file_path", "left_semi"), keep=("landed_at",)), "landed-records")
     incoming = merge.resolve_records(landed, "landed_at")
@@ -57,7 +64,7 @@ def run_catalogue(
     write_version(metadata.with_taken_month(merged), catalogue_base, version, partition_by=("taken_month",))
     rejects = unreadable.select(F.col("landed_path").alias("file_path"), F.lit("unreadable").alias("reason"))
     write_version(rejects, rejected, version)
-    return {"processed": int(seen.get.get("processed", 0))}
+    return {"processed": int(seen.get.get("processed", 0))} | ({} if opened is None else {"opened": opened})
 
 
 def plan_backup(
@@ -70,7 +77,7 @@ def plan_backup(
 ) -> DataFrame:
     """Upload plan of one backup run; MD5 is computed for planned files only."""
     ledger = read_version(spark, ledger_base, latest_version(spark, ledger_base), schemas.LEDGER)
-    inventory = backup.backup_inventory(list_media(spark, dict(roots)))
+    inventory = backup.backup_inventory(list_tree(spark, roots))
     plan = backup.upload_plan(
         inventory, ledger, roots, bucket, _dt.datetime.fromisoformat(run_ts).isoformat(), storage_class
     )
@@ -96,7 +103,7 @@ def plan_deletions(
 
 def _flagged(spark: SparkSession, roots: Mapping[str, str], ledger_base: str, available: Iterable[str] | None) -> DataFrame:
     ledger = read_version(spark, ledger_base, latest_version(spark, ledger_base), schemas.LEDGER)
-    on_disk = list_media(spark, dict(roots))  # every file: no suffix or folder filter
+    on_disk = list_tree(spark, roots)  # every file: no suffix or folder filter
     return materialize(backup.flag_deletions(ledger, on_disk, roots, available), "flagged-ledger")
 
 
@@ -153,11 +160,13 @@ def plan_card_import(
     copy whose place is taken (a link counts) the next free `_1`, `_2`, ..."""
     route = ingest.route_volume(volumes).first()  # one row, one value
     dest_base = route["dest_base"]
-    card = ingest.card_files(list_media(spark, [card_root], links=False).select("file_path"))
-    destination = list_media(spark, [dest_base], links=False).select("file_path")
+    on_card = list_entries(spark, [card_root], links=False)
+    card = ingest.card_files(
+        with_attributes(on_card).select(F.col("path").alias("file_path")), folders=on_card.where("folder").select(F.col("path").alias("file_path")))
+    destination = list_tree(spark, [dest_base], links=False).select("file_path")
     # Stored once: conflict names are looked for in the plan itself too.
     plan = materialize(ingest.copy_plan(card, destination, dest_base, run_date, validate_dates), "copy-plan")
-    occupied = list_media(spark, [dest_base]).select(F.col("file_path").alias("path"))
+    occupied = list_entries(spark, [dest_base]).select("path")
     return ingest.resolve_names(plan, occupied)
 
 
