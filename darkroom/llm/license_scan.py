@@ -16,6 +16,11 @@ Files whose terms cannot reach `threshold` are out by the same inequality; in
 the others running sums bound every window's cosine, and windows are scored
 from the highest bound down until none can be better.
 
+A line with an SPDX identifier is compared as such: the licence of that name, of
+the first known one where two are joined by OR or AND, of none where no template
+has it. A template that several licences share (`SHARED`) decides only where no
+other is found.
+
 A file's own licence is that of its best line, window or whole text. A licence file (by base name) gives
 its own to its directory. A file without one inherits from its nearest ancestor
 directory: its ancestors, one row each, are joined to directories by path and
@@ -24,7 +29,9 @@ the deepest match wins. The only table sent to tasks is the templates.
 Defined results: null texts have no lines; a null path has no ancestors;
 ties between templates go to the first by name, between lines to the first
 line's better cosine, and several licence files of one directory to the best
-cosine, then the first name. Repeated rows are judged one by one.
+cosine, then the first name. Repeated rows are judged one by one. An empty table
+gives an empty result; very long texts cost time in their length for each
+template that they can reach; columns are renamed inside, so none clashes.
 """
 
 from __future__ import annotations
@@ -69,9 +76,38 @@ published by the Free Software Foundation, either version 3 of the License, or (
 distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS
 FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public
 License along with this program. If not, see <https://www.gnu.org/licenses/>."""
+def gnu_header(work: str, name: str, version: str, colon: str) -> str:
+    """The notice of a GNU licence up to its first paragraph's end: they differ in these words."""
+    return (f"This {work} is free software{colon} you can redistribute it and/or modify it under the terms of the GNU {name} as published by the "
+            f"Free Software Foundation, either version {version} of the License, or (at your option) any later version.")
+
+
+def gnu_notice(work: str, name: str, version: str, colon: str) -> str:
+    return (f"{gnu_header(work, name, version, colon)} This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+            f"even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details.")
+
+
+#: The conditions that BSD licences share, and the opening of each.
+BSD_OPENING = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+BSD_2_TEXT = BSD_TEXT[:BSD_TEXT.index("3. Neither")] + BSD_TEXT[BSD_TEXT.index("THIS SOFTWARE"):]
+ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR
+DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL
+THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE,
+DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE."""
+MPL_HEADER = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
+with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+GPL, LGPL, AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
 #: Notices and headers of common licences, whole texts of the short ones and titles of the long ones (whose texts end with
 #: their notice): fixed texts.
 TEMPLATES = {
+    "AGPL-3.0": (
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+        gnu_header("program", AGPL, "3", ":"),
+        gnu_notice("program", AGPL, "3", ":"),
+    ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
@@ -79,17 +115,39 @@ TEMPLATES = {
         "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
         APACHE_HEADER,
     ),
+    "BSD-2-Clause": (
+        "SPDX-License-Identifier: BSD-2-Clause",
+        BSD_2_TEXT,
+    ),
     "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        BSD_OPENING,
         "SPDX-License-Identifier: BSD-3-Clause",
         BSD_TEXT,
     ),
+    "CC-BY-4.0": (
+        "Licensed under CC BY 4.0.",
+        "This work is licensed under the Creative Commons Attribution 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-4.0",
+        "Creative Commons Attribution 4.0 International Public License",
+    ),
     "CC-BY-NC-4.0": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License.",
         "SPDX-License-Identifier: CC-BY-NC-4.0",
         "Creative Commons Attribution-NonCommercial 4.0 International Public License",
     ),
+    "CC-BY-SA-4.0": (
+        "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
+        "Creative Commons Attribution-ShareAlike 4.0 International Public License",
+    ),
+    "GPL-2.0": (
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+        gnu_header("program", GPL, "2", ";"),
+        gnu_notice("program", GPL, "2", ";"),
+    ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
@@ -97,14 +155,42 @@ TEMPLATES = {
         "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
         GPL_HEADER,
     ),
+    "ISC": (
+        "SPDX-License-Identifier: ISC",
+        ISC_TEXT,
+    ),
+    "LGPL-2.1": (
+        "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+        gnu_header("library", LGPL, "2.1", ";"),
+        gnu_notice("library", LGPL, "2.1", ";"),
+    ),
+    "LGPL-3.0": (
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+        gnu_header("program", LGPL, "3", ":"),
+        gnu_notice("program", LGPL, "3", ":"),
+        gnu_header("library", LGPL, "3", ":"),
+        gnu_notice("library", LGPL, "3", ":"),
+    ),
     "MIT": (
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction,",
         "SPDX-License-Identifier: MIT",
         MIT_TEXT,
     ),
+    "MPL-2.0": (
+        "SPDX-License-Identifier: MPL-2.0",
+        "Mozilla Public License Version 2.0",
+        MPL_HEADER,
+    ),
 }
+#: Templates that other licences hold too: they decide only where no other is found.
+SHARED = frozenset([BSD_OPENING])
 THRESHOLD = 0.8
+#: An identifier's line, and what an identifier may end with.
+SPDX = re.compile(r"SPDX-License-Identifier:[ \t(]*([A-Za-z0-9.+-]+)(?:[ \t]+(?:OR|AND)[ \t]+([A-Za-z0-9.+-]+))?", re.I)
+SPDX_END = re.compile(r"(?:-only|-or-later|\+)$", re.I)
 TERM = re.compile("[a-z0-9]+")
 #: Comment marks that are words, at the start of a line.
 COMMENT_WORD = re.compile(r"^[ \t]*(?:dnl|rem)\b", re.M | re.I)
@@ -128,6 +214,11 @@ def term_weights(docs: DataFrame, text: str, templates: dict[str, tuple[str, ...
     return {t: idf(n.get(t, 0)) for t in vocabulary}, idf(0)
 
 
+def spdx_names(templates: dict[str, tuple[str, ...]]) -> dict[str, str]:
+    """Licence by identifier, without case and without -only and -or-later."""
+    return {SPDX_END.sub("", m[1]).lower(): name for name in sorted(templates) for line in templates[name] if (m := SPDX.match(line))}
+
+
 def needed_terms(vector: dict[str, float], threshold: float) -> list[str]:
     """The heaviest terms of a unit vector whose absence bounds the cosine below `threshold`."""
     rest, out = 1.0, []
@@ -143,14 +234,19 @@ def scorers(docs: DataFrame, text: str, templates: dict[str, tuple[str, ...]], t
     """(column of the lines worth scoring, task that scores rows (key, line),
     column of the best window of (text, whether it is also scored whole))."""
     idf, other = term_weights(docs, text, templates)
-    vectors = []
+    vectors, lengths, shared = [], [], []
+    names = spdx_names(templates)
     for name in sorted(templates):
         for line in templates[name]:
+            if SPDX.match(line):  # compared as an identifier
+                continue
+            lengths.append(terms_of(line).total())
+            shared.append(line in SHARED)
             v = {t: c * idf[t] for t, c in terms_of(line).items()}
             size = math.sqrt(sum(w * w for w in v.values()))
             vectors.append((name, {t: w / size for t, w in v.items()}))
     needed = sorted({t for _, v in vectors for t in needed_terms(v, threshold)})
-    wanted = "(^|[^a-z0-9])(" + "|".join(needed) + ")([^a-z0-9]|$)"
+    wanted = "(^|[^a-z0-9])(" + "|".join([*needed, "spdx"]) + ")([^a-z0-9]|$)"
 
     def candidates(text: Column) -> Column:
         return F.filter(F.split(text, "\n"), lambda line: F.lower(line).rlike(wanted))
@@ -159,14 +255,18 @@ def scorers(docs: DataFrame, text: str, templates: dict[str, tuple[str, ...]], t
         for batch in batches:
             out = []
             for k, line in zip(batch["key"], batch["line"], strict=True):
+                if m := SPDX.search(line):
+                    known = [names[i] for i in (SPDX_END.sub("", x).lower() for x in m.groups() if x) if i in names]
+                    if known:
+                        out.append((k, known[0], 1.0, False))
+                    continue
                 counts = terms_of(line)
                 size = math.sqrt(sum((c * idf.get(t, other)) ** 2 for t, c in counts.items()))
                 best = max(((sum(w * counts[t] * idf[t] for t, w in v.items() if t in counts) / size, i) for i, (_, v) in enumerate(vectors)), key=lambda x: (x[0], -x[1]))
                 if best[0] >= threshold:
-                    out.append((k, vectors[best[1]][0], min(1.0, round(best[0], 12))))
-            yield pd.DataFrame(out, columns=["key", "licence", "cosine"])
+                    out.append((k, vectors[best[1]][0], min(1.0, round(best[0], 12)), shared[best[1]]))
+            yield pd.DataFrame(out, columns=["key", "licence", "cosine", "shared"])
 
-    lengths = [terms_of(line).total() for name in sorted(templates) for line in templates[name]]
     shares: dict[str, list[tuple[int, float]]] = {}
     for i, (_, v) in enumerate(vectors):
         for t, w in v.items():
@@ -177,13 +277,15 @@ def scorers(docs: DataFrame, text: str, templates: dict[str, tuple[str, ...]], t
         for t in shares.keys() & set(terms):
             for i, share in shares[t]:
                 mass[i] += share
-        live = [i for i, share in enumerate(mass) if share >= threshold ** 2 - 1e-9]
+        live = sorted((i for i, share in enumerate(mass) if share >= threshold ** 2 - 1e-9), key=lambda i: shared[i])
         if not live:
             return None
         weight = np.array([idf.get(t, other) for t in terms])
         norm = np.concatenate([[0.0], np.cumsum(weight * weight)])
         best = None
         for i in live:
+            if shared[i] and best is not None and not shared[best[1]]:
+                break
             v = vectors[i][1]
             dot = np.concatenate([[0.0], np.cumsum(weight * np.array([v.get(t, 0.0) for t in terms]))])
             for size in {min(lengths[i], len(terms)), *([len(terms)] if whole else [])}:
@@ -200,13 +302,13 @@ def scorers(docs: DataFrame, text: str, templates: dict[str, tuple[str, ...]], t
                         best = (cosine, i)
         return best
 
-    @F.pandas_udf("licence string, cosine double")
+    @F.pandas_udf("licence string, cosine double, shared boolean")
     def score_windows(texts: pd.Series, whole: pd.Series) -> pd.DataFrame:
         out = []
         for body, is_file in zip(texts, whole, strict=True):
             found = best_window(TERM.findall(COMMENT_WORD.sub("", body).lower()), bool(is_file))
-            out.append((vectors[found[1]][0], min(1.0, round(found[0], 12))) if found else (None, None))
-        return pd.DataFrame(out, columns=["licence", "cosine"])
+            out.append((vectors[found[1]][0], min(1.0, round(found[0], 12)), shared[found[1]]) if found else (None, None, None))
+        return pd.DataFrame(out, columns=["licence", "cosine", "shared"])
 
     return candidates, score, score_windows
 
@@ -232,9 +334,9 @@ def scan_licences(
         score_windows(F.coalesce(F.col(text), F.lit("")), F.coalesce(is_file(path), F.lit(False))).alias("window"),
     )
     rows = stored(rows.withColumn("dir", F.regexp_replace("path", "/?[^/]*$", "")), "licence-rows")
-    hits = rows.select(F.col("row").alias("key"), F.explode("lines").alias("line")).mapInPandas(score, "key long, licence string, cosine double")
-    hits = hits.unionByName(rows.where("window.licence IS NOT NULL").select(F.col("row").alias("key"), "window.licence", "window.cosine"))
-    own = hits.groupBy(F.col("key").alias("_key")).agg(F.min(F.struct((-F.col("cosine")).alias("c"), F.col("licence").alias("l"))).alias("_best"))
+    hits = rows.select(F.col("row").alias("key"), F.explode("lines").alias("line")).mapInPandas(score, "key long, licence string, cosine double, shared boolean")
+    hits = hits.unionByName(rows.where("window.licence IS NOT NULL").select(F.col("row").alias("key"), "window.licence", "window.cosine", "window.shared"))
+    own = hits.groupBy(F.col("key").alias("_key")).agg(F.min(F.struct("shared", (-F.col("cosine")).alias("c"), F.col("licence").alias("l"))).alias("_best"))
     own = own.select("_key", F.col("_best.l").alias("own_licence"), (-F.col("_best.c")).alias("own_cosine"))
     judged = stored(rows.drop("lines", "window").join(own, F.col("row") == F.col("_key"), "left").drop("_key"), "licence-files")
     dirs = judged.where(F.col("own_licence").isNotNull() & is_file(F.col("path")))

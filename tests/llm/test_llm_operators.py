@@ -389,6 +389,27 @@ def test_wrapped_commented_and_embedded_notices(spark):
     assert got == {i: (None if i in (3, 8, 9) else want, want) for i, _, _, want in rows}
 
 
+def test_notices_of_like_licences(spark):
+    t, scan = license_scan.TEMPLATES, license_scan
+    texts = {
+        "GPL-2.0": scan.gnu_notice("program", scan.GPL, "2", ";"), "AGPL-3.0": scan.gnu_notice("program", scan.AGPL, "3", ":"),
+        "LGPL-2.1": scan.gnu_notice("library", scan.LGPL, "2.1", ";"), "LGPL-3.0": scan.gnu_notice("library", scan.LGPL, "3", ":"),
+        "GPL-3.0": scan.GPL_HEADER, "BSD-2-Clause": f"Copyright (c) 2001 A. Holder\n{scan.BSD_2_TEXT}", "BSD-3-Clause": f"Copyright A.\n{scan.BSD_TEXT}",
+        "ISC": scan.ISC_TEXT, "MPL-2.0": scan.MPL_HEADER, "CC-BY-4.0": t["CC-BY-4.0"][1], "CC-BY-SA-4.0": t["CC-BY-SA-4.0"][1], "CC-BY-NC-4.0": t["CC-BY-NC-4.0"][1],
+    }
+    rows = [(name, f"a/{i}.c", text) for i, (name, text) in enumerate(texts.items())]
+    rows += [(name, f"b/{i}.c", "// " + text.replace(". ", ".\n// ")) for i, (name, text) in enumerate(texts.items())]
+    rows += [(name, f"c/{name}.c", f"/* SPDX-License-Identifier: {name} */\nint x;") for name in t]
+    rows += [("GPL-2.0", "d/1.c", "# SPDX-License-Identifier: GPL-2.0+"), (None, "d/2.c", "// SPDX-License-Identifier: Zlib"),
+             ("MIT", "d/3.c", "// SPDX-License-Identifier: (Zlib OR MIT)"), ("BSD-3-Clause", "d/4.c", scan.BSD_OPENING)]
+    df = spark.createDataFrame(rows, "want string, path string, text string")
+    got = {r.path: (r.want, r.own_licence) for r in scan.scan_licences(df, F.col("path"), ["want"]).collect()}
+    assert {p: v for p, v in got.items() if v[0] != v[1]} == {}
+    clash = df.limit(1).selectExpr("want", "path", "text", "'x' AS row", "'y' AS licence", "'z' AS dir")
+    assert scan.scan_licences(clash, F.col("path"), ["want"]).count() == 1
+    assert scan.scan_licences(df.limit(0), F.col("path"), ["want"]).collect() == []
+
+
 def test_cascade_is_exact_on_its_universe(spark):
     keys = spark.range(3000).select(F.concat(F.lit("k"), F.col("id")).alias("key"))
     listed = keys.where("xxhash64(key) % 10 = 0")
