@@ -101,6 +101,36 @@ def test_quality_score_is_the_log_ratio(spark):
         assert got[i] == pytest.approx(sum(math.log(share(target, g)) - math.log(share(raw, g)) for g in v) / len(v))
 
 
+def test_quality_rules_fit_on_every_labelled_document(spark):
+    """Over 20,000 labelled documents of each kind: none may be left out."""
+    texts = {i: f"a{i % 97} b{i * i % 89}" + (f" c{i % 13}" if i % 2 else "") for i in range(42_000)}
+    lab = {i: i % 2 for i in texts if i >= 500}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = quality_rules.quality_rules(df, spark.createDataFrame(list(lab.items()), "doc_id long, quality int"), keep=["doc_id"], buckets=1 << 20, min_words=0).collect()
+    got = {r.doc_id: r for r in rows}
+    grams = {i: t.split() + [*zip(t.split(), t.split()[1:], strict=False)] for i, t in texts.items()}
+    raw = collections.Counter(g for v in grams.values() for g in v)
+    target = collections.Counter(g for i, v in grams.items() if lab.get(i) == 1 for g in v)
+    raws, targets = raw.total() + (1 << 20), target.total() + (1 << 20)
+    ratio = {g: math.log((target[g] + 1) / targets) - math.log((n + 1) / raws) for g, n in raw.items()}
+    score = {i: sum(ratio[g] for g in v) / len(v) for i, v in grams.items()}
+    # Two grams that share a bucket change few scores; a left out document changes all.
+    assert sum(abs(got[i].score - x) < 1e-9 for i, x in score.items()) > 0.95 * len(score)
+    low, high = (np.percentile([r.score for i, r in got.items() if lab.get(i) == kind], share) for kind, share in ((1, 0.1), (0, 95)))
+    limit = min(low, (low + high) / 2)
+    assert all(r.kept == (r.score >= limit) for r in rows if abs(r.score - limit) > 1e-12)
+
+
+def test_exact_percentiles_equal_those_of_spark(spark):
+    rnd = random.Random(8)
+    for good, bad in ((1, 2), (1001, 21), (1500, 333)):
+        rows = [(kind, rnd.choice([rnd.gauss(0, 1), round(rnd.random(), 1)]), i % 50) for kind, n in ((1, good), (0, bad)) for i in range(n)]
+        known = spark.createDataFrame(rows, "_kind int, score double, _id long")
+        want = {k: known.where(F.col("_kind") == k).agg(F.percentile("score", p)).first()[0] for k, p in ((1, 0.001), (0, 0.95))}
+        assert dict(quality_rules.exact_percentiles(known).collect()) == want
+    assert quality_rules.exact_percentiles(known.where("_kind > 1")).isEmpty()
+
+
 def filled(sizes):
     """Targets by repeated resharing, as the contract says it."""
     names = sorted(sizes, key=lambda s: (s is None, s))
