@@ -89,6 +89,28 @@ def test_quality_stage(spark, folder):
     assert 30 < len(rows_of(got)) < len(rows)
 
 
+def test_quality_stage_fits_on_every_labelled_document(spark, tmp_path):
+    """Over 20,000 labelled good documents: none may be left out."""
+    rnd = random.Random(21)
+    words = [f"w{k}" for k in range(200)]
+    texts = [" ".join(rnd.choices(words, k=55)) for _ in range(31_000)]
+    labels = {i: int(i < 30_000) for i in range(30_600)}
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(labels.items()), "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    hashed = functools.cache(lambda a, b=None: signed(xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42)) if b else xxhash.xxh64_intdigest(a, 42)) % quality_rules.BUCKETS)
+    every = [[*map(hashed, w), *map(hashed, w, w[1:])] for w in (t.split() for t in texts)]
+    assert sorted(every[0]) == sorted(grams(texts[0])) and not any(map(base_failed, texts))
+    raw = np.bincount(np.concatenate(every), minlength=quality_rules.BUCKETS) + quality_rules.SMOOTHING
+    target = np.bincount(np.concatenate(every[:30_000]), minlength=quality_rules.BUCKETS) + quality_rules.SMOOTHING
+    weight = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    score = np.array([weight[g].mean() for g in every])
+    low, high = np.percentile(score[:30_000], 0.1), np.percentile(score[30_000:30_600], 95)
+    limit = min(low, (low + high) / 2)
+    assert min(abs(score - limit)) > 1e-12
+    got = pipeline.quality(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert sorted(r.doc_id for r in got.collect()) == np.flatnonzero(score >= limit).tolist()
+
+
 def test_near_duplicate_stage(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     rows = rows_of(docs)
